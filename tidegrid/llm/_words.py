@@ -94,6 +94,10 @@ class Words:
     def window_hashes(self, starts: np.ndarray, k: int, which: int = 0) -> np.ndarray:
         return _rolling(self.hashes(which), starts, starts + k, which)
 
+    def range_hashes(self, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
+        """The hash of words start to end - 1 for each pair."""
+        return _rolling(self.hashes(which), starts, ends, which)
+
     def text(self, first: int, last: int) -> bytes:
         """Words first to last - 1 as they stand, joined by one space."""
         return b" ".join(self.data[a:b].tobytes() for a, b in zip(self.start[first:last], self.end[first:last], strict=True))

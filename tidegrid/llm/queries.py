@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import decontaminate, mixing, quality_rules
+from tidegrid.llm import decontaminate, mixing, quality_rules, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -31,6 +36,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_substring_dedup": op2_substring_dedup,
     "op7_decontamination": op7_decontamination,
     "op10_mixing": op10_mixing,
 }
@@ -65,6 +71,18 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        AND coalesce(caps / nullif(letters, 0), 0) <= 0.3 AND stops / n_words >= 0.01 AND ended / lines >= 0.5
        AND n_dup_lines / lines <= 0.3 AND n_repeat_words / n_words <= 0.3 AS kept
 FROM b""",
+    "op2_substring_dedup": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(doc_id, 9223372036854775807) AS id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT row, id, i, min(id) OVER (PARTITION BY array_to_string(w[i:i + 49], ' ')) AS owner
+  FROM (SELECT row, id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+gone AS (SELECT DISTINCT row, unnest(range(i, i + 50)) AS p FROM win WHERE owner < id),
+word AS (SELECT row, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
+left_over AS (SELECT row, string_agg(x, ' ' ORDER BY p) AS t FROM word ANTI JOIN gone USING (row, p) GROUP BY row),
+n AS (SELECT row, count(*) AS n FROM gone GROUP BY row)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN n USING (row) LEFT JOIN left_over USING (row)""",
     "op7_decontamination": r"""
 WITH d AS (
   SELECT row_number() OVER () AS row, doc_id,
