@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import decontaminate, mixing, quality_rules, substring_dedup
+from tidegrid.llm import decontaminate, jaccard_join, mixing, quality_rules, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicate_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_documents(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "position")
@@ -38,6 +42,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_substring_dedup": op2_substring_dedup,
     "op7_decontamination": op7_decontamination,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_mixing": op10_mixing,
 }
 
@@ -106,6 +111,22 @@ s AS (SELECT row, count(DISTINCT item) AS n, string_agg(DISTINCT item, ',' ORDER
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(p.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(s.n, 0) AS BIGINT) AS n_items,
        sha256(coalesce(s.ids, '')) AS items_sha256, coalesce(p.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN p USING (row) LEFT JOIN s USING (row)""",
+    "op9_jaccard_join": r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT row, doc_id, array_to_string(w[i:i + 2], ' ') AS g
+  FROM (SELECT row, doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT row, doc_id, count(*) AS n FROM s GROUP BY row, doc_id),
+o AS (SELECT a.row AS a, b.row AS b, count(*) AS hits FROM s a JOIN s b ON a.g = b.g AND a.row < b.row GROUP BY a.row, b.row),
+e AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM o JOIN n x ON x.row = o.a JOIN n y ON y.row = o.b
+  WHERE 100 * hits >= 90 * (x.n + y.n - hits)),
+l AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id
+FROM d LEFT JOIN n USING (row) JOIN (SELECT a, min(b) AS component_id FROM r GROUP BY a) c ON c.a = d.doc_id""",
     "op10_mixing": r"""
 WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
 s AS (
