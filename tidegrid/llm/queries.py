@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import decontaminate, jaccard_join, mixing, quality_rules, substring_dedup
+from tidegrid.llm import decontaminate, jaccard_join, language_id, license_scan, mixing, quality_rules, substring_dedup, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +25,24 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    out = language_id.held_out("doc_id", 4, 2)
+    profiles = language_id.learn_profiles(documents.where(~out).select("doc_id", "text", "lang"))
+    found = language_id.predict_language(documents.select("doc_id", "text"), profiles)
+    return found.select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a new cache each time, so every distinct text is encoded."""
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -41,6 +60,9 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_substring_dedup": op2_substring_dedup,
+    "op4_license_scan": op4_license_scan,
+    "op5_language_id": op5_language_id,
+    "op6_token_counts": op6_token_counts,
     "op7_decontamination": op7_decontamination,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_mixing": op10_mixing,
@@ -88,6 +110,36 @@ left_over AS (SELECT row, string_agg(x, ' ' ORDER BY p) AS t FROM word ANTI JOIN
 n AS (SELECT row, count(*) AS n FROM gone GROUP BY row)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN n USING (row) LEFT JOIN left_over USING (row)""",
+    "op4_license_scan": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+t AS (SELECT *, ' ' || array_to_string(w, ' ') || ' ' AS s FROM d),
+p AS (
+  SELECT row, i - 1 AS i, CASE WHEN w[i] = 'cc' THEN 'cc-by' WHEN w[i] = 'all' THEN 'reserved' ELSE 'gpl' END AS label
+  FROM (SELECT row, w, unnest(range(1, len(w))) AS i FROM d WHERE len(w) > 1)
+  WHERE (w[i] = 'cc' AND w[i + 1] = 'by') OR (w[i] = 'all' AND w[i + 1] = 'rights' AND w[i + 2] = 'reserved')
+     OR (w[i] = 'general' AND w[i + 1] = 'public' AND w[i + 2] = 'license')),
+b AS (SELECT row, count(*) AS n, min(i) AS lo, max(i) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM p GROUP BY row),
+m AS (
+  SELECT row, unnest([
+    CASE WHEN contains(s, ' licensed under the apache license version 2 0 ') THEN 'apache-2.0' END,
+    CASE WHEN regexp_matches(s, ' this work is licensed under the (terms of the )?gnu (lesser )?(affero )?general public license version ') THEN 'gpl-notice' END,
+    CASE WHEN regexp_matches(s, ' this program is free software you can redistribute it and or modify it under the terms of the gnu (lesser )?(affero )?general public license ') THEN 'gpl-notice' END,
+    CASE WHEN contains(s, ' permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files ') THEN 'mit' END,
+    CASE WHEN contains(s, ' redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met ') THEN 'bsd' END,
+    CASE WHEN contains(s, ' this source code form is subject to the terms of the mozilla public license v 2 0 ') THEN 'mpl-2.0' END,
+    CASE WHEN regexp_matches(s, ' licensed under (a )?(the )?cc by (nc )?(nd )?(sa )?([^ ]+ )?0 ') THEN 'cc-license' END,
+    CASE WHEN regexp_matches(s, ' licensed under (a )?(the )?creative commons attribution ([^ ]+ ){0,4}license ') THEN 'cc-license' END,
+    CASE WHEN regexp_matches(s, ' copyright c ([^ ]+ ){0,8}all rights reserved ') THEN 'copyright-notice' END]) AS label
+  FROM t),
+l AS (SELECT row, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, bool_or(own) AS own
+      FROM (SELECT row, label, true AS own FROM m WHERE label IS NOT NULL UNION ALL SELECT row, label, false FROM p) GROUP BY row)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(b.n, 0) AS BIGINT) AS n_base, CAST(b.lo AS BIGINT) AS first_word, CAST(b.hi AS BIGINT) AS last_word,
+       coalesce(b.labels, '') AS base_labels, coalesce(l.labels, '') AS labels,
+       CAST(CASE WHEN l.own THEN 1 WHEN b.n > 0 THEN 0.6 ELSE 0 END AS DOUBLE) AS score
+FROM d LEFT JOIN b USING (row) LEFT JOIN l USING (row)""",
     "op7_decontamination": r"""
 WITH d AS (
   SELECT row_number() OVER () AS row, doc_id,
