@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import decontaminate, jaccard_join, language_id, license_scan, mixing, quality_rules, substring_dedup, token_counts
+from tidegrid.llm import decontaminate, jaccard_join, language_id, license_scan, mixing, pii, quality_rules, substring_dedup, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +48,13 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_spans(documents, pii.learn_spans(documents))
+    count = lambda kind: F.size(F.filter("base_spans", lambda c: c["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *(count(k) for k in pii.BASE), F.sha2(pii.listed("base_spans"), 256).alias("base_sha256"), pii.listed("spans").alias("spans"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicate_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -64,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language_id": op5_language_id,
     "op6_token_counts": op6_token_counts,
     "op7_decontamination": op7_decontamination,
+    "op8_pii": op8_pii,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_mixing": op10_mixing,
 }
