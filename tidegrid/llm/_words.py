@@ -87,6 +87,11 @@ class Words:
             self._hash[which] = _rolling(_TABLES[self.fold, which][self.data], self.start, self.end, which)
         return self._hash[which]
 
+    def prefix_hashes(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The words of n bytes at least, and the hashes of their first n bytes."""
+        own = np.flatnonzero(self.end - self.start >= n)
+        return own, mix(_rolling(_TABLES[self.fold, 0][self.data], self.start[own], self.start[own] + n, 0) ^ np.uint64(n))
+
     def windows(self, k: int) -> np.ndarray:
         """Words at which a window of k words of one text starts."""
         return np.flatnonzero(np.arange(len(self.start)) + k <= self.first[1:][self.doc]) if len(self.start) else np.zeros(0, np.int64)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import decontaminate, jaccard_join, language_id, license_scan, mixing, pii, quality_rules, substring_dedup, token_counts
+from tidegrid.llm import decontaminate, jaccard_join, language_id, license_scan, mixing, pii, quality_rules, substring_dedup, token_counts, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,15 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = language_id.held_out("doc_id", 3, 1)
+    decoder = toxicity.Decoder(toxicity.count_trigrams(documents))
+    model = toxicity.learn(documents, table(spark, sf_dir, "labels").where(~out), decoder)
+    scored = toxicity.score_toxicity(documents, decoder, model)
+    return scored.select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
@@ -67,6 +76,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_toxicity": op3_toxicity,
     "op4_license_scan": op4_license_scan,
     "op5_language_id": op5_language_id,
     "op6_token_counts": op6_token_counts,
