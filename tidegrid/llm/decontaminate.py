@@ -168,6 +168,7 @@ def remove_contamination(documents: DataFrame, benchmark: DataFrame, n: int = N,
     the text from a span's first word up to the word after it; ``n_chars``, where it is a column, follows.
     """
     judged = find_contamination(documents, benchmark, n, max_broadcast)
+    names = documents.columns
 
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -176,7 +177,7 @@ def remove_contamination(documents: DataFrame, benchmark: DataFrame, n: int = N,
                 if spans:
                     texts[i] = _without(texts[i], spans)
             columns = dict(zip(batch.schema.names, batch.columns, strict=True)) | {"text": pa.array(texts, pa.string())}
-            yield pa.RecordBatch.from_arrays([columns[c] for c in documents.columns], names=documents.columns)
+            yield pa.RecordBatch.from_arrays([columns[c] for c in names], names=names)
 
     keep = ~F.col("contaminated") | (F.col("n_hit") < drop_share * F.col("n_words"))
     cleaned = judged.where(keep)
