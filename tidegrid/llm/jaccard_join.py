@@ -4,10 +4,10 @@ A document's set holds the hashes of its distinct ``n`` -word shingles (words lo
 whole sequence. Two sets link when 100 * intersection >= THRESHOLD * union.
 
 Sets are dealt to bands of sizes. Within a band linked sets differ in at most k features, so the feature
-domain is cut into k + 1 + SPARE partitions, of which SPARE + 1 at least agree; each partition of a set, with
+domain is cut into k + 1 partitions and some spare ones, of which the spare ones and one more at least agree; each partition of a set, with
 its features, is a signature (subsets of one partition). A set that can link into the next band signs there
-too. Partitions that are empty are signed only if a set has more than SPARE of them: otherwise one that is
-not empty agrees. So linked sets always share a signature.
+too. Partitions that are empty are signed only if a set has more than the spare ones of them: otherwise one
+that is not empty agrees. So linked sets always share a signature.
 
 Equal sets are one class. Per signature, classes are compared with a leader, the member whose signatures are
 the most common; that is linear in the group. Signatures whose classes do not all fall into one component
@@ -15,8 +15,8 @@ then go through an exact prefix join: a class's rarest features first, pairs of
 So large groups of near copies are joined without emitting all pairs, and no link between components is lost.
 
 Null, empty and wordless texts have no shingles, link with nothing and are their own component; equal ids
-are judged by their own texts; a null id has a null component unless its group has another id; an empty table gives
-no rows. Long texts are handled whole. Columns other than those read pass through ``keep_one_of_each_group``.
+are judged by their own texts; a row without id joins only rows with an equal set, and has a null component if
+there are none with an id; an empty table gives no rows. Long texts are handled whole. Columns other than those read pass through ``keep_one_of_each_group``.
 """
 
 from __future__ import annotations
@@ -34,8 +34,8 @@ from tidegrid.llm._words import Words, chunks, mix
 from tidegrid.llm.components import components
 
 SHINGLE, THRESHOLD = 3, 90
-#: Partitions beyond k + 1, and the growth of a band's sizes; the latter must be over 100 / THRESHOLD.
-SPARE, BAND = 2, 1.25
+#: Least number of spare partitions, and the growth of a band's sizes; the latter must be over 100 / THRESHOLD.
+SPARE, BAND = 2, 1.4
 
 _C = np.uint64(0xA0761D6478BD642F)
 
@@ -71,8 +71,10 @@ class Signatures:
 
     def partitions(self, band: int) -> tuple[int, int]:
         """(number of partitions, spare ones) of a band; sizes a, b that link differ in (a + b)(100 - t)/(100 + t) at most."""
-        k = 2 * (int(self.edges[band + 1]) - 1) * (100 - self.threshold) // (100 + self.threshold)
-        return (k + 1 + SPARE, SPARE) if k else (1, 0)
+        top = int(self.edges[band + 1]) - 1
+        k = 2 * top * (100 - self.threshold) // (100 + self.threshold)
+        spare = SPARE + int(3 * (k + 1) * np.exp(-0.8 * top / (k + 1)))  # some times what chance leaves empty
+        return (k + 1 + spare, spare) if k else (1, 0)
 
     def of(self, found: np.ndarray) -> np.ndarray:
         size = len(found)
@@ -125,6 +127,33 @@ def _signed(ids: DataFrame, n: int, threshold: int) -> DataFrame:
     return ids.select("text").mapInArrow(run, "sig long, d1 long")
 
 
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by sig and d1: the distinct ones whose sig has two classes at least. Only the last row and a run's
+    first are held over, so a signature of any size streams through."""
+    held: tuple[int, int] | None = None  # the last row, not yet given out
+    open_sig: int | None = None  # the signature of the last row, if that is known to be shared
+    for batch in batches:
+        sig, d1 = (batch.column(k).to_numpy() for k in range(2))
+        if held is not None:
+            sig, d1 = np.concatenate([[held[0]], sig]), np.concatenate([[held[1]], d1])
+        if not len(sig):
+            continue
+        new = np.ones(len(sig), bool)
+        new[1:] = (sig[1:] != sig[:-1]) | (d1[1:] != d1[:-1])
+        sig, d1 = sig[new], d1[new]
+        shared = np.zeros(len(sig), bool)
+        same = sig[1:] == sig[:-1]
+        shared[1:] |= same
+        shared[:-1] |= same
+        shared |= sig == open_sig if open_sig is not None else False
+        held = (int(sig[-1]), int(d1[-1]))
+        open_sig = held[0] if shared[-1] else None
+        out = shared[:-1]
+        yield pa.RecordBatch.from_arrays([pa.array(sig[:-1][out]), pa.array(d1[:-1][out])], names=["sig", "d1"])
+    if held is not None and open_sig == held[0]:
+        yield pa.RecordBatch.from_arrays([pa.array([held[0]], pa.int64()), pa.array([held[1]], pa.int64())], names=["sig", "d1"])
+
+
 def _with_sets(ids: DataFrame, needed: DataFrame, n: int) -> DataFrame:
     """rep, d1, n, features for classes needed (rep, _n, _d1, _d2)."""
 
@@ -163,11 +192,12 @@ def _residual_pairs(rows: DataFrame, sets: DataFrame, labels: DataFrame, thresho
     # a class's prefix: its rarest features, n - ceil(t n) + 1 of them; linked classes share one
     length = F.col("n") - F.ceil(F.col("n") * threshold / 100) + 1
     prefix = tokens.join(counted, "t").groupBy("rep", "label", "n").agg(F.array_sort(F.collect_list(F.struct("df", "t"))).alias("ts"))
-    prefix = saved(prefix.select("rep", "label", "n", F.explode(F.slice("ts", 1, length.cast("int"))).alias("x")).where("x.df > 1").select("rep", "label", "n", F.col("x.t").alias("t")), "prefixes")
+    prefix = saved(prefix.select("rep", "label", "n", F.posexplode(F.slice("ts", 1, length.cast("int"))).alias("i", "x")).where("x.df > 1").select("rep", "label", "n", "i", F.col("x.t").alias("t")), "prefixes")
     split = prefix.groupBy("t").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("t", "lo")
     a = prefix.join(split, "t").where("label != lo").alias("a")
     b = prefix.alias("b")
-    near = (100 * F.least("a.n", "b.n") >= threshold * F.greatest("a.n", "b.n"))
+    # at the first feature in common, what is left of either set bounds the intersection
+    near = (100 + threshold) * F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i")) >= threshold * (F.col("a.n") + F.col("b.n"))
     other = (F.col("a.label") != F.col("b.label")) & ((F.col("b.label") == F.col("a.lo")) | (F.col("a.rep") < F.col("b.rep")))
     return a.join(b, (F.col("a.t") == F.col("b.t")) & near & other).select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
 
@@ -175,20 +205,21 @@ def _residual_pairs(rows: DataFrame, sets: DataFrame, labels: DataFrame, thresho
 def class_components(ids: DataFrame, n: int = SHINGLE, threshold: int = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """For ids (_id, text): the rows as (_id, _n, _d1, _d2), and for each class its component."""
     rows_of = map_column(ids, "text", _CLASS_FIELDS, lambda column: _class_of(column, n)).select("_id", *_CLASS)
+    rows_of = saved(rows_of, "set-digests")
     classes = saved(rows_of.where("_n > 0").groupBy(*_CLASS).agg(F.min("_id").alias("rep")), "classes")
     signed = _signed(ids, n, threshold)
-    common = signed.groupBy("sig").agg(F.min("d1").alias("lo"), F.max("d1").alias("hi"), F.count("*").alias("common")).where("lo < hi").select("sig", "common")
-    rows = saved(signed.join(common, "sig").distinct(), "signatures")
-    fame = rows.groupBy("d1").agg(F.sum("common").alias("fame"))
-    famed = rows.join(fame, "d1")
-    leaders = famed.groupBy("sig").agg(F.max(F.struct("fame", "d1")).getField("d1").alias("lead"))
+    rows = saved(signed.repartition("sig").sortWithinPartitions("sig", "d1").mapInArrow(_shared, "sig long, d1 long"), "signatures")
+    common = rows.groupBy("sig").agg(F.count("*").alias("common"))
+    fame = rows.join(common, "sig").groupBy("d1").agg(F.sum("common").alias("fame"))
+    leaders = rows.join(fame, "d1").groupBy("sig").agg(F.max(F.struct("fame", "d1")).getField("d1").alias("lead"))
     pairs = rows.join(leaders, "sig").where("d1 != lead").select(F.col("d1").alias("x"), F.col("lead").alias("y")).distinct()
     needed = classes.where("rep IS NOT NULL").join(rows.select(F.col("d1").alias("_d1")).distinct(), "_d1")
     sets = saved(_with_sets(ids, needed, n), "sets")
     links = saved(_verified(pairs, sets, "x", "y", threshold), "verified")
     labels = components(links)
-    more = _verified(_residual_pairs(rows, sets, labels, threshold), sets, "a", "b", threshold)
-    labels = components(links.unionByName(more))
+    more = saved(_verified(_residual_pairs(rows, sets, labels, threshold), sets, "a", "b", threshold), "verified")
+    if not more.isEmpty():
+        labels = components(links.unionByName(more))
     named = classes.join(labels, classes["rep"] == labels["v"], "left").select(*_CLASS, F.coalesce("label", "rep").alias("component_id"))
     return rows_of, named
 
