@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegrid.llm._frames import map_column
+from tidegrid.llm._frames import aside, map_column
 from tidegrid.llm._words import chunks
 
 PROFILE, TOP = 400, 300
@@ -32,6 +32,8 @@ PER_LANGUAGE = 5000
 REJECT = 0.95
 OUTPUT = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("distance", T.DoubleType())]
 
+#: A word boundary within an n-gram: no code point, and not 0, so that n-grams of different lengths differ.
+EDGE = np.uint64(0x1FFFFF)
 _LETTERS: list[np.ndarray] = []
 
 
@@ -62,10 +64,11 @@ def grams_of(column: pa.Array) -> Iterator[np.ndarray]:
             if len(own) < 3:
                 yield np.zeros(0, np.uint64)
                 continue
+            letter = own != 0
+            own = np.where(letter, own, EDGE)
             two = (own[:-1] << np.uint64(21)) | own[1:]
-            inner = own[1:-1] != 0
             three = (two[:-1] << np.uint64(21)) | own[2:]
-            yield np.concatenate([own[own != 0], two, three[inner]])
+            yield np.concatenate([own[letter], two, three[letter[1:-1]]])
 
 
 def ranked(grams: np.ndarray, top: int) -> np.ndarray:
@@ -142,5 +145,6 @@ def held_out(column: str, folds: int, fold: int) -> Column:
 
 def keep_known_languages(documents: DataFrame, reject: float = REJECT, per_language: int = PER_LANGUAGE) -> DataFrame:
     """documents, in their own columns, without those that have no letter or are near to no language learnt from them."""
-    found = predict_language(documents, learn_profiles(documents, per_language))
-    return found.where((F.col("lang_pred") != "und") & (F.col("distance") <= reject)).select(*(F.col(f"`{c}`") for c in documents.columns))
+    moved, own = aside(documents, [f.name for f in OUTPUT])
+    found = predict_language(moved, learn_profiles(documents, per_language))
+    return found.where((F.col("lang_pred") != "und") & (F.col("distance") <= reject)).select(*own)
