@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +38,13 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def aside(df: DataFrame, names: list[str]) -> tuple[DataFrame, list[Column]]:
+    """df with columns of these names renamed out of an operator's way, and the columns that give df's own back."""
+    taken = {n.lower() for n in names}
+    moved = {c: f"__tg_in_{c}" for c in df.columns if c.lower() in taken}
+    return df.withColumnsRenamed(moved), [F.col(f"`{moved.get(c, c)}`").alias(c) for c in df.columns]
+
+
 def map_column(df: DataFrame, column: str, new: list[T.StructField], fn: Callable[[pa.Array], list[pa.Array]], replace: bool = False) -> DataFrame:
     """df with the columns that fn makes from one column, batch by batch; the other columns pass through unread.
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegrid.llm._frames import free_name, map_column
+from tidegrid.llm._frames import aside, free_name, map_column
 from tidegrid.llm._words import ALNUM, Words, chunks, covered
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -167,8 +167,9 @@ def remove_contamination(documents: DataFrame, benchmark: DataFrame, n: int = N,
     A document of whose words at least ``drop_share`` are hit goes whole. From the others the hit spans go, with
     the text from a span's first word up to the word after it; ``n_chars``, where it is a column, follows.
     """
-    judged = find_contamination(documents, benchmark, n, max_broadcast)
-    names = documents.columns
+    moved, own = aside(documents, [f.name for f in [*OUTPUT, SPANS]])
+    judged = find_contamination(moved, benchmark, n, max_broadcast)
+    names = moved.columns
 
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -180,8 +181,7 @@ def remove_contamination(documents: DataFrame, benchmark: DataFrame, n: int = N,
             yield pa.RecordBatch.from_arrays([columns[c] for c in names], names=names)
 
     keep = ~F.col("contaminated") | (F.col("n_hit") < drop_share * F.col("n_words"))
-    cleaned = judged.where(keep)
-    out = cleaned.select(*documents.columns, "hit_spans").mapInArrow(fn, documents.schema)
+    out = judged.where(keep).select(*names, "hit_spans").mapInArrow(fn, moved.schema).select(*own)
     return out.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType)) if "n_chars" in documents.columns else out
 
 

@@ -56,23 +56,23 @@ def mix_documents(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, shar
     """documents with size, source_size, target, taken and position, range-sorted by position."""
     kept = [c for c in documents.columns if c.lower() not in OUTPUT]
     digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    sized = documents.select(*(F.col(f"`{c}`") for c in kept), F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long").alias("size"), digest.alias("_digest"))
-    slim = documents.select("source", F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long").alias("size"), F.substring(digest, 1, BUCKET_DIGITS).alias("_bucket"))
-    buckets = slim.groupBy("source", "_bucket").agg(F.sum("size").alias("bucket_size"))
+    sized = documents.select(*(F.col(f"`{c}`") for c in kept), F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long").alias("size"), digest.alias("__tg_digest"))
+    slim = documents.select("source", F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long").alias("size"), F.substring(digest, 1, BUCKET_DIGITS).alias("__tg_bucket"))
+    buckets = slim.groupBy("source", "__tg_bucket").agg(F.sum("size").alias("bucket_size"))
     targets = source_targets(buckets.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights, share, max_repeats)
-    run = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = buckets.withColumn("_offset", F.coalesce(F.sum("bucket_size").over(run), F.lit(0))).alias("b")
-    targets = targets.withColumnRenamed("source", "_s").alias("t")
-    offsets = offsets.join(targets, F.col("b.source").eqNullSafe(F.col("t._s"))).select(F.col("b.source").alias("_s"), F.col("b._bucket").alias("_b"), "_offset", "source_size", "target", "slope")
-    placed = sized.join(offsets, sized["source"].eqNullSafe(offsets["_s"]) & (F.substring(sized["_digest"], 1, BUCKET_DIGITS) == offsets["_b"]))
-    inside = Window.partitionBy("_s", "_b").orderBy("_digest", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    placed = placed.withColumn("_upto", F.col("_offset") + F.sum("size").over(inside))
+    run = Window.partitionBy("source").orderBy("__tg_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = buckets.withColumn("__tg_offset", F.coalesce(F.sum("bucket_size").over(run), F.lit(0))).alias("b")
+    targets = targets.withColumnRenamed("source", "__tg_s").alias("t")
+    offsets = offsets.join(targets, F.col("b.source").eqNullSafe(F.col("t.__tg_s"))).select(F.col("b.source").alias("__tg_s"), F.col("b.__tg_bucket").alias("__tg_b"), "__tg_offset", "source_size", "target", F.col("slope").alias("__tg_slope"))
+    placed = sized.join(offsets, sized["source"].eqNullSafe(offsets["__tg_s"]) & (F.substring(sized["__tg_digest"], 1, BUCKET_DIGITS) == offsets["__tg_b"]))
+    inside = Window.partitionBy("__tg_s", "__tg_b").orderBy("__tg_digest", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    placed = placed.withColumn("__tg_upto", F.col("__tg_offset") + F.sum("size").over(inside))
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    upto, since = F.floor(F.col("_upto") * ratio), F.floor((F.col("_upto") - F.col("size")) * ratio)
+    upto, since = F.floor(F.col("__tg_upto") * ratio), F.floor((F.col("__tg_upto") - F.col("size")) * ratio)
     placed = placed.withColumn("taken", F.when(F.col("size") > 0, upto - since).otherwise(F.lit(0)).cast("long"))
     # demand D(t) = (1 - a) t + a t^2 for the schedule 1 + a (2 t - 1); its inverse at the middle of the words taken
     middle = F.when(F.col("target") > 0, (upto + since) / (F.lit(2.0) * F.col("target"))).otherwise(F.lit(0.0))
-    middle, a = F.least(F.lit(1.0), middle), F.col("slope")
+    middle, a = F.least(F.lit(1.0), middle), F.col("__tg_slope")
     inverse = F.when(a == 0, middle).otherwise((a - 1 + F.sqrt((F.lit(1.0) - a) * (F.lit(1.0) - a) + F.lit(4.0) * a * middle)) / (F.lit(2.0) * F.when(a != 0, a)))
     placed = placed.withColumn("position", F.round(inverse, 6))
     return placed.select(*(F.col(f"`{c}`") for c in kept), *OUTPUT).orderBy("position", "doc_id")

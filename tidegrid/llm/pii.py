@@ -23,6 +23,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegrid.llm._frames import aside
+
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("local_phone", "national_id", "secret")
 KINDS = BASE + ADDED
@@ -88,20 +90,20 @@ def _valid(kind: str, x: Column) -> Column:
 
 
 def _checked(kind: str) -> Column:
-    return F.filter(f"_{kind}", lambda z: _valid(kind, z["x"]))
+    return F.filter(f"__tg_{kind}", lambda z: _valid(kind, z["x"]))
 
 
 def _candidates(documents: DataFrame) -> DataFrame:
-    """documents with _t (the text), _base and _more: arrays of (kind, s, e, x)."""
-    text = F.col("_t")
-    out = documents.withColumn("_t", F.coalesce("text", F.lit("")))
+    """documents with __tg_t (the text), __tg_base and __tg_more: arrays of (kind, s, e, x)."""
+    text = F.col("__tg_t")
+    out = documents.withColumn("__tg_t", F.coalesce("text", F.lit("")))
     has = {k: text.contains(h) if k == "email" else text.rlike(h) for k, h in HINTS.items()}
-    out = out.withColumns({f"_{k}": _spans(k, PATTERNS[k], text, has[k]) for k in BASE})
+    out = out.withColumns({f"__tg_{k}": _spans(k, PATTERNS[k], text, has[k]) for k in BASE})
     digits = text.rlike("[0-9]")
-    out = out.withColumns({f"_{k}": _spans(k, SHAPES[k], text, digits) for k in ADDED})
-    out = out.withColumn("_base", F.concat(*map(_checked, BASE)))
-    clear = lambda c: ~F.exists("_base", lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"]))
-    return out.withColumn("_more", F.filter(F.concat(*(F.col(f"_{k}") for k in ADDED)), clear))
+    out = out.withColumns({f"__tg_{k}": _spans(k, SHAPES[k], text, digits) for k in ADDED})
+    out = out.withColumn("__tg_base", F.concat(*map(_checked, BASE)))
+    clear = lambda c: ~F.exists("__tg_base", lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"]))
+    return out.withColumn("__tg_more", F.filter(F.concat(*(F.col(f"__tg_{k}") for k in ADDED)), clear))
 
 
 def _votes(kind: Column, x: Column, before: Column) -> dict[str, Column]:
@@ -186,8 +188,8 @@ def fit_classifier(rows: list[tuple[tuple, float, float]]) -> dict[tuple[str, ob
 
 def learn_spans(documents: DataFrame) -> dict[tuple[str, object], float]:
     """The span classifier's weights, from every candidate of documents. Only bounded tables of counts are collected."""
-    found = _candidates(documents.select("text")).select("_t", F.explode(F.concat("_base", "_more")).alias("c"))
-    found = found.select(F.col("c.kind").alias("kind"), F.col("c.x").alias("x"), _before(F.col("_t"), F.col("c")).alias("before"))
+    found = _candidates(documents.select("text")).select("__tg_t", F.explode(F.concat("__tg_base", "__tg_more")).alias("c"))
+    found = found.select(F.col("c.kind").alias("kind"), F.col("c.x").alias("x"), _before(F.col("__tg_t"), F.col("c")).alias("before"))
     votes, features = (f(F.col("kind"), F.col("x"), F.col("before")) for f in (_votes, _features))
     counts = found.select(*(v.alias(f"v_{k}") for k, v in votes.items()), *(f.alias(k) for k, f in features.items())).groupBy(*(f"v_{k}" for k in votes), *features).count().collect()
     by_votes: dict[tuple[str, tuple[int, ...]], int] = {}
@@ -221,9 +223,9 @@ def find_spans(documents: DataFrame, weights: dict[tuple[str, object], float]) -
     """documents with base_spans and spans: arrays of (kind, s, e), by kind, then start."""
     kept = [c for c in documents.columns if c.lower() not in ("base_spans", "spans")]
     found = _candidates(documents.select(*(F.col(f"`{c}`") for c in kept)))
-    added = F.filter("_more", lambda c: _accepted(weights, c["kind"], c["x"], _before(F.col("_t"), c)))
+    added = F.filter("__tg_more", lambda c: _accepted(weights, c["kind"], c["x"], _before(F.col("__tg_t"), c)))
     slim = lambda spans: F.transform(spans, lambda c: F.struct(c["kind"].alias("kind"), c["s"].alias("s"), c["e"].alias("e")))
-    return found.select(*(F.col(f"`{c}`") for c in kept), slim(F.col("_base")).alias("base_spans"), slim(F.concat(F.col("_base"), added)).alias("spans"))
+    return found.select(*(F.col(f"`{c}`") for c in kept), slim(F.col("__tg_base")).alias("base_spans"), slim(F.concat(F.col("__tg_base"), added)).alias("spans"))
 
 
 def listed(spans: str) -> Column:
@@ -232,7 +234,8 @@ def listed(spans: str) -> Column:
 
 def mask_spans(documents: DataFrame, weights: dict[tuple[str, object], float] | None = None) -> DataFrame:
     """documents, in their own columns, with each span of text replaced by its kind in brackets; n_chars follows."""
-    found = find_spans(documents, learn_spans(documents) if weights is None else weights)
+    moved, own = aside(documents, ["base_spans", "spans"])
+    found = find_spans(moved, learn_spans(documents) if weights is None else weights)
     text = F.col("text")
     ordered = F.array_sort(F.transform("spans", lambda c: F.struct(c["s"].alias("s"), c["e"].alias("e"), c["kind"].alias("kind"))))
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
@@ -245,4 +248,4 @@ def mask_spans(documents: DataFrame, weights: dict[tuple[str, object], float] |
     out = found.withColumn("text", F.when(F.size("spans") > 0, masked).otherwise(text))
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(documents.schema["n_chars"].dataType))
-    return out.select(*(F.col(f"`{c}`") for c in documents.columns))
+    return out.select(*own)

@@ -91,15 +91,15 @@ def measures(text: Column, words: Column, lines: Column) -> dict[str, Column]:
 
 def apply_rules(documents: DataFrame, rules: list[tuple[str, str, float | None, float | None]] = RULES) -> DataFrame:
     """documents with OUTPUT's columns; failed_rules lists the names of the rules that failed, in the table's order."""
-    text = F.coalesce(F.col("_t"), F.lit(""))
+    text = F.coalesce(F.col("__tg_t"), F.lit(""))
     kept = [c for c in documents.columns if c.lower() not in OUTPUT]
-    lines = F.filter(F.split("_t", "\n", -1), lambda x: x.rlike(WORD))
-    split = documents.select(*(F.col(f"`{c}`") for c in kept), F.coalesce("text", F.lit("")).alias("_t"))
-    split = split.withColumns({"_w": F.regexp_extract_all("_t", F.lit(WORD), F.lit(0)), "_l": lines})
-    made = measures(text, F.col("_w"), F.col("_l"))
+    lines = F.filter(F.split("__tg_t", "\n", -1), lambda x: x.rlike(WORD))
+    split = documents.select(*(F.col(f"`{c}`") for c in kept), F.coalesce("text", F.lit("")).alias("__tg_t"))
+    split = split.withColumns({"__tg_w": F.regexp_extract_all("__tg_t", F.lit(WORD), F.lit(0)), "__tg_l": lines})
+    made = measures(text, F.col("__tg_w"), F.col("__tg_l"))
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    measured = split.withColumns({k: made[k] for k in counts}).withColumns({f"_{k}": v for k, v in made.items() if k not in counts})
-    of = lambda m: F.col(m if m in counts else f"_{m}")
+    measured = split.withColumns({k: made[k] for k in counts}).withColumns({f"__tg_{k}": v for k, v in made.items() if k not in counts})
+    of = lambda m: F.col(m if m in counts else f"__tg_{m}")
     failed = []
     for name, measure, low, high in rules:
         bad = F.lit(False)

@@ -171,14 +171,16 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     ids = documents.select(own_id.alias("_id"), "text")
     mins = saved(shared_minimisers(ids, window), "minimisers")
     owned = owners(ids.join(mins, "_id"), window)
-    rows = documents.select(own_id.alias("_id"), *(F.col(f"`{c}`") for c in kept))
-    joined = rows.join(mins, "_id", "left").join(owned, "_id", "left")
+    own = "__tg_id"
+    rows = documents.select(own_id.alias(own), *(F.col(f"`{c}`") for c in kept))
+    to = lambda df, name: df.select(F.col("_id").alias(own), F.col(name).alias(f"__tg_{name}"))
+    joined = rows.join(to(mins, "mins"), own, "left").join(to(owned, "keys"), own, "left")
     schema = T.StructType([*(documents.schema[c] for c in kept), *OUTPUT])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_words, n_removed, texts, sha = [], [], [], []
-            mins, keys = batch.column("mins"), batch.column("keys")
+            mins, keys = batch.column("__tg_mins"), batch.column("__tg_keys")
             for row, last, data, offsets in chunks(batch.column("text")):
                 words = Words(data, offsets)
                 kmers = Kmers(words, window)
@@ -211,4 +213,4 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
             flat = lambda x: pa.array(np.concatenate(x) if x else [], pa.int64())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), flat(n_words), flat(n_removed), pa.array(texts, pa.string()), pa.array(sha, pa.string())], names=schema.names)
 
-    return joined.select(*(F.col(f"`{c}`") for c in kept), "mins", "keys").mapInArrow(cut, schema)
+    return joined.select(*(F.col(f"`{c}`") for c in kept), "__tg_mins", "__tg_keys").mapInArrow(cut, schema)

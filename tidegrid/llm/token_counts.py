@@ -70,11 +70,11 @@ def count_tokens(documents: DataFrame, tokenizer: str, cache: str | None = None,
     shared = spark.sparkContext.broadcast(content)
     digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("_id"), digest.alias("_digest"))
-    wanted = rows.groupBy("_digest").agg(F.min("_id").alias("_rep"))
-    missed = wanted.join(_stored(documents, folder).select(F.col("digest").alias("_digest")), "_digest", "left_anti")
+    rows = documents.select(F.col("doc_id").cast("long").alias("_id"), digest.alias("__tg_digest"))
+    wanted = rows.groupBy("__tg_digest").agg(F.min("_id").alias("_rep"))
+    missed = wanted.join(_stored(documents, folder).select(F.col("digest").alias("__tg_digest")), "__tg_digest", "left_anti")
     texts = documents.select(F.col("doc_id").cast("long").alias("_id"), F.coalesce("text", F.lit("")).alias("text"))
-    texts = texts.join(missed, F.col("_id").eqNullSafe(F.col("_rep")) & (F.unhex(F.sha2("text", 256)) == F.col("_digest")))
+    texts = texts.join(missed, F.col("_id").eqNullSafe(F.col("_rep")) & (F.unhex(F.sha2("text", 256)) == F.col("__tg_digest")))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count, seen = _counter(shared.value, kind), set()
@@ -83,7 +83,7 @@ def count_tokens(documents: DataFrame, tokenizer: str, cache: str | None = None,
             keys: list[bytes] = []
             counts: list[int] = []
             held = 0
-            for key, text in zip(batch.column("_digest").to_pylist(), batch.column("text"), strict=True):
+            for key, text in zip(batch.column("__tg_digest").to_pylist(), batch.column("text"), strict=True):
                 if key in seen:  # equal rows
                     continue
                 seen.add(key)
@@ -96,9 +96,9 @@ def count_tokens(documents: DataFrame, tokenizer: str, cache: str | None = None,
             counts += count(run) if run else []
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(counts, pa.int64())], names=["digest", "n_tokens"])
 
-    texts.select("_digest", "text").mapInArrow(encode, STORED).write.mode("append").parquet(folder)
+    texts.select("__tg_digest", "text").mapInArrow(encode, STORED).write.mode("append").parquet(folder)
     kept = [c for c in documents.columns if c.lower() not in OUTPUT]
-    out = documents.select(*(F.col(f"`{c}`") for c in kept), F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), digest.alias("_digest"))
-    counts = _stored(documents, folder).withColumnRenamed("digest", "_digest")
-    out = out.join(counts, "_digest", "left")
+    out = documents.select(*(F.col(f"`{c}`") for c in kept), F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), digest.alias("__tg_digest"))
+    counts = _stored(documents, folder).withColumnRenamed("digest", "__tg_digest")
+    out = out.join(counts, "__tg_digest", "left")
     return out.select(*(F.col(f"`{c}`") for c in kept), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
