@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegrid import streaming
 from tidegrid.functions import labels
 from tidegrid.operators import clean, drift, features, gates, metrics, ml, panel, quality, serving, slices, stations
 from tidegrid.plans import domain
@@ -786,6 +787,29 @@ def last_known(spark: SparkSession, d: str) -> DataFrame:
     return serving.last_known(domain.matrix(spark, d), ["temperature_c", "precipitation_mm", "wind_speed_kmh"])
 
 
+# Streams
+
+
+def _event_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The table's path as a pattern: a stream's plain path has to be a folder, and the table may be one file."""
+    return spark.readStream.schema(domain.table(spark, d, "events").schema).parquet(f"{d}/[e]vents.parquet")
+
+
+@query("SELECT CAST(user_id AS VARCHAR) AS start_station_id, date_trunc('hour', ts) AS hour, count(*) AS demand_count FROM events WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 2 HOUR FROM events) GROUP BY 1, 2")
+def streaming_demand(spark: SparkSession, d: str) -> DataFrame:
+    """The hours that the watermark has closed."""
+    trips = _event_stream(spark, d).select(F.col("user_id").cast("string").alias("start_station_id"), F.col("ts").alias("started_at"))
+    return streaming.drained(streaming.streaming_demand(trips), "streaming-demand")
+
+
+@query("""SELECT first_day, count(*) AS n, round(sqrt(avg((value - user_id) * (value - user_id))), 6) AS rmse, round(avg(abs(value - user_id)), 6) AS mae FROM (SELECT *, unnest([date_trunc('day', ts) - to_days(CAST(k AS INTEGER)) FOR k IN range(0, 7)]) AS first_day FROM events)
+WHERE first_day + INTERVAL 7 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events) GROUP BY 1""")
+def streaming_performance(spark: SparkSession, d: str) -> DataFrame:
+    """X02, with an event's value as the prediction and its user as the truth."""
+    log = _event_stream(spark, d).select(F.col("ts").alias("forecast_hour"), F.col("value").alias("predicted_demand"), F.col("user_id").cast("double").alias("actual_demand"))
+    return streaming.drained(streaming.streaming_performance(log), "streaming-performance")
+
+
 # Models (rows only)
 
 SMALL = {"maxIter": 5, "maxDepth": 4, "stepSize": 0.2}

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegrid.sources.store import checkpoint_root
+
 
 def streaming_demand(events: DataFrame, at: str = "started_at", delay: str = "2 hours") -> DataFrame:
     """Pickups by station and hour; an event later than the watermark is dropped."""
@@ -19,3 +23,11 @@ def streaming_performance(log: DataFrame, at: str = "forecast_hour", delay: str
     own = log.withColumn("_at", F.col(at).cast("timestamp")).withWatermark("_at", delay)
     rolled = own.groupBy(F.window("_at", "7 days", "1 day")).agg(F.count("*").alias("n"), F.sqrt(F.avg(off * off)).alias("rmse"), F.avg(F.abs(off)).alias("mae"))
     return rolled.select(F.col("window.start").cast("timestamp_ntz").alias("first_day"), "n", F.round("rmse", 6).alias("rmse"), F.round("mae", 6).alias("mae"))
+
+
+def drained(stream: DataFrame, what: str) -> DataFrame:
+    """What a stream appends until its source has no more: written, with its checkpoint, to the shared folder."""
+    root = f"{checkpoint_root(stream.sparkSession).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    run = stream.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/state").outputMode("append").trigger(availableNow=True).start()
+    run.awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{root}/out")
