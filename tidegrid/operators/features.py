@@ -75,7 +75,8 @@ def join_capacity(panel: DataFrame, stations: DataFrame, default: int = CAPACITY
 
 def holiday_calendar(spark, rows: list[tuple[str, str]] = HOLIDAYS) -> DataFrame:
     """Date, holiday, year, holiday_type, is_holiday."""
-    days = spark.createDataFrame(rows, "day string, holiday string").select(F.to_date("day").alias("date"), "holiday")
+    cells = F.array(*(F.struct(F.lit(day).alias("day"), F.lit(name).alias("holiday")) for day, name in rows))
+    days = spark.range(1).select(F.inline(cells)).select(F.to_date("day").alias("date"), "holiday")
     return days.withColumns({"year": F.year("date"), "holiday_type": holiday_type(F.col("holiday")), "is_holiday": F.lit(1)})
 
 
