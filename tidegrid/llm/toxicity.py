@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegrid.llm._frames import map_column, saved
+from tidegrid.llm._frames import map_column, saved, small_batches
 from tidegrid.llm._words import ALNUM, NOT_SPACE, Words, chunks
 
 PER_CLASS = 6000
@@ -77,6 +77,7 @@ def count_trigrams(documents: DataFrame) -> np.ndarray:
         has = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(has), pa.array(total[has])], names=["gram", "n"])
 
+    small_batches(documents.sparkSession)
     counted = documents.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     out = np.zeros(SYMBOLS**3, np.int64)
     for r in counted.collect():
@@ -277,17 +278,14 @@ def learn(documents: DataFrame, labels: DataFrame, decoder: Decoder, per_class:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             toxic, row = batch.column("toxic").to_numpy(), 0
-            seen = []
-            for n, _, parts in _parts(batch.column("text"), decoder):
+            for n, _, parts in _parts(batch.column("text"), decoder):  # sums of one chunk at a time
                 pairs = [np.stack([doc[own].astype(np.uint64), h]) for words, doc in parts for own, h in word_features(words)]
                 pairs = np.unique(np.concatenate(pairs, axis=1), axis=1)
-                seen.append(np.stack([pairs[1], toxic[row : row + n][pairs[0].astype(np.int64)].astype(np.uint64)]))
+                values, where = np.unique(pairs[1], return_inverse=True)
+                bad = np.bincount(where, toxic[row : row + n][pairs[0].astype(np.int64)], len(values)).astype(np.int64)
+                every = np.bincount(where, minlength=len(values))
                 row += n
-            both = np.concatenate(seen, axis=1) if seen else np.zeros((2, 0), np.uint64)
-            values, where = np.unique(both[0], return_inverse=True)
-            bad = np.bincount(where, both[1], len(values)).astype(np.int64)
-            every = np.bincount(where, minlength=len(values))
-            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(bad), pa.array(every - bad)], names=["feature", "bad", "good"])
+                yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(bad), pa.array(every - bad)], names=["feature", "bad", "good"])
 
     n_bad, n_good = (int(r) for r in first.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.coalesce(F.sum(1 - F.col("toxic")), F.lit(0))).first())
     if not n_bad or not n_good:
