@@ -7,11 +7,14 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegrid.llm._words import mix
+
 
 def shared_dir(spark: SparkSession, what: str) -> str:
     """A new folder below spark.checkpoint.dir; only where that is unset (tests), a local one."""
@@ -30,6 +33,17 @@ def saved(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of an Arrow batch: whole texts are in it, in the JVM and in Python, several times over.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Keeps the session's Arrow batches of texts within an executor's memory; a smaller setting stands."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """name, with underscores before it until no column of df has it."""
     taken = {c.lower() for c in df.columns}
@@ -45,16 +59,14 @@ def aside(df: DataFrame, names: list[str]) -> tuple[DataFrame, list[Column]]:
     return df.withColumnsRenamed(moved), [F.col(f"`{moved.get(c, c)}`").alias(c) for c in df.columns]
 
 
-def map_column(df: DataFrame, column: str, new: list[T.StructField], fn: Callable[[pa.Array], list[pa.Array]], replace: bool = False) -> DataFrame:
+def map_column(df: DataFrame, column: str, new: list[T.StructField], fn: Callable[[pa.Array], list[pa.Array]]) -> DataFrame:
     """df with the columns that fn makes from one column, batch by batch; the other columns pass through unread.
 
     A new column takes the place of one with its name.
     """
-    if replace:
-        kept = df.columns
-    else:
-        names = {f.name.lower() for f in new}
-        kept = [c for c in df.columns if c.lower() not in names or c == column]
+    small_batches(df.sparkSession)
+    names = {f.name.lower() for f in new}
+    kept = [c for c in df.columns if c.lower() not in names or c == column]
     made = {f.name: f for f in new}
     schema = T.StructType([*(made.get(c, df.schema[c]) for c in kept), *(f for f in new if f.name not in kept)])
 
@@ -65,3 +77,37 @@ def map_column(df: DataFrame, column: str, new: list[T.StructField], fn: Callabl
             yield pa.RecordBatch.from_arrays([arrays[f.name] for f in schema.fields], names=[f.name for f in schema.fields])
 
     return df.select(*(F.col(f"`{c}`") for c in dict.fromkeys([*kept, column]))).mapInArrow(run, schema)
+
+
+#: Bits of a key sketch: 8 MB, however many keys there are. A full sketch lets every row pass, and costs no row.
+SKETCH_BITS = 26
+
+
+def _places(keys: np.ndarray) -> Iterator[np.ndarray]:
+    for salt in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
+        yield mix(keys.view(np.uint64) ^ np.uint64(salt)) >> np.uint64(64 - SKETCH_BITS)
+
+
+def key_sketch(keys: DataFrame) -> np.ndarray:
+    """A bitmap of the keys, a long column k. Tasks set bits, Spark joins them, and 2^20 words at the most are collected."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = np.concatenate(list(_places(batch.column(0).to_numpy())))
+            words, where = np.unique(places >> np.uint64(6), return_inverse=True)
+            bits = np.zeros(len(words), np.uint64)
+            np.bitwise_or.at(bits, where, np.uint64(1) << (places & np.uint64(63)))
+            yield pa.RecordBatch.from_arrays([pa.array(words.astype(np.int64)), pa.array(bits.view(np.int64))], names=["word", "bits"])
+
+    found = keys.mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(1 << (SKETCH_BITS - 6), np.uint64)
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def may_hold(sketch: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """False only for keys that the sketch was not made of."""
+    out = np.ones(len(keys), bool)
+    for p in _places(keys):
+        out &= (sketch[p >> np.uint64(6)] >> (p & np.uint64(63))) & np.uint64(1) == 1
+    return out

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are handled in one go; a longer text is handled alone.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 _BASE = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}

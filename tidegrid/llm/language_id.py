@@ -23,11 +23,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegrid.llm._frames import aside, map_column
+from tidegrid.llm._frames import aside, map_column, small_batches
 from tidegrid.llm._words import chunks
 
 PROFILE, TOP = 400, 300
 PER_LANGUAGE = 5000
+#: N-grams that a task holds before it sums them.
+AT_ONCE = 1_000_000
 #: A document farther than this share of the greatest distance from every language is rejected by the pipeline's filter.
 REJECT = 0.95
 OUTPUT = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("distance", T.DoubleType())]
@@ -98,19 +100,29 @@ class Profiles:
 
 def learn_profiles(documents: DataFrame, per_language: int = PER_LANGUAGE) -> Profiles:
     """From doc_id, text and lang, as many rows as per_language allows; rows without lang teach nothing."""
+    small_batches(documents.sparkSession)
     known = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     rate = known.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(per_language)) / F.count("*")).alias("_rate"))
     drawn = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 20)) < F.col("_rate") * (1 << 20)
     sample = known.join(F.broadcast(rate), "lang").where(drawn).select("lang", "text")
 
+    def summed(held: dict[str, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        for lang, parts in held.items():
+            values, counts = np.unique(np.concatenate(parts), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(values), pa.string()), pa.array(values.view(np.int64)), pa.array(counts)], names=["lang", "gram", "n"])
+        held.clear()
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held: dict[str, list[np.ndarray]] = {}
+            size = 0
             for lang, own in zip(batch.column("lang").to_pylist(), grams_of(batch.column("text")), strict=True):
                 held.setdefault(lang, []).append(own)
-            for lang, parts in held.items():
-                values, counts = np.unique(np.concatenate(parts), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(values), pa.string()), pa.array(values.view(np.int64)), pa.array(counts)], names=["lang", "gram", "n"])
+                size += len(own)
+                if size > AT_ONCE:
+                    yield from summed(held)
+                    size = 0
+            yield from summed(held)
 
     counted = sample.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     best = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")

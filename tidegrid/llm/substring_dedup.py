@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegrid.llm._frames import saved
+from tidegrid.llm._frames import saved, small_batches
 from tidegrid.llm._words import Words, chunks, mix, sliding_min
 
 WINDOW, MINIMISER = 50, 8
@@ -166,6 +166,7 @@ def owners(candidates: DataFrame, window: int) -> DataFrame:
 
 def remove_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     """documents with n_words, n_removed, kept_text (kept words joined by one space) and its kept_sha256."""
+    small_batches(documents.sparkSession)
     kept = [c for c in documents.columns if c.lower() not in {f.name for f in OUTPUT}]
     own_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
     ids = documents.select(own_id.alias("_id"), "text")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegrid.llm._frames import shared_dir
+from tidegrid.llm._frames import shared_dir, small_batches
 
 LIMIT = 1024
 #: Bytes of text that are encoded at once: the library's objects take some hundred bytes a token.
@@ -64,6 +64,7 @@ def count_tokens(documents: DataFrame, tokenizer: str, cache: str | None = None,
     """documents with n_bytes, n_tokens and over_limit. tokenizer: a path that the driver reads; its content is
     broadcast, as a vocabulary is a few MB whatever the corpus. cache: a shared folder; None makes a new one."""
     spark = documents.sparkSession
+    small_batches(spark)
     content, kind = Path(tokenizer).read_bytes(), Path(tokenizer).suffix
     version = hashlib.sha256(content).hexdigest()
     folder = f"{cache or shared_dir(spark, 'token-cache')}/version={version}"
