@@ -29,13 +29,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegrid.llm._frames import free_name, map_column, saved
+from tidegrid.llm._frames import free_name, key_sketch, map_column, may_hold, saved
 from tidegrid.llm._words import Words, chunks, mix
 from tidegrid.llm.components import components
 
 SHINGLE, THRESHOLD = 3, 90
 #: Least number of spare partitions, and the growth of a band's sizes; the latter must be over 100 / THRESHOLD.
-SPARE, BAND = 2, 1.4
+SPARE, BAND = 5, 1.4
+
+#: Stands for a null id while rows are dealt.
+NO_ID = (1 << 63) - 1
 
 _C = np.uint64(0xA0761D6478BD642F)
 
@@ -76,7 +79,8 @@ class Signatures:
         spare = SPARE + int(3 * (k + 1) * np.exp(-0.8 * top / (k + 1)))  # some times what chance leaves empty
         return (k + 1 + spare, spare) if k else (1, 0)
 
-    def of(self, found: np.ndarray) -> np.ndarray:
+    def of(self, found: np.ndarray) -> tuple[np.ndarray, int]:
+        """The signatures, and how many of them a linked set shares at least."""
         size = len(found)
         if size >= self.edges[-1]:
             self.edges = _edges(2 * size)
@@ -86,18 +90,20 @@ class Signatures:
         out = [self._in_band(found, band)]
         if 100 * size // self.threshold >= self.edges[band + 1]:
             out.append(self._in_band(found, band + 1))
-        return np.concatenate(out)
+        return np.concatenate([own for own, _ in out]), min(need for _, need in out)
 
-    def _in_band(self, found: np.ndarray, band: int) -> np.ndarray:
+    def _in_band(self, found: np.ndarray, band: int) -> tuple[np.ndarray, int]:
         n, spare = self.partitions(band)
         part = ((found >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)  # found is sorted, so part is
         first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
         own = part[first]
         sums = np.add.reduceat(mix(found ^ _C), first)
-        if n - len(own) > spare:
+        need = spare + 1 - (n - len(own))  # of the partitions that agree, so many are not empty
+        if need < 1:
+            need = spare + 1
             empty = np.setdiff1d(np.arange(n, dtype=np.uint64), own, assume_unique=True)
             own, sums = np.concatenate([own, empty]), np.concatenate([sums, np.zeros(len(empty), np.uint64)])
-        return mix(sums + mix(own + np.uint64((band + 1) << 32)))
+        return mix(sums + mix(own + np.uint64((band + 1) << 32))), need
 
 
 def _class_of(column: pa.Array, n: int) -> list[pa.Array]:
@@ -116,42 +122,60 @@ def _signed(ids: DataFrame, n: int, threshold: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer, seen = Signatures(threshold), set()
         for batch in batches:
-            sigs, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            sigs, owners, needs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
             for found in sets_of(batch.column("text"), n):
                 if len(found) and (key := digests(found)) not in seen:  # a task's equal sets sign once
                     seen.add(key)
-                    sigs.append(signer.of(found))
-                    owners.append(np.full(len(sigs[-1]), key[0]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(owners))], names=["sig", "d1"])
+                    own, need = signer.of(found)
+                    sigs.append(own)
+                    owners.append(np.full(len(own), key[0]))
+                    needs.append(np.full(len(own), need, np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(owners)), pa.array(np.concatenate(needs))], names=["sig", "d1", "need"])
 
-    return ids.select("text").mapInArrow(run, "sig long, d1 long")
+    return ids.select("text").mapInArrow(run, "sig long, d1 long, need int")
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by sig and d1: the distinct ones whose sig has two classes at least. Only the last row and a run's
-    first are held over, so a signature of any size streams through."""
-    held: tuple[int, int] | None = None  # the last row, not yet given out
-    open_sig: int | None = None  # the signature of the last row, if that is known to be shared
+    """Of rows sorted by sig and d1: the distinct ones whose sig has two classes at least. Only the last row and whether its
+    signature is known to be shared are held over, so a signature of any size streams through."""
+    held: tuple[np.ndarray, ...] | None = None  # the last row, not yet given out
+    known = False
     for batch in batches:
-        sig, d1 = (batch.column(k).to_numpy() for k in range(2))
+        sig, d1, need = (batch.column(k).to_numpy() for k in range(3))
         if held is not None:
-            sig, d1 = np.concatenate([[held[0]], sig]), np.concatenate([[held[1]], d1])
+            sig, d1, need = (np.concatenate(x) for x in zip(held, (sig, d1, need), strict=True))
         if not len(sig):
             continue
         new = np.ones(len(sig), bool)
         new[1:] = (sig[1:] != sig[:-1]) | (d1[1:] != d1[:-1])
-        sig, d1 = sig[new], d1[new]
+        sig, d1, need = sig[new], d1[new], need[new]
         shared = np.zeros(len(sig), bool)
         same = sig[1:] == sig[:-1]
         shared[1:] |= same
         shared[:-1] |= same
-        shared |= sig == open_sig if open_sig is not None else False
-        held = (int(sig[-1]), int(d1[-1]))
-        open_sig = held[0] if shared[-1] else None
-        out = shared[:-1]
-        yield pa.RecordBatch.from_arrays([pa.array(sig[:-1][out]), pa.array(d1[:-1][out])], names=["sig", "d1"])
-    if held is not None and open_sig == held[0]:
-        yield pa.RecordBatch.from_arrays([pa.array([held[0]], pa.int64()), pa.array([held[1]], pa.int64())], names=["sig", "d1"])
+        if held is not None and known:
+            shared |= sig == held[0][0]
+        held, known = (sig[-1:], d1[-1:], need[-1:]), bool(shared[-1])
+        yield pa.RecordBatch.from_arrays([pa.array(x[:-1][shared[:-1]]) for x in (sig, d1, need)], names=["sig", "d1", "need"])
+    if held is not None and known:
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], names=["sig", "d1", "need"])
+
+
+def _able(rows: DataFrame) -> DataFrame:
+    """rows of classes that share as many signatures as a link takes; then, of signatures that two classes still share."""
+    enough = rows.groupBy("d1").agg(F.count("*").alias("n"), F.first("need").alias("need")).where("n >= need").select("d1")
+    kept = rows.join(enough, "d1")
+    common = kept.groupBy("sig").agg(F.count("*").alias("common")).where("common > 1")
+    return kept.join(common, "sig").select("sig", "d1", "need", "common")
+
+
+def _agreeing(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs (x, y) that share as many signatures as a link takes. Signatures are a fraction of the features, so this is
+    asked before sets are moved."""
+    own = saved(rows.groupBy("d1").agg(F.collect_set("sig").alias("sigs"), F.first("need").alias("need")), "signatures-by-class")
+    a, b = own.alias("a"), own.alias("b")
+    joined = pairs.join(a, F.col("x") == F.col("a.d1")).join(b, F.col("y") == F.col("b.d1"))
+    return joined.where(F.size(F.array_intersect("a.sigs", "b.sigs")) >= F.greatest("a.need", "b.need")).select("x", "y")
 
 
 def _with_sets(ids: DataFrame, needed: DataFrame, n: int) -> DataFrame:
@@ -166,6 +190,15 @@ def _with_sets(ids: DataFrame, needed: DataFrame, n: int) -> DataFrame:
                     rows.append((batch.column("rep")[i].as_py(), want[1], want[0], found.view(np.int64)))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.list_(pa.int64()))], names=["rep", "d1", "n", "features"])
 
+    # only texts that may be needed are moved
+    sketch = ids.sparkSession.sparkContext.broadcast(key_sketch(needed.select(F.col("rep").alias("k"))))
+
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.column("_id").fill_null(NO_ID).to_numpy()
+            yield batch.filter(pa.array(may_hold(sketch.value, own)))
+
+    ids = ids.mapInArrow(wanted, ids.schema)
     return ids.join(needed, ids["_id"] == needed["rep"]).select("text", "rep", *_CLASS).mapInArrow(run, "rep long, d1 long, n long, features array<long>").dropDuplicates(["rep"])
 
 
@@ -183,11 +216,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, left: str, right: str, threshol
 
 def _residual_pairs(rows: DataFrame, sets: DataFrame, labels: DataFrame, threshold: int) -> DataFrame:
     """Pairs (a, b) of different components that may link, from signatures whose classes lie in more than one component."""
-    named = sets.join(labels.withColumnRenamed("v", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    placed = rows.join(named.select("d1", "label"), "d1")
+    named = sets.select("rep", "d1").join(labels.withColumnRenamed("v", "rep"), "rep", "left").select("d1", F.coalesce("label", "rep").alias("label"))
+    # the one pair of a signature with two classes has been compared; a pair that has none such shares as many others as a link takes
+    placed = rows.where("common > 2").join(named, "d1")
     mixed = placed.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("sig")
-    who = placed.join(mixed, "sig").select("d1").distinct()
-    tokens = named.join(who, "d1").select("rep", "label", "n", F.explode("features").alias("t"))
+    who = saved(placed.join(mixed, "sig").groupBy("d1").agg(F.count("*").alias("c"), F.first("need").alias("need"), F.first("label").alias("label")).where("c >= need").select("d1", "label"), "unsettled")
+    tokens = sets.join(who, "d1").select("rep", "label", "n", F.explode("features").alias("t"))
     counted = tokens.groupBy("t").agg(F.count("*").alias("df"))
     # a class's prefix: its rarest features, n - ceil(t n) + 1 of them; linked classes share one
     length = F.col("n") - F.ceil(F.col("n") * threshold / 100) + 1
@@ -208,13 +242,14 @@ def class_components(ids: DataFrame, n: int = SHINGLE, threshold: int = THRESHOL
     rows_of = saved(rows_of, "set-digests")
     classes = saved(rows_of.where("_n > 0").groupBy(*_CLASS).agg(F.min("_id").alias("rep")), "classes")
     signed = _signed(ids, n, threshold)
-    rows = saved(signed.repartition("sig").sortWithinPartitions("sig", "d1").mapInArrow(_shared, "sig long, d1 long"), "signatures")
-    common = rows.groupBy("sig").agg(F.count("*").alias("common"))
-    fame = rows.join(common, "sig").groupBy("d1").agg(F.sum("common").alias("fame"))
+    rows = saved(signed.repartition("sig").sortWithinPartitions("sig", "d1").mapInArrow(_shared, "sig long, d1 long, need int"), "signatures")
+    rows = saved(_able(rows), "signatures")
+    fame = rows.groupBy("d1").agg(F.sum("common").alias("fame"))
     leaders = rows.join(fame, "d1").groupBy("sig").agg(F.max(F.struct("fame", "d1")).getField("d1").alias("lead"))
     pairs = rows.join(leaders, "sig").where("d1 != lead").select(F.col("d1").alias("x"), F.col("lead").alias("y")).distinct()
-    needed = classes.where("rep IS NOT NULL").join(rows.select(F.col("d1").alias("_d1")).distinct(), "_d1")
+    needed = saved(classes.where("rep IS NOT NULL").join(rows.select(F.col("d1").alias("_d1")).distinct(), "_d1"), "needed")
     sets = saved(_with_sets(ids, needed, n), "sets")
+    pairs = saved(_agreeing(pairs, rows), "pairs")
     links = saved(_verified(pairs, sets, "x", "y", threshold), "verified")
     labels = components(links)
     more = saved(_verified(_residual_pairs(rows, sets, labels, threshold), sets, "a", "b", threshold), "verified")
@@ -235,14 +270,29 @@ def near_duplicate_groups(documents: DataFrame, n: int = SHINGLE, threshold: int
 
 def keep_one_of_each_group(documents: DataFrame, n: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
     """The rows of documents, in their own columns, that have no words or the smallest id of their component; one of equal rows."""
-    names = {c: free_name(documents, c) for c in ("_n", "_d1", "_d2", "_row")}
+    names = {c: free_name(documents, c) for c in ("_n", "_d1", "_d2", "_id", "_head", "_row")}
     ids = documents.select(F.col("doc_id").cast("long").alias("_id"), "text")
     rows, named = class_components(ids, n, threshold)
-    heads = named.select(F.col("component_id").alias("_h"), *(F.col(c).alias(f"_h{c}") for c in _CLASS))
-    own = map_column(documents, "text", [T.StructField(names[c], T.LongType()) for c in _CLASS], lambda column: _class_of(column, n))
-    same = [own[names[c]] == heads[f"_h{c}"] for c in _CLASS]
-    head = own["doc_id"].cast("long").eqNullSafe(heads["_h"])
-    first = Window.partitionBy("doc_id", *(names[c] for c in _CLASS)).orderBy(names["_n"])
-    kept = own.join(heads, head & same[0] & same[1] & same[2], "left").where(F.col("_h").isNotNull() | (F.col(names["_n"]) == 0) | F.col("doc_id").isNull() & F.col("_h_n").isNotNull())
-    one = kept.withColumn(names["_row"], F.row_number().over(first)).where((F.col(names["_row"]) == 1) | (F.col(names["_n"]) == 0))
+    key = [names[c] for c in ("_id", *_CLASS)]
+    heads = saved(named.select(F.coalesce("component_id", F.lit(NO_ID)).alias(names["_id"]), *(F.col(c).alias(names[c]) for c in _CLASS), F.lit(True).alias(names["_head"])), "heads")
+    # rows that may be no head, or stand more than once, are joined with the heads; the others stay where they are
+    slim = rows.where("_n > 0").select(F.coalesce("_id", F.lit(NO_ID)).alias(names["_id"]), *(F.col(c).alias(names[c]) for c in _CLASS))
+    doubtful = slim.groupBy(*key).agg(F.count("*").alias("_c")).join(heads, key, "left").where((F.col("_c") > 1) | F.col(names["_head"]).isNull())
+    sketch = documents.sparkSession.sparkContext.broadcast(key_sketch(doubtful.select((F.col(names["_id"]).bitwiseXOR(F.col(names["_d1"]))).alias("k"))))
+    columns, id_type = documents.columns, "doc_id"
+    made = T.StructType([*documents.schema.fields, *(T.StructField(names[c], T.LongType()) for c in ("_id", *_CLASS)), T.StructField(names["_head"], T.BooleanType())])
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size, d1, d2 = _class_of(batch.column("text"), n)
+            own = batch.column(id_type).cast(pa.int64()).fill_null(NO_ID)
+            maybe = may_hold(sketch.value, own.to_numpy() ^ d1.to_numpy()) & (size.to_numpy() > 0)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), own, size, d1, d2, pa.array(maybe)], names=made.names)
+
+    marked = documents.mapInArrow(mark, made)
+    settled = marked.where(~F.col(names["_head"]))
+    first = Window.partitionBy(*key).orderBy(names["_n"])  # dealt and sorted as the join left it
+    open_rows = marked.where(F.col(names["_head"])).drop(names["_head"]).join(heads, key)
+    one = open_rows.withColumn(names["_row"], F.row_number().over(first)).where(F.col(names["_row"]) == 1)
+    one = settled.select(*documents.columns).unionByName(one.select(*documents.columns))
     return one.select(*(F.col(f"`{c}`") for c in documents.columns))
