@@ -177,6 +177,28 @@ def test_disguised_tokens():
     assert not {b"thing", b"HELLO", b"fine", b"words"} & found
 
 
+def test_every_reading_reaches_the_lattice(spark):
+    text = "the stupid idiot said that you are shit and an ass or an asshole to the moron and hello to you the clown a worthless loser "
+    decoder = toxicity.Decoder(toxicity.count_trigrams(spark.createDataFrame([(text * 50,)], "text string")))
+    cases = {
+        "st" + "u" * 90 + "pid": "stupid",
+        "-.*_-.*_-.*_-.*_".join("worthless"): "worthless",  # over 64 bytes
+        "$h1+": "shit",
+        "@$$h0l3": "asshole",
+        "a$$": "ass",
+        "s h ! t": "shit",
+        "y o u i d i o t": "idiot",
+        "i d i o t  y o u": "you",
+        "you_1d10t": "idiot",
+        "(1d10t)": "idiot",
+        "idi-ot": "idiot",
+    }
+    for seen, meant in cases.items():
+        words, _ = toxicity._restored(Words(np.frombuffer(seen.encode(), np.uint8), np.array([0, len(seen)])), decoder)
+        assert meant.encode() in {words.text(k, k + 1) for k in range(len(words.start))}, seen
+    assert len(decoder.decode("ab1c" * 20_000)) == 80_000 and not toxicity._readings(b"hello!!", decoder)
+
+
 def test_toxicity_on_held_out_and_disguised(spark):
     draw = random.Random(1)
     plain = [f"word{i}" for i in range(300)]

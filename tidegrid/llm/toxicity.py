@@ -1,9 +1,10 @@
 """Toxicity by noisy-channel deobfuscation.
 
-Tokens that look disguised (digits or signs among letters, letters drawn out, single letters in a row with
-spaces, dots, dashes or stars between) become lattices of the characters that they may stand for; a Viterbi
-decode under a character trigram model picks the likeliest word. The model is counted over the whole corpus. The
-text's own words and the restored words are then scored.
+Tokens of any length that may be read otherwise (digits or signs for letters, signs between letters, letters drawn out,
+single letters in a row with spaces between) become lattices of the characters that they may stand for; a Viterbi
+decode under a character trigram model picks the likeliest word. Where something stands between letters, a second lattice
+lets it be a boundary of words as well. Signs at a token's edge may be letters or punctuation: it is read with and
+without them. The model is counted over the whole corpus. The text's own words and the restored words are then scored.
 
 Scoring: a word's features are itself and its first 4, 5 and 6 bytes. Features that labelled toxic documents
 have far more often than others carry weight; a document's evidence is the number, share and strength of such words,
@@ -18,6 +19,7 @@ columns pass through; those named like an output are replaced.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -41,10 +43,12 @@ OUTPUT = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.I
 # What a sign or digit may stand for.
 STANDS_FOR = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l"}
 SIGNS = "0123456789@$!|+("
-BETWEEN = ".-_*"
 #: Log chances of the channel: a letter as it is, disguised, drawn out by one more, doubled and meant so, a sign between.
 KEPT, CHANGED, DRAWN, DOUBLE, SEPARATED = 0.0, -0.5, -0.3, -0.7, -0.3
 
+#: Characters of the tokens that a decoder remembers, a bound of its memory alone.
+REMEMBERED = 64
+
 #: The model's alphabet: 0 a boundary, 1-26 letters without their accents, 27 any other letter.
 SYMBOLS = 28
 _FOLD: list[np.ndarray] = []
@@ -99,10 +103,20 @@ class Decoder:
 
     def decode(self, token: str) -> str:
         """The likeliest word of folded letters behind a token."""
-        if (known := self.memo.get(token)) is None:
-            if len(self.memo) > 100_000:
-                self.memo.clear()
-            known = self.memo[token] = self._viterbi(token)
+        return self._known(token, False)
+
+    def split(self, token: str) -> list[str]:
+        """The likeliest words, if what stands between letters may be a boundary of words. A line feed always is one."""
+        return self._known(token, True).split()
+
+    def _known(self, token: str, apart: bool) -> str:
+        key = "\n" + token if apart else token
+        if (known := self.memo.get(key)) is None:
+            known = "".join(self._viterbi(token, apart))
+            if len(token) <= REMEMBERED:
+                if len(self.memo) > 100_000:
+                    self.memo.clear()
+                self.memo[key] = known
         return known
 
     @staticmethod
@@ -115,29 +129,36 @@ class Decoder:
             return [(x, CHANGED) for x in STANDS_FOR[low]] + ([("", 4 * SEPARATED)] if low in "!|" else [])
         return [("", SEPARATED)]
 
-    def _viterbi(self, token: str) -> str:
-        # a path is (last two symbols) -> (log chance, word)
-        paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    def _viterbi(self, token: str, apart: bool) -> list[str]:
+        # a path is (last two symbols) -> (log chance, letters so far as a chain (chain, letters))
+        paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
 
         def step(paths: dict, options: list[tuple[str, float]]) -> dict:
-            out: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (chance, word) in paths.items():
+            out: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+            for (a, b), (chance, chain) in paths.items():
                 for letters, cost in options:
                     p, q, total = a, b, chance + cost
                     for x in letters:
-                        code = ord(x) - 96
-                        total += self.log[p][q][code]
-                        p, q = q, code
+                        code = 0 if x == " " else ord(x) - 96
+                        if code or q:  # a boundary is one, however many signs stand for it
+                            total += self.log[p][q][code]
+                            p, q = q, code
                     if (had := out.get((p, q))) is None or total > had[0]:
-                        out[p, q] = (total, word + letters)
+                        out[p, q] = (total, (chain, letters) if letters else chain)
+                    if apart and q and letters and q == b and letters != " ":  # the same letter again: drawn out
+                        total = chance + cost + DOUBLE
+                        if (had := out.get((a, b))) is None or total > had[0]:
+                            out[a, b] = (total, chain)
             return out
 
         i = 0
         while i < len(token):
             n = 1
-            while i + n < len(token) and token[i + n].lower() == token[i].lower():
+            while not apart and i + n < len(token) and token[i + n].lower() == token[i].lower():
                 n += 1
             single = self._options(token[i])
+            if apart and single[-1][0] == "":  # what may be left out may be a boundary
+                single = [(" ", 0.0)] if token[i] == "\n" else [*single, (" ", SEPARATED)]
             if n > 1:  # one letter drawn out, or a double one
                 one, two = (DOUBLE, KEPT) if n == 2 else (DRAWN, DOUBLE)
                 drawn = [(x, c + one) for x, c in single]
@@ -146,50 +167,95 @@ class Decoder:
             else:
                 paths = step(paths, single)
             i += n
-        return max(((c + self.log[a][b][0], w) for (a, b), (c, w) in paths.items()), default=(0.0, ""))[1]
+        chain = max(((c + (self.log[a][b][0] if b else 0.0), k, w) for k, ((a, b), (c, w)) in enumerate(paths.items())), key=lambda x: x[:2])[2]
+        letters = []
+        while chain is not None:
+            chain, own = chain
+            letters.append(own)
+        return letters[::-1]
 
 
 _SIGN = np.zeros(256, bool)
 _SIGN[[ord(c) for c in SIGNS]] = True
 _ALPHA = np.zeros(256, bool)
 _ALPHA[65:91] = _ALPHA[97:123] = _ALPHA[128:] = True
-_BETWEEN = np.zeros(256, bool)
-_BETWEEN[[ord(c) for c in BETWEEN]] = True
 _TAIL = np.zeros(256, bool)
 _TAIL[[ord(c) for c in ".,!?;:'\")%&#*]}>$|"]] = True
+#: Bytes that no letter has: ASCII ones, and what begins the signs of Latin-1 and U+2000 to U+2FFF, the pound and the euro too.
+_ODD = ~_ALPHA
+_ODD[[0xC2, 0xE2]] = True
 
 
-def disguised(words: Words) -> list[tuple[int, bytes]]:
-    """(text, token) of the tokens that look disguised. words: split at white space."""
-    data, start, end = words.data, words.start, words.end.copy()
-    if not len(start):
-        return []
-    sums = lambda mask: np.concatenate([[0], np.cumsum(mask, dtype=np.int64)])
-    tail = sums(~_TAIL[data])
-    last = np.searchsorted(tail, tail[end], "left")  # one past the last byte that is no closing sign
-    cut = np.where(tail[end] > tail[start], last, start)
-    alpha, sign, between = sums(_ALPHA[data]), sums(_SIGN[data]), sums(_BETWEEN[data])
-    count = lambda s: s[cut] - s[start]
-    n_alpha, n_sign, n_between, size = count(alpha), count(sign), count(between), cut - start
-    triple = np.zeros(len(data) + 1, bool)
-    if len(data) > 2:
-        lower = np.where((data >= 65) & (data < 91), data + 32, data)
-        triple[: len(data) - 2] = (lower[:-2] == lower[1:-1]) & (lower[1:-1] == lower[2:]) & (data[:-2] < 128) & _ALPHA[data[:-2]]
-    runs = sums(triple)
-    drawn = runs[np.maximum(start, cut - 2)] - runs[start] > 0
-    mixed = (n_sign > 0) & (n_alpha >= 2) & (n_sign <= n_alpha + 2)
-    spread = (n_between >= 2) & (n_alpha >= 3) & (2 * n_between + 2 >= n_alpha + n_sign) & (n_alpha + n_sign + n_between == size)
-    found = [(int(words.doc[i]), data[start[i] : cut[i]].tobytes()) for i in np.flatnonzero((drawn | mixed | spread) & (size <= 64)).tolist()]
-    lone = (size == 1) & (_ALPHA[data[start]] | _SIGN[data[start]])
+def _sums(mask: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(mask, dtype=np.int64)])
+
+
+def _up_to_last(mask: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """For each range, one past its last byte in mask; its start if there is none."""
+    sums = _sums(mask)
+    return np.where(sums[end] > sums[start], np.searchsorted(sums, sums[end], "left"), start)
+
+
+def _from_first(mask: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """For each range, its first byte in mask; its end if there is none."""
+    sums = _sums(mask)
+    return np.where(sums[end] > sums[start], np.searchsorted(sums, sums[start], "right") - 1, end)
+
+
+def _spaced(words: Words, cut: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """(text, run) of the runs of single letters: a space between them, a line feed where more stands than the least gap of the run."""
+    data, start, end = words.data, words.start, words.end
+    size = cut - start
+    one = end - start == 1
+    lone = ((size == 1) | one) & (_ALPHA[data[start]] | _SIGN[data[start]])
     lone |= (size == 2) & (data[start] >= 0xC3)  # one letter of two bytes
+    lone |= (end - start == 2) & (data[start] == 0xC2) | (end - start == 3) & (data[start] == 0xE2)  # a pound, a euro
+    stop_at = np.where(one, end, cut)
     edge = np.flatnonzero(np.diff(np.concatenate([[0], lone.astype(np.int8), [0]])))
     for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
         while a < b:
             stop = min(b, int(words.first[words.doc[a] + 1]))
             if stop - a >= 3:
-                found.append((int(words.doc[a]), b"".join(data[start[i] : cut[i]].tobytes() for i in range(a, stop))))
+                gaps = start[a + 1 : stop] - stop_at[a : stop - 1]
+                between = np.where(gaps > gaps.min(), "\n", " ").tolist()
+                letters = [data[start[i] : stop_at[i]].tobytes() for i in range(a, stop)]
+                yield int(words.doc[a]), letters[0] + b"".join(g.encode() + x for g, x in zip(between, letters[1:], strict=True))
             a = stop
-    return found
+
+
+def _candidates(words: Words) -> tuple[list[tuple[int, int, bytes]], list[tuple[int, bytes]]]:
+    """(text, word, token) of the tokens that have a reading besides the one as written, and the spaced runs. words: split at white space."""
+    data, start, end = words.data, words.start, words.end
+    if not len(start):
+        return [], []
+    cut = _up_to_last(~_TAIL[data], start, end)  # without closing signs
+    letter = _ALPHA[data] | _SIGN[data]
+    far = _up_to_last(letter, start, end)  # with those that may be letters
+    near = _from_first(letter, start, end)
+    bare = _from_first(_ALPHA[data] | ((data >= 48) & (data < 58)), start, end)  # without opening signs that may be letters
+    odd, n_letter = _sums(_ODD[data]), _sums(letter)
+    triple = np.zeros(len(data) + 1, bool)
+    if len(data) > 2:
+        lower = np.where((data >= 65) & (data < 91), data + 32, data)
+        triple[: len(data) - 2] = (lower[:-2] == lower[1:-1]) & (lower[1:-1] == lower[2:]) & (data[:-2] < 128) & _ALPHA[data[:-2]]
+    runs = _sums(triple)
+    found: list[tuple[int, int, bytes]] = []
+    seen = []
+    for a, b in ((bare, cut), (near, cut), (bare, far), (near, far)):
+        b = np.maximum(a, b)
+        reads = (odd[b] > odd[a]) | (runs[np.maximum(a, b - 2)] > runs[a])
+        reads &= n_letter[b] - n_letter[a] >= 3  # fewer give no word of three letters
+        for c, d in seen:
+            reads &= (a != c) | (b != d)
+        seen.append((a, b))
+        found += [(int(words.doc[i]), i, data[a[i] : b[i]].tobytes()) for i in np.flatnonzero(reads).tolist()]
+    return found, list(_spaced(words, cut))
+
+
+def disguised(words: Words) -> list[tuple[int, bytes]]:
+    """(text, token) of the tokens that look disguised, spaced runs joined. words: split at white space."""
+    found, runs = _candidates(words)
+    return [(d, t) for d, _, t in found] + [(d, re.sub(rb"[ \n]", b"", t)) for d, t in runs]
 
 
 @dataclass
@@ -202,10 +268,25 @@ class Model:
 _NO_MODEL = Model(np.zeros(0, np.uint64), np.zeros(0), np.array([-1e9, 0, 0, 0]))
 
 
+_PLAIN = re.compile(rb"[A-Za-z0-9\x80-\xff]+")
+
+
+def _readings(token: bytes, decoder: Decoder) -> set[str]:
+    """The words behind a token that do not stand there as written."""
+    text = token.decode("utf-8", "ignore")
+    out = {decoder.decode(text), *decoder.split(text)}
+    return out - {w.decode("utf-8", "ignore").lower() for w in _PLAIN.findall(token)}
+
+
 def _restored(words: Words, decoder: Decoder) -> tuple[Words, np.ndarray]:
-    """The decoded words, and the text of each."""
-    found = [(d, decoder.decode(t.decode("utf-8", "ignore"))) for d, t in disguised(words)]
-    found = [(d, w.encode()) for d, w in found if len(w) >= 3]
+    """The decoded words, and the text of each; a place gives a word once."""
+    tokens, runs = _candidates(words)
+    places: dict[tuple[int, int], set[str]] = {}
+    for d, i, t in tokens:
+        places.setdefault((d, i), set()).update(_readings(t, decoder))
+    for k, (d, t) in enumerate(runs):
+        places[d, -1 - k] = {decoder.decode(re.sub(rb"[ \n]", b"", t).decode("utf-8", "ignore")), *decoder.split(t.decode("utf-8", "ignore"))}
+    found = [(d, w.encode()) for (d, _), own in places.items() for w in sorted(own) if len(w) >= 3]
     data = np.frombuffer(b" ".join(w for _, w in found), np.uint8)
     return Words(data, np.array([0, len(data)]), ALNUM, fold=True), np.array([d for d, _ in found], np.int64)
 
