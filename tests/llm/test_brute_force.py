@@ -8,6 +8,7 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -75,6 +76,28 @@ def test_signatures_lose_no_pair():
                 assert np.intersect1d(x, y).size >= max(p, q)
 
 
+def straddling_pair():
+    """5-word texts of 10 and 12 shingles: the first set signs its empty partitions, the second has too few of them to do so."""
+    signer = jaccard_join.Signatures(80)
+    for k in range(20_000):
+        words = [f"s{k}w{i}" for i in range(16)]
+        a, b = (next(jaccard_join.sets_of(pa.array([" ".join(words[:n])]), 5)) for n in (14, 16))
+        n, spare = signer.partitions(int(np.searchsorted(signer.edges, len(a), "right")) - 1)
+        empty_a, empty_b = (n - len(np.unique(((x >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32))) for x in (a, b))
+        if empty_a > spare >= empty_b and np.intersect1d(signer.of(a)[0], signer.of(b)[0]).size <= spare:
+            return " ".join(words[:14]), " ".join(words)
+    raise AssertionError("no straddling pair")
+
+
+def test_sets_on_both_sides_of_the_spare_partitions_link(spark):
+    a, b = straddling_pair()
+    signer = jaccard_join.Signatures(80)
+    (x, p), (y, q) = (signer.of(next(jaccard_join.sets_of(pa.array([t]), 5))) for t in (a, b))
+    assert np.intersect1d(x, y).size >= max(p, q)
+    docs = spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")
+    assert {r["component_id"] for r in jaccard_join.near_duplicate_groups(docs, 5, 80).collect()} == {1}
+
+
 def substring_removal(rows, window):
     first = {}
     words = {i: re.findall(r"[^\x20\x09-\x0D]+", t) for i, t in rows}

@@ -7,7 +7,8 @@ Sets are dealt to bands of sizes. Within a band linked sets differ in at most k
 domain is cut into k + 1 partitions and some spare ones, of which the spare ones and one more at least agree; each partition of a set, with
 its features, is a signature (subsets of one partition). A set that can link into the next band signs there
 too. Partitions that are empty are signed only if a set has more than the spare ones of them: otherwise one
-that is not empty agrees. So linked sets always share a signature.
+that is not empty agrees. So linked sets always share a signature; how many
+at least follows from its size and from the empty partitions that it or the other set may leave unsigned.
 
 Equal sets are one class. Per signature, classes are compared with a leader, the member whose signatures are
 the most common; that is linear in the group. Signatures whose classes do not all fall into one component
@@ -80,7 +81,7 @@ class Signatures:
         return (k + 1 + spare, spare) if k else (1, 0)
 
     def of(self, found: np.ndarray) -> tuple[np.ndarray, int]:
-        """The signatures, and how many of them a linked set shares at least."""
+        """The signatures, and how many of them a linked set shares at least, whether that signs its empty partitions or not."""
         size = len(found)
         if size >= self.edges[-1]:
             self.edges = _edges(2 * size)
@@ -98,9 +99,10 @@ class Signatures:
         first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
         own = part[first]
         sums = np.add.reduceat(mix(found ^ _C), first)
-        need = spare + 1 - (n - len(own))  # of the partitions that agree, so many are not empty
-        if need < 1:
-            need = spare + 1
+        # so many partitions at least agree with a linked set's, as each feature that differs spoils one
+        agree = n - min(n - spare - 1, len(found) * (100 - self.threshold) // self.threshold)
+        need = agree - min(spare, n - len(own))  # a set that leaves its empty ones unsigned has no more than the spare ones of them
+        if n - len(own) > spare:
             empty = np.setdiff1d(np.arange(n, dtype=np.uint64), own, assume_unique=True)
             own, sums = np.concatenate([own, empty]), np.concatenate([sums, np.zeros(len(empty), np.uint64)])
         return mix(sums + mix(own + np.uint64((band + 1) << 32))), need
@@ -171,7 +173,7 @@ def _able(rows: DataFrame) -> DataFrame:
 
 def _agreeing(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """The pairs (x, y) that share as many signatures as a link takes. Signatures are a fraction of the features, so this is
-    asked before sets are moved."""
+    asked before sets are moved. Either set's need holds for the pair."""
     own = saved(rows.groupBy("d1").agg(F.collect_set("sig").alias("sigs"), F.first("need").alias("need")), "signatures-by-class")
     a, b = own.alias("a"), own.alias("b")
     joined = pairs.join(a, F.col("x") == F.col("a.d1")).join(b, F.col("y") == F.col("b.d1"))
