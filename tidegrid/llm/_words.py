@@ -45,6 +45,21 @@ def _rolling(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: in
     return mix((sums[ends] - sums[starts]) * down[starts])
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The hash of the bytes start to end - 1 for each pair."""
+    return _rolling(_TABLES[False, 0][data], starts, ends, 0)
+
+
+def equal_spans(data: np.ndarray, a: np.ndarray, b: np.ndarray, lengths: np.ndarray) -> bool:
+    """Whether the bytes at a and at b are the same for each of the lengths."""
+    total = int(lengths.sum())
+    if not total:
+        return True
+    ahead = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    within = np.arange(total) - np.repeat(ahead, lengths)
+    return bool((data[np.repeat(a, lengths) + within] == data[np.repeat(b, lengths) + within]).all())
+
+
 def _table(fold: bool, which: int) -> np.ndarray:
     table = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE[1 - which]))
     if fold:
@@ -108,8 +123,8 @@ class Words:
         return b" ".join(self.data[a:b].tobytes() for a, b in zip(self.start[first:last], self.end[first:last], strict=True))
 
 
-def chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Runs of whole texts of about CHUNK bytes: first row, last row + 1, bytes, offsets from 0. Null is empty."""
+def chunks(column: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Runs of whole texts of about ``size`` bytes: first row, last row + 1, bytes, offsets from 0. Null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:
@@ -122,7 +137,7 @@ def chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
     data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     row = 0
     while row < len(column):
-        last = max(row + 1, int(np.searchsorted(offsets, offsets[row] + CHUNK, "right")) - 1)
+        last = max(row + 1, int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1)
         last = min(last, len(column))
         yield row, last, data[offsets[row] : offsets[last]], offsets[row : last + 1] - offsets[row]
         row = last
