@@ -118,6 +118,27 @@ class Words:
         """The hash of words start to end - 1 for each pair."""
         return _rolling(self.hashes(which), starts, ends, which)
 
+    def joined(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of these words (places, rising), joined by one space within a text, and each word's place in them."""
+        sizes = self.end[words] - self.start[words]
+        space = np.zeros(len(words), np.int64)
+        space[:-1] = self.doc[words[1:]] == self.doc[words[:-1]]
+        at = np.concatenate([[0], np.cumsum(sizes + space)])
+        out = np.full(at[-1], 32, np.uint8)
+        ahead = np.concatenate([[0], np.cumsum(sizes)])
+        within = np.arange(ahead[-1]) - np.repeat(ahead[:-1], sizes)
+        out[np.repeat(at[:-1], sizes) + within] = self.data[np.repeat(self.start[words], sizes) + within]
+        return out, at
+
+    def numbers(self) -> np.ndarray:
+        """A number for each word, the same for equal ones only."""
+        h, lengths = self.hashes(), self.end - self.start
+        _, pick, own = np.unique(h, return_index=True, return_inverse=True)
+        if (lengths == lengths[pick][own]).all() and equal_spans(self.data, self.start, self.start[pick][own], lengths):
+            return own
+        seen: dict[bytes, int] = {}  # unlike words have one hash
+        return np.array([seen.setdefault(self.text(k, k + 1), len(seen)) for k in range(len(h))], np.int64)
+
     def text(self, first: int, last: int) -> bytes:
         """Words first to last - 1 as they stand, joined by one space."""
         return b" ".join(self.data[a:b].tobytes() for a, b in zip(self.start[first:last], self.end[first:last], strict=True))
