@@ -115,21 +115,61 @@ def substring_removal(rows, window):
     return out
 
 
-@pytest.mark.parametrize(("window", "block"), [(50, 2048), (12, 2), (3, 1)])
-def test_substring_removal(spark, monkeypatch, window, block):
-    monkeypatch.setattr(substring_dedup, "BLOCK", block)  # hot buckets take the second way
+@pytest.mark.parametrize(("window", "hot"), [(50, 1000), (12, 2), (3, 1)])
+def test_substring_removal(spark, monkeypatch, window, hot):
+    monkeypatch.setattr(substring_dedup, "HOT", hot)  # hot minimisers take the second way
     rows = near_copies(7, words=150) + [(1000, "z " * 300), (1001, "z " * 200 + "end"), (1002, "q " * 40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = {r["doc_id"]: (r["n_removed"], r["kept_text"]) for r in substring_dedup.remove_repeats(docs, window).collect()}
     assert got == substring_removal(rows, window)
 
 
-def test_contamination_by_shuffle_equals_broadcast(spark):
-    rows = near_copies(9)
-    items = [(k, " ".join(t.split()[5:22])) for k, (_, t) in enumerate(rows[:40])] + [(99, "a b"), (98, "")]
-    docs, benchmark = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
-    a, b = (sorted(tuple(r) for r in decontaminate.find_contamination(docs, benchmark, max_broadcast=m).drop("hit_spans").collect()) for m in (10**6, 0))
-    assert a == b and any(r[-1] for r in a)
+def test_windows_of_one_hash_are_told_apart():
+    texts = ["a b c d", "x y c d", "a b c d"]
+    data = " ".join(texts).encode()
+    words = Words(np.frombuffer(data, np.uint8), np.array([0, 8, 16, len(data)]))
+    starts, zeros = words.windows(3), np.zeros(6, np.uint64)
+    order, head = substring_dedup._alike(words, starts, np.zeros(6, np.int64), zeros, zeros, 3)
+    groups = [{words.text(s, s + 3) for s in starts[own]} for own in np.split(order, head[1:])]
+    assert sorted(groups, key=str) == [{b"a b c"}, {b"b c d"}, {b"x y c"}, {b"y c d"}]
+
+
+def contamination(rows, items, n=10):
+    """n_words, n_hit and the items of each text, in plain Python."""
+    split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    grams = {}
+    for i, t in items:
+        w = split(t)
+        k = min(n, len(w))
+        for s in range(len(w) - k + 1) if k else ():
+            grams.setdefault(tuple(w[s : s + k]), set()).update(() if i is None else (str(i),))
+    out = []
+    for i, t in rows:
+        w, hit, own = split(t), set(), set()
+        for k in {len(g) for g in grams}:
+            for s in range(len(w) - k + 1):
+                if (found := grams.get(tuple(w[s : s + k]))) is not None:
+                    hit.update(range(s, s + k)), own.update(found)
+        out.append((str(i), len(w), len(hit), len(own), hashlib.sha256(",".join(sorted(own)).encode()).hexdigest(), bool(hit)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("max_broadcast", [1 << 20, 0])
+def test_contamination(spark, max_broadcast):
+    rows = near_copies(9) + [(None, "A b, then"), (7000, None), (7001, "twice the words of no item here"), (7001, "twice the words of no item here")]
+    items = [(k, " ".join(t.split()[5:22])) for k, (_, t) in enumerate(rows[:40])] + [(99, "a b"), (98, ""), (97, None), (None, "words of no item"), (96, rows[0][1]), (96, rows[3][1])]
+    docs = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id long, text string, n_hit string, met string").repartition(3)
+    found = decontaminate.find_contamination(docs, spark.createDataFrame(items, "item_id long, text string"), max_broadcast=max_broadcast)
+    got = sorted((str(r["doc_id"]), r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in found.collect())
+    assert got == contamination(rows, items) and any(r[-1] for r in got) and found.columns.count("met") == 1
+    assert any(r[2] and not r[3] for r in got)  # hit by an item without id
+
+
+def test_colliding_grams_are_told_apart(monkeypatch):
+    monkeypatch.setattr(decontaminate, "_gram_hashes", lambda grams: np.full(len(grams), 7, np.uint64))
+    monkeypatch.setattr(Words, "window_hashes", lambda self, starts, k, which=0: np.full(len(starts), 7, np.uint64))
+    grams = decontaminate._Grams(pa.table({"gram": ["a b", "c d", "e f"], "k": [2, 2, 2], "items": [["1"], ["2"], []]}))
+    assert [(s, grams.items[g].as_py()) for s, _, g in grams.find(Words(np.frombuffer(b"x C D a b", np.uint8), np.array([0, 9]), ALNUM, fold=True))] == [(1, ["2"]), (3, ["1"])]
 
 
 def test_removed_passages_are_gone(spark):
@@ -291,21 +331,58 @@ def test_token_counts_and_cache(spark, tmp_path):
     assert got == {i: len(pieces.encode(t or "")) for i, t in enumerate(texts)}
 
 
-def test_templates(spark):
+def test_notices(spark):
     cases = {
-        "Licensed under the Apache License, Version 2.0 (the License)": "apache-2.0",
-        "licensed under the APACHE license version 2.0": "apache-2.0",
+        "Licensed under the Apache License, Version 2.0 (the License)": "apache-2.0-notice",
+        "licensed under the APACHE license version 2.0": "apache-2.0-notice",
         "licensed under the apache license version 1 0": "",
-        "Copyright (c) 2020 Some Body Inc. All rights reserved.": "copyright-notice,reserved",
-        "Copyright (c) " + "x " * 9 + "all rights reserved": "reserved",
+        "Copyright (c) 2001, 2002, 2003, 2004 The Regents of the University of California. All rights reserved.": "copyright-notice,reserved",
+        "Copyright (c) " + "x " * 25 + "all rights reserved": "reserved",
         "This work is licensed under the terms of the GNU Lesser General Public License, version 3": "gpl,gpl-notice",
-        "Licensed under CC BY-NC 4.0.": "cc-by,cc-license",
+        "Licensed under CC BY-NC 4.0.": "cc-by,cc-notice",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, for non-commercial use": "",
     }
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "doc_id long, text string")
     got = {r["doc_id"]: r["labels"] for r in license_scan.scan_licenses(docs).collect()}
     assert [got[i] for i in range(len(cases))] == list(cases.values())
 
 
+def instance(wording, draw):
+    """A text of the template, and the places of its mandatory words."""
+    out, fixed, depth, skip, tokens = [], [], 0, False, wording.split()
+    while tokens:
+        token = tokens.pop(0)
+        if token == "{optional":
+            depth, skip = 1, draw.random() < 0.5
+        elif token == "}":
+            depth, skip = 0, False
+        elif token == "{any":
+            out += [f"n{k}" for k in range(draw.randrange(int(tokens.pop(0).rstrip("}")) + 1))]
+        elif not skip:
+            fixed += [] if depth else [len(out)]
+            out.append(token)
+    return out, fixed
+
+
+@pytest.mark.parametrize(("label", "wording"), license_scan.LICENSES)
+def test_whole_licenses_need_every_mandatory_word(spark, label, wording):
+    draw, rows, want = random.Random(label), [], []
+    for _ in range(4):
+        words, fixed = instance(wording, draw)
+        rows.append(f"before, {' '.join(words).upper()}. After")
+        want.append(True)
+        for k in fixed:
+            rows.append(f"before {' '.join([*words[:k], 'otherwise', *words[k + 1 :]])} after")
+            want.append(False)
+        k = draw.choice(fixed[2:])
+        rows.append(" ".join(words[:k] + words[k + 1 :]))
+        want.append(re.search(" " + license_scan.as_regex(wording), f" {rows[-1]} ") is not None)
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in license_scan.scan_licenses(docs).collect()}
+    assert [label in got[i]["labels"].split(",") for i in range(len(rows))] == want
+    assert got[0]["score"] == 1.0
+
+
 def test_bad_template_is_refused():
     with pytest.raises(ValueError):
         license_scan.Automaton("one {optional two }")

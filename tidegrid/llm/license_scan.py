@@ -5,8 +5,11 @@ missing, and ``any`` stands for up to n words of any kind. Templates are compile
 arcs are mandatory words; a text is accepted where the mandatory wording stands word by word. A scan finds the
 places where a template's first two words stand, by hash, and runs the automaton there only.
 
+Whole licences (``LICENSES``) match from their first granting words to the last of the disclaimer, so a text with one
+mandatory word changed or left out is no match. ``NOTICES`` are lines that name a licence; their labels say so.
+
 Words are letters, digits and non-ASCII characters after lower-casing A-Z. ``PHRASES`` give base labels. The
-score is 1 for a template's match, 0.6 for a phrase alone, else 0.
+score is 1 for a whole licence, 0.8 for a notice without one, 0.6 for a phrase alone, else 0.
 
 Null and empty texts have no words, no labels and score 0; overlapping matches all count; repeated rows are judged alike; an
 empty table gives no rows. Long texts are scanned whole. Other columns pass through; those named like an output are replaced.
@@ -24,18 +27,90 @@ from tidegrid.llm._words import ALNUM, Words, chunks
 
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
+# The public wordings of licences and of lines that name one, as words.
+_BSD_TERMS = (
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"
+    " {optional 1 } redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"
+    " {optional 2 } redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer"
+    " in the documentation and or other materials provided with the distribution"
+)
+_BSD_NAMES = (
+    " {optional 3 } neither the name of {any 16} nor the names of its contributors may be used to endorse or promote products derived from this"
+    " software without specific prior written permission"
+)
+_BSD_DISCLAIMER = (
+    " this software is provided by {any 16} as is and any express or implied warranties including but not limited to the implied warranties of"
+    " merchantability and fitness for a particular purpose are disclaimed in no event shall {any 16} be liable for any direct indirect incidental"
+    " special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or"
+    " profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including"
+    " negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage"
+)
+_GNU_NOTICE = (
+    "is free software you can redistribute it and or modify it under the terms of the gnu {kind}general public license as published by the free"
+    " software foundation either version {any 2} of the license or at your option any later version {any 12} is distributed in the hope that it"
+    " will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the"
+    " gnu {kind}general public license for more details"
+)
+
 #: (label, wording). A template starts with two mandatory words at least.
-TEMPLATES: list[tuple[str, str]] = [
-    ("apache-2.0", "licensed under the apache license version 2 0 {optional the license }"),
-    ("gpl-notice", "this work is licensed under the {optional terms of the } gnu {optional lesser } {optional affero } general public license version {any 1}"),
-    ("gpl-notice", "this program is free software you can redistribute it and or modify it under the terms of the gnu {optional lesser } {optional affero } general public license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0"),
-    ("cc-license", "licensed under {optional a } {optional the } cc by {optional nc } {optional nd } {optional sa } {any 1} 0"),
-    ("cc-license", "licensed under {optional a } {optional the } creative commons attribution {any 4} license"),
-    ("copyright-notice", "copyright c {any 8} all rights reserved"),
+LICENSES: list[tuple[str, str]] = [
+    (
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the"
+        " software to deal in the software without restriction including without limitation the rights to use copy modify merge publish"
+        " distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to"
+        " the following conditions the above copyright notice and this permission notice {optional including the next paragraph } shall be"
+        " included in all copies or substantial portions of the software the software is provided as is without warranty of any kind express or"
+        " implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no"
+        " event shall {any 16} be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising"
+        " from out of or in connection with the software or the use or other dealings in the software",
+    ),
+    (
+        "isc",
+        "permission to use copy modify and {optional or } distribute this software for any purpose with or without fee is hereby granted"
+        " provided that the above copyright notice and this permission notice appear in all copies the software is provided as is and {any 16}"
+        " disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no event"
+        " shall {any 16} be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of"
+        " use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the"
+        " use or performance of this software",
+    ),
+    ("bsd-2-clause", _BSD_TERMS + _BSD_DISCLAIMER),
+    ("bsd-3-clause", _BSD_TERMS + _BSD_NAMES + _BSD_DISCLAIMER),
+    (
+        "apache-2.0",
+        "licensed under the apache license version 2 0 the license you may not use {any 4} except in compliance with the license you may obtain"
+        " a copy of the license at {optional http } {optional https } www apache org licenses license 2 0 unless required by applicable law or"
+        " agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any"
+        " kind either express or implied see the license for the specific language governing permissions and limitations under the license",
+    ),
+    ("gpl-or-later", _GNU_NOTICE.replace("{kind}", "")),
+    ("lgpl-or-later", _GNU_NOTICE.replace("{kind}", "lesser ")),
+    ("agpl-or-later", _GNU_NOTICE.replace("{kind}", "affero ")),
+    (
+        "mpl-2.0",
+        "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this"
+        " file you can obtain one at {optional http } {optional https } {optional www } mozilla org mpl 2 0",
+    ),
+    (
+        "unlicense",
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or"
+        " distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means",
+    ),
+]
+NOTICES: list[tuple[str, str]] = [
+    ("apache-2.0-notice", "licensed under the apache license version 2 0"),
+    ("gpl-notice", "licensed under {optional the terms of } {optional the } gnu {optional lesser } {optional affero } general public license"),
+    ("gpl-notice", "under the terms of the gnu {optional lesser } {optional affero } general public license"),
+    ("mit-notice", "under the {optional terms of the } mit license"),
+    ("bsd-notice", "under the {optional terms of the } bsd {optional style } {any 2} license"),
+    ("bsd-notice", "under a bsd {optional style } {any 2} license"),
+    ("mpl-2.0-notice", "subject to the terms of the mozilla public license v 2 0"),
+    ("cc-notice", "licensed under {optional a } {optional the } cc by {optional nc } {optional nd } {optional sa } {any 1} 0"),
+    ("cc-notice", "licensed under {optional a } {optional the } creative commons attribution {any 8} license"),
+    ("copyright-notice", "copyright c {any 24} all rights reserved"),
 ]
+TEMPLATES = LICENSES + NOTICES
+WHOLE = {label for label, _ in LICENSES}
 
 OUTPUT = [T.StructField("n_words", T.LongType()), T.StructField("n_base", T.LongType()), T.StructField("first_word", T.LongType()), T.StructField("last_word", T.LongType()), T.StructField("base_labels", T.StringType()), T.StructField("labels", T.StringType()), T.StructField("score", T.DoubleType())]
 
@@ -88,6 +163,18 @@ class Automaton:
         return self.final in states
 
 
+def as_regex(wording: str) -> str:
+    """The template as a regular expression over words that each have a space after them."""
+    out, tokens = "", wording.split()
+    while tokens:
+        token = tokens.pop(0)
+        if token == "{any":
+            out += "([^ ]+ ){0," + tokens.pop(0)
+        else:
+            out += "(" if token == "{optional" else ")?" if token == "}" else f"{token} "
+    return out
+
+
 def _hash(phrase: str) -> np.uint64:
     data = np.frombuffer(phrase.encode(), np.uint8)
     words = Words(data, np.array([0, len(data)]), ALNUM, fold=True)
@@ -137,7 +224,7 @@ def scan_licenses(documents: DataFrame, templates: list[tuple[str, str]] = TEMPL
                 found, labels = base.get(d, []), more.get(d, set())
                 own = {label for _, label in found}
                 at = [s for s, _ in found]
-                rows.append((int(words.n[d]), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(own)), ",".join(sorted(own | labels)), 1.0 if labels else 0.6 if own else 0.0))
+                rows.append((int(words.n[d]), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(own)), ",".join(sorted(own | labels)), 1.0 if labels & WHOLE else 0.8 if labels else 0.6 if own else 0.0))
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64())
         return [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
 

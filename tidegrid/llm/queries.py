@@ -86,6 +86,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": op10_mixing,
 }
 
+MATCHES = ",\n    ".join(f"CASE WHEN regexp_matches(s, ' {license_scan.as_regex(wording)}') THEN '{label}' END" for label, wording in license_scan.TEMPLATES)
+WHOLE = ", ".join(f"'{label}'" for label in sorted(license_scan.WHOLE))
 STOPS = ", ".join(f"'{w}'" for w in quality_rules.STOP_WORDS)
 
 ORACLE_SQL: dict[str, str] = {
@@ -128,7 +130,7 @@ left_over AS (SELECT row, string_agg(x, ' ' ORDER BY p) AS t FROM word ANTI JOIN
 n AS (SELECT row, count(*) AS n FROM gone GROUP BY row)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN n USING (row) LEFT JOIN left_over USING (row)""",
-    "op4_license_scan": r"""
+    "op4_license_scan": rf"""
 WITH d AS (
   SELECT row_number() OVER () AS row, doc_id,
          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
@@ -142,21 +144,13 @@ p AS (
 b AS (SELECT row, count(*) AS n, min(i) AS lo, max(i) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM p GROUP BY row),
 m AS (
   SELECT row, unnest([
-    CASE WHEN contains(s, ' licensed under the apache license version 2 0 ') THEN 'apache-2.0' END,
-    CASE WHEN regexp_matches(s, ' this work is licensed under the (terms of the )?gnu (lesser )?(affero )?general public license version ') THEN 'gpl-notice' END,
-    CASE WHEN regexp_matches(s, ' this program is free software you can redistribute it and or modify it under the terms of the gnu (lesser )?(affero )?general public license ') THEN 'gpl-notice' END,
-    CASE WHEN contains(s, ' permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files ') THEN 'mit' END,
-    CASE WHEN contains(s, ' redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met ') THEN 'bsd' END,
-    CASE WHEN contains(s, ' this source code form is subject to the terms of the mozilla public license v 2 0 ') THEN 'mpl-2.0' END,
-    CASE WHEN regexp_matches(s, ' licensed under (a )?(the )?cc by (nc )?(nd )?(sa )?([^ ]+ )?0 ') THEN 'cc-license' END,
-    CASE WHEN regexp_matches(s, ' licensed under (a )?(the )?creative commons attribution ([^ ]+ ){0,4}license ') THEN 'cc-license' END,
-    CASE WHEN regexp_matches(s, ' copyright c ([^ ]+ ){0,8}all rights reserved ') THEN 'copyright-notice' END]) AS label
+    {MATCHES}]) AS label
   FROM t),
-l AS (SELECT row, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, bool_or(own) AS own
-      FROM (SELECT row, label, true AS own FROM m WHERE label IS NOT NULL UNION ALL SELECT row, label, false FROM p) GROUP BY row)
+l AS (SELECT row, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score
+      FROM (SELECT row, label, CASE WHEN label IN ({WHOLE}) THEN 1 ELSE 0.8 END AS score FROM m WHERE label IS NOT NULL UNION ALL SELECT row, label, 0.6 FROM p) GROUP BY row)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(b.n, 0) AS BIGINT) AS n_base, CAST(b.lo AS BIGINT) AS first_word, CAST(b.hi AS BIGINT) AS last_word,
        coalesce(b.labels, '') AS base_labels, coalesce(l.labels, '') AS labels,
-       CAST(CASE WHEN l.own THEN 1 WHEN b.n > 0 THEN 0.6 ELSE 0 END AS DOUBLE) AS score
+       CAST(coalesce(l.score, 0) AS DOUBLE) AS score
 FROM d LEFT JOIN b USING (row) LEFT JOIN l USING (row)""",
     "op7_decontamination": r"""
 WITH d AS (
