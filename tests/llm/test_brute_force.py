@@ -372,7 +372,7 @@ def test_whole_licenses_need_every_mandatory_word(spark, label, wording):
         rows.append(f"before, {' '.join(words).upper()}. After")
         want.append(True)
         for k in fixed:
-            rows.append(f"before {' '.join([*words[:k], 'otherwise', *words[k + 1 :]])} after")
+            rows.append(f"before {' '.join([*words[:k], 'changedword', *words[k + 1 :]])} after")
             want.append(False)
         k = draw.choice(fixed[2:])
         rows.append(" ".join(words[:k] + words[k + 1 :]))

@@ -12,7 +12,7 @@ and a logistic model turns it into a score. Features and model are fitted on abo
 documents of each class, chosen by a hash of their id: a documented bound. Labels, language, source and id
 are no inputs of a score.
 
-Null and empty texts have no evidence and the score of that; repeated rows score alike; labels of equal ids count as toxic if one does;
+The sample and the fits depend on no order of rows, so reruns agree. Null and empty texts have no evidence and the score of that; repeated rows score alike; labels of equal ids count as toxic if one does;
 without labels of both kinds every score is 0; an empty table gives no rows. Long texts are scored whole. Other
 columns pass through; those named like an output are replaced.
 """
@@ -329,7 +329,7 @@ def evidence(column: pa.Array, decoder: Decoder, model: Model) -> np.ndarray:
 
 
 def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """With family, the least hash of a text's 5-word windows: near copies mostly share it."""
+    """doc_id, text, toxic, fold and family, the least hash of a text's 5-word windows: near copies mostly share it."""
     for batch in batches:
         out = []
         for row, last, data, offsets in chunks(batch.column("text")):
@@ -338,7 +338,8 @@ def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for d in range(last - row):
                 own = hashes[words.first[d] : max(words.first[d], words.first[d + 1] - 4)]
                 out.append(own.min() if len(own) else words.range_hashes(words.first[d : d + 1], words.first[d + 1 : d + 2])[0])
-        yield pa.RecordBatch.from_arrays([batch.column("text"), batch.column("toxic").cast(pa.int32()), batch.column("fold"), pa.array(np.array(out, np.uint64).view(np.int64))], names=["text", "toxic", "fold", "family"])
+        family = pa.array(np.array(out, np.uint64).view(np.int64))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("text"), batch.column("toxic").cast(pa.int32()), batch.column("fold"), family], names=["doc_id", "text", "toxic", "fold", "family"])
 
 
 def learn(documents: DataFrame, labels: DataFrame, decoder: Decoder, per_class: int = PER_CLASS) -> Model:
@@ -350,9 +351,10 @@ def learn(documents: DataFrame, labels: DataFrame, decoder: Decoder, per_class:
     rate = F.when(F.col("toxic") == 1, min(1.0, per_class / sizes[1])).otherwise(min(1.0, per_class / sizes[0]))
     drawn = known.where(F.col("toxic").isin(0, 1) & (F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 20)) < rate * (1 << 20)))
     drawn = drawn.withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), F.col("doc_id").cast("string")), F.lit(3)).cast("int"))
-    sample = documents.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("text", "toxic", "fold")  # 2 per_class ids are sent
-    # one document of each family of near copies, else the words of a copied text look like evidence
-    sample = sample.mapInArrow(_families, "text string, toxic int, fold int, family long").dropDuplicates(["family"]).drop("family")
+    sample = documents.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("doc_id", "text", "toxic", "fold")  # 2 per_class ids are sent
+    # one document of each family of near copies, else the words of a copied text look like evidence; the least id, so that reruns agree
+    sample = sample.mapInArrow(_families, "doc_id long, text string, toxic int, fold int, family long")
+    sample = sample.groupBy("family").agg(F.min(F.struct("doc_id", "text", "toxic", "fold")).alias("least")).select("least.text", "least.toxic", "least.fold")
     sample = saved(sample.withColumn("toxic", F.col("toxic").cast("int")), "toxicity-sample")
     first, second = sample.where("fold < 2"), sample.where("fold = 2")  # features from the first, the logistic model from the second
 
@@ -383,7 +385,8 @@ def learn(documents: DataFrame, labels: DataFrame, decoder: Decoder, per_class:
             x = evidence(batch.column("text"), decoder, model)
             yield pa.RecordBatch.from_arrays([batch.column("toxic").cast(pa.int32()), *(pa.array(x[:, k]) for k in range(4))], names=["y", "a", "b", "c", "d"])
 
-    fitted = np.array([tuple(r) for r in second.mapInArrow(stats, "y int, a double, b double, c double, d double").collect()]).reshape(-1, 5)
+    # sorted, so that sums of floating-point numbers don't depend on the order of tasks
+    fitted = np.array(sorted(tuple(r) for r in second.mapInArrow(stats, "y int, a double, b double, c double, d double").collect())).reshape(-1, 5)
     if len(set(fitted[:, 0])) < 2:
         return _NO_MODEL
     model.bias = _logistic(fitted[:, 1:], fitted[:, 0])
