@@ -9,23 +9,28 @@ position is the time at which the source's cumulative demand, the integral of it
 middle of the words that it takes; the result is range-sorted by position.
 
 Running sums over a source are taken in two steps, over digest buckets and within a bucket, so that a source
-that holds most rows is spread over ``BUCKETS`` groups. Only the table of sources passes one task.
+that holds most rows is spread over groups of about ``BUCKET_ROWS`` rows. The table of buckets is sent to all tasks while it
+has ``SENT_ROWS`` rows at most. Only the table of sources passes one task.
 
-Null texts and texts without words have size 0 and take nothing; a null source is a source, the last. Equal
-ids keep apart by their size; repeated rows are alike, so either may take the odd word. An empty table gives
-no rows. Columns other than those read pass through ``mix_documents``; those named like an output are replaced.
+Null texts and texts without words have size 0 and take nothing; a null source is a source, the last; null ids are alike.
+Equal ids keep apart by their size and text; repeated rows are alike, so either may take the odd word. Long texts are
+counted whole. An empty table gives no rows. Columns other than those read pass through ``mix_documents``; those named like an output are replaced.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegrid.llm._frames import saved
+
 WORDS = r"[^\x20\x09-\x0D]+"
 #: Source weights, repeating in the order of the sources; and the words that the mix takes, as a share of all.
 WEIGHTS, SHARE, MAX_REPEATS = (3, 1, 2), 1.5, 2
-#: Hex digits of the digest that name a bucket.
-BUCKET_DIGITS = 3
+#: Documents of a bucket, if all were of one source; and rows of the table of buckets that may be broadcast, at 100 bytes each.
+BUCKET_ROWS, SENT_ROWS = 20_000, 100_000
 #: How a weight runs from the start of training to its end, as multiples of its mean, repeating in the order of
 #: the sources: falling, level, rising. Each schedule's integral over [0, 1] is 1.
 SLOPES = (-0.5, 0.0, 0.5)
@@ -55,17 +60,20 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
 def mix_documents(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """documents with size, source_size, target, taken and position, range-sorted by position."""
     kept = [c for c in documents.columns if c.lower() not in OUTPUT]
+    digits = max(2, math.ceil(math.log(max(1, documents.count() / BUCKET_ROWS), 16)))  # hex digits of the digest that name a bucket
     digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     sized = documents.select(*(F.col(f"`{c}`") for c in kept), F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long").alias("size"), digest.alias("__tg_digest"))
-    slim = documents.select("source", F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long").alias("size"), F.substring(digest, 1, BUCKET_DIGITS).alias("__tg_bucket"))
-    buckets = slim.groupBy("source", "__tg_bucket").agg(F.sum("size").alias("bucket_size"))
+    slim = documents.select("source", F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long").alias("size"), F.substring(digest, 1, digits).alias("__tg_bucket"))
+    buckets = saved(slim.groupBy("source", "__tg_bucket").agg(F.sum("size").alias("bucket_size")), "mixing-buckets")
     targets = source_targets(buckets.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights, share, max_repeats)
     run = Window.partitionBy("source").orderBy("__tg_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = buckets.withColumn("__tg_offset", F.coalesce(F.sum("bucket_size").over(run), F.lit(0))).alias("b")
     targets = targets.withColumnRenamed("source", "__tg_s").alias("t")
     offsets = offsets.join(targets, F.col("b.source").eqNullSafe(F.col("t.__tg_s"))).select(F.col("b.source").alias("__tg_s"), F.col("b.__tg_bucket").alias("__tg_b"), "__tg_offset", "source_size", "target", F.col("slope").alias("__tg_slope"))
-    placed = sized.join(offsets, sized["source"].eqNullSafe(offsets["__tg_s"]) & (F.substring(sized["__tg_digest"], 1, BUCKET_DIGITS) == offsets["__tg_b"]))
-    inside = Window.partitionBy("__tg_s", "__tg_b").orderBy("__tg_digest", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    if buckets.count() <= SENT_ROWS:
+        offsets = F.broadcast(offsets)
+    placed = sized.join(offsets, sized["source"].eqNullSafe(offsets["__tg_s"]) & (F.substring(sized["__tg_digest"], 1, digits) == offsets["__tg_b"]))
+    inside = Window.partitionBy("__tg_s", "__tg_b").orderBy("__tg_digest", "doc_id", "size", F.xxhash64("text")).rowsBetween(Window.unboundedPreceding, 0)
     placed = placed.withColumn("__tg_upto", F.col("__tg_offset") + F.sum("size").over(inside))
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     upto, since = F.floor(F.col("__tg_upto") * ratio), F.floor((F.col("__tg_upto") - F.col("size")) * ratio)
