@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -17,12 +18,13 @@ from tidegrid.llm._words import mix
 
 
 def shared_dir(spark: SparkSession, what: str) -> str:
-    """A new folder below spark.checkpoint.dir; only where that is unset (tests), a local one."""
+    """A new folder below spark.checkpoint.dir. Where that is unset, a local one if all tasks run in this process, else an error."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         base = f"file://{tempfile.gettempdir()}/tidegrid-checkpoints"
-        if spark.sparkContext.master.startswith("local["):
-            os.makedirs(base.removeprefix("file://"), exist_ok=True)
+        os.makedirs(base.removeprefix("file://"), exist_ok=True)
     return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
@@ -33,15 +35,26 @@ def saved(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-#: Rows of an Arrow batch: whole texts are in it, in the JVM and in Python, several times over.
-BATCH_ROWS = 1000
+def discard(df: DataFrame) -> None:
+    """Deletes the folder of a saved table that nothing will read again."""
+    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
+#: Rows and bytes of an Arrow batch: whole texts are in it, in the JVM and in Python, several times over.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Keeps the session's Arrow batches of texts within an executor's memory; a smaller setting stands."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
-        spark.conf.set(name, str(BATCH_ROWS))
+    """Keeps the session's Arrow batches of texts within an executor's memory, whatever the texts' lengths; smaller settings
+    stand. Plans read the settings when they run, after the operator has returned, so they are the session's."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{name}"
+        have = re.match(r"-?[0-9]+", spark.conf.get(name) or "")
+        if have is None or not 0 < int(have[0]) <= most:
+            spark.conf.set(name, str(most))
 
 
 def free_name(df: DataFrame, name: str) -> str:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.llm._frames import saved
+from tidegrid.llm._frames import discard, saved
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -23,6 +23,8 @@ def components(links: DataFrame) -> DataFrame:
         target = better.select(F.col("v").alias("label"), F.col("label").alias("next"))
         jumped = better.join(target, "label", "left").select("v", "old", F.least("label", "next").alias("label"))
         done = saved(jumped, "labels")
+        discard(labels)
         labels = done.select("v", "label")
         if done.where("label < old").isEmpty():
+            discard(both)
             return labels

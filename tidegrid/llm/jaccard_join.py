@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegrid.llm._frames import free_name, key_sketch, map_column, may_hold, saved
+from tidegrid.llm._frames import discard, free_name, key_sketch, map_column, may_hold, saved
 from tidegrid.llm._words import Words, chunks, mix
 from tidegrid.llm.components import components
 
@@ -244,8 +244,9 @@ def class_components(ids: DataFrame, n: int = SHINGLE, threshold: int = THRESHOL
     rows_of = saved(rows_of, "set-digests")
     classes = saved(rows_of.where("_n > 0").groupBy(*_CLASS).agg(F.min("_id").alias("rep")), "classes")
     signed = _signed(ids, n, threshold)
-    rows = saved(signed.repartition("sig").sortWithinPartitions("sig", "d1").mapInArrow(_shared, "sig long, d1 long, need int"), "signatures")
-    rows = saved(_able(rows), "signatures")
+    shared = saved(signed.repartition("sig").sortWithinPartitions("sig", "d1").mapInArrow(_shared, "sig long, d1 long, need int"), "signatures-shared")
+    rows = saved(_able(shared), "signatures")
+    discard(shared)
     fame = rows.groupBy("d1").agg(F.sum("common").alias("fame"))
     leaders = rows.join(fame, "d1").groupBy("sig").agg(F.max(F.struct("fame", "d1")).getField("d1").alias("lead"))
     pairs = rows.join(leaders, "sig").where("d1 != lead").select(F.col("d1").alias("x"), F.col("lead").alias("y")).distinct()
