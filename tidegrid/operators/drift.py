@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 EPS = 1e-10
 FEATURE_KL, TARGET_KL, MAE_INCREASE = 0.1, 0.15, 20.0
 FEATURE_BINS, TARGET_BINS = 20, 30
+#: Ranges of a feature's values whose running sums are taken apart.
+RANGES = 64
 # The policy's thresholds.
 POLICY = {"drift_share": 0.25, "drifted_features": 3, "ks_p_value": 0.05, "rmse_increase_pct": 30.0, "least_rows": 100, "cooldown_days": 3, "promotion_margin_pct": 2.0}
 
@@ -22,7 +24,7 @@ def long_form(reference: DataFrame, current: DataFrame, features: list[str]) ->
 
 def kl_divergence(long: DataFrame, bins: int = FEATURE_BINS) -> DataFrame:
     """M13, for every feature at once: bins over both sides' range, densities plus EPS made to sum to 1, current against
-    reference. A range without width is widened by a half on either side; the last bin is closed. Rows are counted by (feature,
+    reference. The bounds are a row a feature, so they are broadcast. A range without width is widened by a half on either side; the last bin is closed. Rows are counted by (feature,
     bin, side), so nothing but counts is shuffled."""
     wide = long.groupBy("feature").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
     wide = wide.select("feature", F.when(F.col("hi") > F.col("lo"), F.col("lo")).otherwise(F.col("lo") - 0.5).alias("lo"), F.when(F.col("hi") > F.col("lo"), F.col("hi")).otherwise(F.col("hi") + 0.5).alias("hi"))
@@ -64,14 +66,56 @@ def performance_drift(baseline: DataFrame, current: DataFrame, error: str, thres
     return a.crossJoin(b).select(F.round("a", 6).alias("baseline_mae"), F.round("b", 6).alias("current_mae"), F.round(up, 6).alias("increase_pct"), (up > threshold).alias("drifted"))
 
 
-def ks_statistic(reference: DataFrame, current: DataFrame, features: list[str]) -> DataFrame:
-    """The greatest gap between two empirical distributions. Equal values are counted first, so the running
-    sums go over distinct values."""
+def ks_gaps(reference: DataFrame, current: DataFrame, features: list[str]) -> DataFrame:
+    """(feature, ks, n_reference, n_current): the greatest gap between two empirical distributions. Equal values are counted
+    first. Running sums are taken in two steps, over RANGES ranges of a feature's values and within a range, so that no
+    task holds all values of a feature; where the ranges' edges lie changes no result."""
     counts = long_form(reference, current, features).groupBy("feature", "x").agg(F.count_if(F.col("side") == "ref").alias("r"), F.count_if(F.col("side") == "cur").alias("c"))
-    run, own = Window.partitionBy("feature").orderBy("x").rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy("feature")
-    share = lambda c: F.try_divide(F.sum(c).over(run), F.sum(c).over(own))
-    gaps = counts.select("feature", F.abs(share("r") - share("c")).alias("gap"))
-    return gaps.groupBy("feature").agg(F.round(F.max("gap"), 6).alias("ks"))
+    edges = counts.groupBy("feature").agg(F.percentile_approx("x", [k / RANGES for k in range(1, RANGES)], 1000).alias("edges"))
+    placed = counts.join(edges, "feature").withColumn("range", F.size(F.filter("edges", lambda e: e < F.col("x")))).drop("edges")
+    # a row a range
+    sums = placed.groupBy("feature", "range").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
+    own, before = Window.partitionBy("feature"), Window.partitionBy("feature").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("feature", "range", *(F.coalesce(F.sum(k).over(before), F.lit(0)).alias(f"{k}_before") for k in "rc"), *(F.sum(k).over(own).alias(f"{k}_all") for k in "rc"))
+    run = Window.partitionBy("feature", "range").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    share = lambda k: F.try_divide(F.col(f"{k}_before") + F.sum(k).over(run), F.col(f"{k}_all"))
+    gaps = placed.join(offsets, ["feature", "range"]).select("feature", F.abs(share("r") - share("c")).alias("gap"), "r_all", "c_all")
+    return gaps.groupBy("feature").agg(F.max("gap").alias("ks"), F.max("r_all").alias("n_reference"), F.max("c_all").alias("n_current"))
+
+
+def ks_statistic(reference: DataFrame, current: DataFrame, features: list[str]) -> DataFrame:
+    """M23's statistic."""
+    return ks_gaps(reference, current, features).select("feature", F.round("ks", 6).alias("ks"))
+
+
+def ks_test(reference: DataFrame, current: DataFrame, features: list[str], alpha: float = POLICY["ks_p_value"]) -> DataFrame:
+    """With the p-value of the limiting distribution, 2 sum (-1)^(j-1) exp(-2 j^2 z^2) for z = ks sqrt(n m / (n + m)), and whether it is
+    below alpha. The series is near 1 for small z, where it converges slowly, so 1 is taken there."""
+    n, m = F.col("n_reference").cast("double"), F.col("n_current").cast("double")
+    z = F.sqrt(n * m / (n + m)) * F.col("ks")
+    series = sum((F.lit(2.0 * (-1) ** (j - 1)) * F.exp(F.lit(-2.0 * j * j) * z * z) for j in range(1, 21)), F.lit(0.0))
+    p = F.when(z < 0.3, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
+    return ks_gaps(reference, current, features).select("feature", F.round("ks", 6).alias("ks"), F.round(p, 6).alias("p_value"), (p < alpha).alias("drifted"))
+
+
+def policy_decision(tests: DataFrame, performance: DataFrame, baseline_rmse: float, last_retrain: str | None, now: str, policy: dict[str, float] = POLICY) -> DataFrame:
+    """M23, one row: data drift (enough features, or a great enough share of them, are drifted), concept drift (the error has grown
+    enough, over enough rows), whether the cooldown since the last training is over, and so whether to retrain. tests: of ks_test;
+    performance: of metrics.rolling_performance."""
+    share = F.count_if("drifted") / F.count("*")
+    data = tests.agg(F.count_if("drifted").alias("drifted_features"), F.round(share, 6).alias("drift_share"), ((share >= policy["drift_share"]) & (F.count_if("drifted") >= policy["drifted_features"])).alias("data_drift"))
+    up = (F.col("rmse") / F.lit(float(baseline_rmse)) - 1) * 100
+    concept = performance.where("status IS NOT NULL").select(F.round(up, 6).alias("rmse_increase_pct"), F.coalesce((F.col("n") >= policy["least_rows"]) & (up > policy["rmse_increase_pct"]), F.lit(False)).alias("concept_drift"))
+    days = F.lit(None).cast("int") if last_retrain is None else F.date_diff(F.lit(now).cast("date"), F.lit(last_retrain).cast("date"))
+    both = data.crossJoin(concept).withColumn("cooled_down", F.coalesce(days >= policy["cooldown_days"], F.lit(True)))
+    return both.withColumn("retrain", (F.col("data_drift") | F.col("concept_drift")) & F.col("cooled_down"))
+
+
+def promotion(champion_rmse: DataFrame, candidate: DataFrame, margin_pct: float = POLICY["promotion_margin_pct"]) -> DataFrame:
+    """M23's promotion: the candidate (run_id, val_rmse) has to better the champion's val_rmse by the margin; without a champion it is promoted."""
+    best = champion_rmse.agg(F.min("val_rmse").alias("champion_val_rmse"))
+    gain = F.round((F.col("champion_val_rmse") - F.col("val_rmse")) / F.col("champion_val_rmse") * 100, 6)
+    return candidate.select("run_id", "val_rmse").crossJoin(best).withColumn("gain_pct", gain).withColumn("promoted", F.coalesce(F.col("gain_pct") >= margin_pct, F.lit(True)))
 
 
 def drift_report(features: DataFrame, target: DataFrame, performance: DataFrame) -> DataFrame:

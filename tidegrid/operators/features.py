@@ -49,7 +49,7 @@ def with_weather_flags(weather: DataFrame) -> DataFrame:
 
 
 def filled_weather(weather: DataFrame, demand: DataFrame, columns: tuple[str, ...] = WEATHER) -> DataFrame:
-    """The weather of every hour of the panel, gaps filled forward, then backward. The timeline is one city's hours (8,766 a
+    """The weather of every hour between demand's first and last (the panel, or the counts that it is made of), gaps filled forward, then backward. The timeline is one city's hours (8,766 a
     year, whatever the number of trips), so one ordered window over it is bounded; it is filled before the join, where a fill would
     run from one station's last hour into the next station's first."""
     bounds = demand.agg(F.min("hour").alias("_a"), F.max("hour").alias("_b"))
@@ -86,8 +86,9 @@ def join_holidays(panel: DataFrame, calendar: DataFrame) -> DataFrame:
     return panel.join(days, "date", "left").withColumn("is_holiday", F.coalesce("is_holiday", F.lit(0)))
 
 
-def feature_matrix(panel: DataFrame, weather: DataFrame, stations: DataFrame, calendar: DataFrame) -> DataFrame:
-    """The panel with every feature of the contract."""
-    filled = with_weather_flags(filled_weather(weather, panel))
+def feature_matrix(panel: DataFrame, weather: DataFrame, stations: DataFrame, calendar: DataFrame, demand: DataFrame | None = None) -> DataFrame:
+    """The panel with every feature of the contract. demand: a smaller table with the panel's first and last hour, such as
+    panel.station_hours; a panel that is not stored would be computed twice without it."""
+    filled = with_weather_flags(filled_weather(weather, panel if demand is None else demand))
     joined = join_holidays(join_capacity(join_weather(panel, filled), stations), calendar)
     return with_cycles(with_history(joined))

@@ -68,7 +68,8 @@ def split_overlap(split: DataFrame, key: list[str]) -> DataFrame:
 
 def hashed_sample(df: DataFrame, key: list[str], percent: int) -> DataFrame:
     """The same rows in every run."""
-    return df.where(F.pmod(F.xxhash64(*key), F.lit(100)) < percent)
+    digest = F.md5(F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key)))
+    return df.where(F.pmod(F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"), F.lit(100)) < percent)
 
 
 def residual_stats(scored: DataFrame, y: str = "y", p: str = "p") -> DataFrame:

@@ -129,10 +129,8 @@ def top_features(importance: DataFrame, top: int = 15) -> DataFrame:
 
 def score_agreement(importance: DataFrame, top: int = 3) -> DataFrame:
     """Whether two scores (gain, shap) have the same best features."""
-    rank = lambda c: F.row_number().over(Window.orderBy(F.desc(c), "feature"))  # noqa: E731  a row a feature
-    ranked = importance.withColumns({"_g": rank("gain"), "_s": rank("shap")})
-    best = lambda c: F.array_sort(F.collect_list(F.when(F.col(c) <= top, F.col("feature"))))
-    return ranked.agg(best("_g").alias("g"), best("_s").alias("s")).select(F.array_join("g", ",").alias("top_gain"), F.array_join("s", ",").alias("top_shap"), (F.col("g") == F.col("s")).alias("agree"))
+    best = lambda c, name: importance.orderBy(F.desc(c), "feature").limit(top).agg(F.array_sort(F.collect_list("feature")).alias(name))
+    return best("gain", "g").crossJoin(best("shap", "s")).select(F.array_join("g", ",").alias("top_gain"), F.array_join("s", ",").alias("top_shap"), (F.col("g") == F.col("s")).alias("agree"))
 
 
 def category_share(importance: DataFrame, categories: DataFrame) -> DataFrame:
@@ -186,6 +184,29 @@ def priority_route(routes: DataFrame, fills: DataFrame, reach: int = 10) -> Data
     return hits.orderBy(F.desc("urgent_stops"), "route_id").limit(1)
 
 
+# Lowest and highest value of a request's fields; None: no bound.
+REQUEST_RANGES: dict[str, tuple[float | None, float | None]] = {
+    "capacity": (1, None), "hour_of_day": (0, 23), "day_of_week": (0, 6), "month": (1, 12), "year": (2023, None), "is_weekend": (0, 1), "is_holiday": (0, 1),
+    "precipitation_mm": (0, None), "wind_speed_kmh": (0, None), "humidity_pct": (0, 100), "weather_code": (0, None), "is_cold": (0, 1), "is_hot": (0, 1), "is_precipitation": (0, 1),
+    "demand_lag_1h": (0, None), "demand_lag_24h": (0, None), "demand_lag_168h": (0, None), "rolling_avg_3h": (0, None), "rolling_avg_6h": (0, None), "rolling_avg_24h": (0, None),
+}
+#: Fields that a request has to have besides: a value, in no range.
+REQUEST_FIELDS = ("start_station_id", "temperature_c", "feels_like_c")
+
+
+def checked_requests(requests: DataFrame) -> DataFrame:
+    """P25: requests with their faults, field by field in the rules' order: missing, or out of range; and whether there are none."""
+    faults = [F.when(F.col(c).isNull() if c in requests.columns else F.lit(True), F.lit(f"{c}: missing")) for c in REQUEST_FIELDS]
+    for c, (low, high) in REQUEST_RANGES.items():
+        if c not in requests.columns:
+            faults.append(F.lit(f"{c}: missing"))
+            continue
+        v = F.col(c).cast("double")
+        inside = v.isNotNull() & (F.lit(True) if low is None else v >= low) & (F.lit(True) if high is None else v <= high)
+        faults.append(F.when(F.col(c).isNull(), F.lit(f"{c}: missing")).when(~inside, F.lit(f"{c}: out of range")))
+    return requests.withColumn("faults", F.array_compact(F.array(*faults))).withColumn("accepted", F.size("faults") == 0)
+
+
 def completed_requests(requests: DataFrame) -> DataFrame:
     """P25: cyclical columns only where a request lacks them."""
     made = cyclical("hour", F.col("hour_of_day"), 24) | cyclical("dow", F.col("day_of_week"), 7) | cyclical("month", F.col("month"), 12)

@@ -11,17 +11,17 @@ WEIGHT_RANGE = (1.0, 3.0)
 
 
 def by_slice(df: DataFrame, slices: dict[str, Column], keep: list[str]) -> DataFrame:
-    """One row for each row and slice, so that one shuffle counts every slice."""
+    """One row for each row and slice, so that one shuffle counts every slice. A row outside a slice's groups has none there."""
     pairs = F.array(*(F.struct(F.lit(n).alias("slice_name"), c.alias("group_name")) for n, c in slices.items()))
-    return df.select(*keep, F.inline(pairs)).where("group_name IS NOT NULL")
+    return df.select(*keep, F.inline(pairs))
 
 
 def slice_stats(df: DataFrame, slices: dict[str, Column]) -> DataFrame:
-    """A19."""
+    """A19. A slice's groups, null among them, hold all rows, so the total needs no pass of its own."""
     d = F.col("demand_count")
     counted = by_slice(df, slices, ["demand_count"]).groupBy("slice_name", "group_name").agg(F.count("*").alias("n"), F.round(F.avg(d), 3).alias("mean_demand"), F.round(F.median(d), 3).alias("median_demand"), F.round(F.avg((d == 0).cast("int")) * 100, 2).alias("zero_demand_pct"))
-    total = df.agg(F.count("*").alias("_total"))
-    return counted.crossJoin(F.broadcast(total)).withColumn("representation_pct", F.round(100.0 * F.col("n") / F.col("_total"), 2)).drop("_total")
+    total = F.sum("n").over(Window.partitionBy("slice_name"))  # a row a group
+    return counted.withColumn("representation_pct", F.round(100.0 * F.col("n") / total, 2)).where("group_name IS NOT NULL")
 
 
 def slice_disparity(stats: DataFrame) -> DataFrame:
@@ -49,7 +49,7 @@ def bias_display(stats: DataFrame) -> DataFrame:
 def slice_errors(scored: DataFrame, slices: dict[str, Column], y: str = "y", p: str = "p") -> DataFrame:
     """A23."""
     off = F.col(p) - F.col(y)
-    return by_slice(scored, slices, [y, p]).groupBy("slice_name", "group_name").agg(F.count("*").alias("n"), F.round(F.sqrt(F.avg(off * off)), 6).alias("rmse"), F.round(F.avg(F.abs(off)), 6).alias("mae"))
+    return by_slice(scored, slices, [y, p]).where("group_name IS NOT NULL").groupBy("slice_name", "group_name").agg(F.count("*").alias("n"), F.round(F.sqrt(F.avg(off * off)), 6).alias("rmse"), F.round(F.avg(F.abs(off)), 6).alias("mae"))
 
 
 def error_disparity(errors: DataFrame, least: int = MIN_GROUP, max_ratio: float = MAX_ERROR_RATIO, override: str | None = None) -> DataFrame:

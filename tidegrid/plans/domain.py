@@ -65,7 +65,8 @@ def places(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 def matrix(spark: SparkSession, d: str) -> DataFrame:
     feed = stations(spark, d).select(F.col("station_id").alias("start_station_id"), "capacity")
-    return features.feature_matrix(demand_panel(spark, d), weather(spark, d), feed, features.holiday_calendar(spark))
+    counts = panel.station_hours(trips(spark, d))
+    return features.feature_matrix(demand_panel(spark, d), weather(spark, d), feed, features.holiday_calendar(spark), counts)
 
 
 def naive_scores(spark: SparkSession, d: str) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+#: Parts that others name more than once and that are dear to compute.
+REPEATED = {"hist", "matrix", "ns", "errors", "alle", "rep", "fac", "lab"}
+
 PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     "ev": ((), "SELECT * FROM events"),
     "ev2": ((), "SELECT * FROM events UNION ALL SELECT * REPLACE (ts + INTERVAL 1 SECOND AS ts) FROM events WHERE event_type = 'purchase'"),
@@ -106,4 +109,5 @@ def sql(body: str, *names: str, **own: str) -> str:
         need(name)
     if not order:
         return body
-    return "WITH " + ",\n".join(f"{n} AS ({(own[n] if n in own else PARTS[n][1]).replace('{HOLIDAYS}', listed)})" for n in order) + "\n" + body
+    once = lambda n: "MATERIALIZED " if n in REPEATED else ""
+    return "WITH " + ",\n".join(f"{n} AS {once(n)}({(own[n] if n in own else PARTS[n][1]).replace('{HOLIDAYS}', listed)})" for n in order) + "\n" + body

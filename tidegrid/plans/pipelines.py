@@ -10,10 +10,10 @@ from tidegrid.operators import clean, drift, features, gates, metrics, ml, panel
 from tidegrid.sources import store, trips
 
 
-def clean_year(spark: SparkSession, raw: str, out: str) -> None:
-    """Trip files to cleaned Parquet by year and month."""
-    frame = trips.read_csv(spark, trips.readable_paths(spark, raw))
-    store.write_partitioned(clean.clean_trips(frame), out)
+def clean_year(spark: SparkSession, raw: str, out: str, month: int | None = None) -> None:
+    """Trip files to cleaned Parquet by year and month, or those of one month again."""
+    frame = trips.read_csv(spark, raw)
+    store.write_partitioned(clean.clean_trips(frame if month is None else frame.where(F.month("started_at") == month)), out)
 
 
 def hourly_demand(spark: SparkSession, cleaned: str, out: str) -> None:
@@ -41,11 +41,11 @@ def data_bias_report(matrix: DataFrame, out: str) -> None:
     store.write_report(slices.slice_stats(matrix, labels.data_slices()), out, by="slice_name")
 
 
-def train_evaluate(matrix: DataFrame, params: dict | None = None, gate: dict | None = None) -> tuple[object, DataFrame, DataFrame]:
-    """The model, metrics by split and the gate's rows for the test split."""
-    split = metrics.temporal_split(matrix)
-    model = ml.train(split.where("split = 'train'"), params)
-    by_split = metrics.regression_metrics(ml.score(model, split.where("split != 'train'")), ["split"], quality.TARGET, "p")
+def train_evaluate(matrix: DataFrame, params: dict | None = None, gate: dict | None = None, train_end: str = metrics.TRAIN_END, validation_end: str = metrics.VALIDATION_END) -> tuple[ml.Boosted, DataFrame, DataFrame]:
+    """The model, metrics by split and the gate's rows for the test split. Training stops when the validation split gains no more."""
+    split = metrics.temporal_split(matrix, "hour", train_end, validation_end)
+    model = ml.Boosted(params).train(split.where("split = 'train'"), split.where("split = 'validation'"))
+    by_split = metrics.regression_metrics(model.predict(split.where("split != 'train'")), ["split"], quality.TARGET, "p")
     return model, by_split, metrics.validation_gate(by_split.where("split = 'test'"), gate)
 
 

@@ -234,7 +234,7 @@ def range_checks(spark: SparkSession, d: str) -> DataFrame:
     return quality.range_checks(domain.matrix(spark, d))
 
 
-@query()
+@query(sql("SELECT column_name, status, unreadable FROM (SELECT unnest([" + ", ".join(f"{{'column_name': '{c}', 'status': 'ok', 'unreadable': count({c}) - count(TRY_CAST(CAST({c} AS VARCHAR) AS {({'int': 'BIGINT', 'float': 'DOUBLE', 'numeric': 'DOUBLE', 'string': 'VARCHAR', 'timestamp': 'TIMESTAMP'})[f]}))}}" for c, f in quality.CONTRACT.items()) + "], recursive := true) FROM matrix)", "matrix"))
 def schema_checks(spark: SparkSession, d: str) -> DataFrame:
     return quality.schema_checks(domain.matrix(spark, d))
 
@@ -265,9 +265,13 @@ def matrix_validation(spark: SparkSession, d: str) -> DataFrame:
     return quality.matrix_checks(domain.matrix(spark, d), domain.demand_panel(spark, d))
 
 
-@query()
+_ROW_HASH = "CAST('0x' || substr(md5(concat_ws('|', {cells})), 1, 15) AS BIGINT)"
+LINEITEM = "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate".split()
+
+
+@query("SELECT count(*) AS n_rows, bit_xor(h) AS hash_xor, CAST(sum(h) AS VARCHAR) AS hash_sum FROM (SELECT " + _ROW_HASH.format(cells=", ".join(f"coalesce('=' || CAST({c} AS VARCHAR), '-')" for c in LINEITEM)) + " AS h FROM lineitem)")
 def dataset_fingerprint(spark: SparkSession, d: str) -> DataFrame:
-    return store.fingerprint(domain.table(spark, d, "lineitem"))
+    return store.fingerprint(domain.table(spark, d, "lineitem").select(*LINEITEM))
 
 
 # Stations
@@ -303,10 +307,16 @@ def station_nearest_match(spark: SparkSession, d: str) -> DataFrame:
     return rounded(stations.nearest(trip_side, feed), 4)
 
 
-@query(sql(f"SELECT start_station_id, feed_station_id, capacity, 'name' AS matched_by FROM ({NAMED}) WHERE capacity IS NOT NULL", "trips", "stations"))
+@query(sql(f"""SELECT start_station_id, feed_station_id, capacity, 'name' AS matched_by FROM ({NAMED}) WHERE capacity IS NOT NULL
+UNION ALL SELECT start_station_id, b.station_id, b.capacity, 'place' FROM (
+  SELECT u.start_station_id, arg_min({{'station_id': s.station_id, 'capacity': s.capacity}}, (sqrt(pow(p.lat - s.lat, 2) + pow(p.lon - s.lon, 2)) * 111000.0::DOUBLE, s.station_id)) AS b
+  FROM ({NAMED}) u JOIN (SELECT start_station_id, median(start_lat) AS lat, median(start_lng) AS lon FROM trips GROUP BY 1) p USING (start_station_id)
+  JOIN (SELECT *, 42 + CAST(station_id AS BIGINT) % 64 * 0.004::DOUBLE AS lat, -71 - CAST(station_id AS BIGINT) % 64 * 0.004::DOUBLE AS lon FROM stations) s ON sqrt(pow(p.lat - s.lat, 2) + pow(p.lon - s.lon, 2)) * 111000.0::DOUBLE <= 500
+  WHERE u.capacity IS NULL GROUP BY 1)""", "trips", "stations"))
 def station_lookup(spark: SparkSession, d: str) -> DataFrame:
-    """C03. The feed stands far from the trips here, so the second step finds nothing; station_nearest_match has it alone."""
-    feed = domain.stations(spark, d).withColumns({"lat": F.lit(0.0), "lon": F.lit(0.0)})
+    """C03. The feed's stations stand along the line on which the trips' stations lie, so stations without a name match have neighbours."""
+    k = F.col("station_id").cast("long") % 64 * F.lit(0.004)
+    feed = domain.stations(spark, d).withColumns({"lat": 42 + k, "lon": -71 - k})
     return stations.station_lookup(domain.trips(spark, d), feed)
 
 
@@ -428,7 +438,7 @@ def split_overlap(spark: SparkSession, d: str) -> DataFrame:
     return metrics.split_overlap(o, ["o_custkey"])
 
 
-@query()
+@query(sql("SELECT start_station_id, hour, demand_count FROM panel WHERE " + _ROW_HASH.format(cells="start_station_id, CAST(hour AS VARCHAR)") + " % 100 < 20", "panel"))
 def sample_split(spark: SparkSession, d: str) -> DataFrame:
     """20 percent of the panel, the same rows every time; sampling is the operator."""
     return metrics.hashed_sample(domain.demand_panel(spark, d), ["start_station_id", "hour"], 20).select("start_station_id", "hour", "demand_count")
@@ -545,6 +555,11 @@ def drift_report(spark: SparkSession, d: str) -> DataFrame:
 _CANDIDATE = "(SELECT run_id, val_rmse FROM runs WHERE run_id = (SELECT max(run_id) FROM runs))"
 
 
+def _candidate_of(runs: DataFrame) -> DataFrame:
+    """The best run, as a candidate that the gate accepts."""
+    return gates.best_run(runs).select("run_id", "val_rmse")
+
+
 def _candidate(spark: SparkSession, d: str) -> DataFrame:
     return domain.runs(spark, d).orderBy(F.desc("run_id")).limit(1).select("run_id", "val_rmse")
 
@@ -810,48 +825,50 @@ def streaming_performance(spark: SparkSession, d: str) -> DataFrame:
     return streaming.drained(streaming.streaming_performance(log), "streaming-performance")
 
 
-# Models (rows only)
-
-SMALL = {"maxIter": 5, "maxDepth": 4, "stepSize": 0.2}
+# Models (rows only, but for the forecast without a model)
 
 
 def _split(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    m = domain.matrix(spark, d).persist()
-    return domain.halves(m, "hour", SPLIT)
+    """The matrix's two halves, stored: training reads it many times."""
+    path = store.scratch(spark, "matrix")
+    domain.matrix(spark, d).write.parquet(path)
+    return domain.halves(spark.read.parquet(path), "hour", SPLIT)
 
 
 @query()
 def gbt_train_score(spark: SparkSession, d: str) -> DataFrame:
     train, rest = _split(spark, d)
-    model = ml.train(train, SMALL)
-    return ml.score(model, rest).select("start_station_id", "hour", F.col("demand_count").cast("double").alias("y"), "p")
+    return ml.Boosted().train(train, rest).predict(rest).select("start_station_id", "hour", F.col("demand_count").cast("double").alias("y"), "p")
 
 
 @query()
 def gain_importance(spark: SparkSession, d: str) -> DataFrame:
-    return ml.gain_importance(ml.train(_split(spark, d)[0], SMALL), spark)
+    return ml.Boosted().train(*_split(spark, d)).importances(spark)
 
 
 @query()
 def permutation_importance(spark: SparkSession, d: str) -> DataFrame:
     train, rest = _split(spark, d)
-    return ml.permutation_importance(ml.train(train, SMALL), rest, ["demand_lag_1h", "rolling_avg_24h", "hour_sin"], ["start_station_id", "hour"])
+    inputs = [c for c in quality.FEATURES if c != "start_station_id"]
+    return ml.permutation_importance(ml.Boosted().train(train, rest).model, rest, inputs, ["start_station_id", "hour"])
 
 
 @query()
 def parameter_sweep(spark: SparkSession, d: str) -> DataFrame:
-    train, rest = _split(spark, d)
-    return ml.sweep(train, rest, {"maxDepth": [2, 4], "stepSize": [0.1, 0.3]}, {"maxIter": 3})
+    return ml.sweep(*_split(spark, d))
 
 
 @query()
 def random_search(spark: SparkSession, d: str) -> DataFrame:
-    train, rest = _split(spark, d)
-    return ml.random_search(train, rest, {"maxDepth": [2, 3, 4], "stepSize": [0.1, 0.3]}, trials=3, base={"maxIter": 3})
+    return ml.random_search(*_split(spark, d), ml.WIDE)
 
 
-@query()
+@query(sql("SELECT start_station_id AS station_id, hour + INTERVAL 24 HOUR AS forecast_hour, round(CAST(demand_count AS DOUBLE), 4) AS predicted_demand FROM panel WHERE hour > (SELECT max(hour) FROM panel) - INTERVAL 24 HOUR", "panel"))
 def recursive_forecast(spark: SparkSession, d: str) -> DataFrame:
+    """M19 without a model: the last day's demand comes again."""
     m = domain.matrix(spark, d)
     weather = serving.last_known(m, list(features.WEATHER) + ["is_precipitation", "is_cold", "is_hot", "feels_like_c"])
     return ml.recursive_forecast(serving.station_history(m), weather, features.holiday_calendar(spark))
+
+
+from tidegrid.plans import file_queries  # noqa: E402, F401  registers the queries of files and pipelines

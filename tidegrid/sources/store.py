@@ -2,18 +2,27 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; a local one only where none is set, as in tests."""
+    """The shared folder that the cluster names. Where none is set, a local one if all tasks run in this process, else an error."""
     own = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not own and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
     return own or f"file://{tempfile.gettempdir()}/tidegrid-checkpoints"
 
 
+def scratch(spark: SparkSession, what: str) -> str:
+    """A folder that nobody else uses, below checkpoint_root."""
+    return f"{checkpoint_root(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+
+
 def write_partitioned(df: DataFrame, path: str, by: tuple[str, ...] = ("year", "month")) -> None:
     """Only the partitions that df has are overwritten."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
@@ -59,8 +68,10 @@ def write_report(report: DataFrame, path: str, by: str | None = None) -> None:
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """A content hash that no order or file layout changes."""
-    h = F.xxhash64(*(F.col(c) for c in df.columns))
+    """A content hash that no order or file layout changes: of the MD5 of each row, its cells as text between bars, the exclusive
+    or and the sum of the first 60 bits. A null is told from an empty text."""
+    cells = F.concat_ws("|", *(F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in df.columns))
+    h = F.conv(F.substring(F.md5(cells), 1, 15), 16, 10).cast("long")
     return df.agg(F.count("*").alias("n_rows"), F.bit_xor(h).alias("hash_xor"), F.sum(h.cast("decimal(38,0)")).cast("string").alias("hash_sum"))
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import csv as plain_csv
 import io
 import zipfile
 from collections.abc import Iterator
+from multiprocessing.pool import ThreadPool
 
 import pyarrow as pa
 from pyarrow import csv
@@ -21,16 +23,41 @@ TRIPS = T.StructType([
 ])
 
 
-def readable_paths(spark: SparkSession, path: str) -> list[str]:
+#: Headers that are looked at together.
+AT_ONCE = 16
+
+
+def headers(spark: SparkSession, path: str | list[str]) -> dict[str, tuple[str, ...]]:
+    """Each file's column names. The list of files has names only, no content; of a file, the first line alone is read."""
+    paths = sorted(r["path"] for r in spark.read.format("binaryFile").load(path).select("path").collect())
+
+    def first_line(one: str) -> tuple[str, ...]:
+        line = spark.read.text(one).limit(1).collect()
+        return tuple(c.strip().lstrip("\ufeff") for c in next(plain_csv.reader([line[0]["value"]]), [])) if line else ()
+
+    with ThreadPool(AT_ONCE) as pool:
+        return dict(zip(paths, pool.map(first_line, paths), strict=True))
+
+
+def readable_paths(spark: SparkSession, path: str | list[str]) -> list[str]:
     """Files whose header has ride_id; the older layout has not. The list has one entry a file."""
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path"))
-    return [r["path"] for r in lines.groupBy("path").agg(F.bool_or(F.col("value").contains("ride_id")).alias("ok")).where("ok").orderBy("path").collect()]
+    return [p for p, names in headers(spark, path).items() if "ride_id" in names]
 
 
 def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Columns are read by the file's header and given the trips' types."""
-    raw = spark.read.option("header", True).option("enforceSchema", False).schema(T.StructType([T.StructField(f.name, T.StringType()) for f in TRIPS])).csv(path)
-    return raw.select(*(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in TRIPS))
+    """Columns are read by each file's header and given the trips' types; a column that a file lacks is null. Files of one
+    layout are one scan; files without ride_id are not read."""
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for p, names in headers(spark, path).items():
+        if "ride_id" in names:
+            layouts.setdefault(names, []).append(p)
+    text = lambda names: T.StructType([T.StructField(n or f"_{k}", T.StringType()) for k, n in enumerate(names)])
+    frames = [spark.read.option("header", True).schema(text(names)).csv(paths) for names, paths in sorted(layouts.items())]
+    out = spark.createDataFrame([], TRIPS)
+    for k, raw in enumerate(frames):
+        typed = raw.select(*((F.col(f.name) if f.name in raw.columns else F.lit(None)).try_cast(f.dataType).alias(f.name) for f in TRIPS))
+        out = typed if k == 0 else out.unionByName(typed)
+    return out
 
 
 def read_zip(spark: SparkSession, path: str) -> DataFrame:

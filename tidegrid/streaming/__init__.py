@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.sources.store import checkpoint_root
+from tidegrid.sources.store import scratch
 
 
 def streaming_demand(events: DataFrame, at: str = "started_at", delay: str = "2 hours") -> DataFrame:
@@ -27,7 +25,7 @@ def streaming_performance(log: DataFrame, at: str = "forecast_hour", delay: str
 
 def drained(stream: DataFrame, what: str) -> DataFrame:
     """What a stream appends until its source has no more: written, with its checkpoint, to the shared folder."""
-    root = f"{checkpoint_root(stream.sparkSession).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    root = scratch(stream.sparkSession, what)
     run = stream.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/state").outputMode("append").trigger(availableNow=True).start()
     run.awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{root}/out")
