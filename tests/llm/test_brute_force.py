@@ -62,35 +62,56 @@ def test_jaccard_components(spark, n, threshold, seed):
     assert got == components(rows, n, threshold)
 
 
-def test_signatures_lose_no_pair():
-    draw = np.random.default_rng(1)
-    for threshold in (90, 80):
-        signer = jaccard_join.Signatures(threshold)
-        for _ in range(400):
-            size = int(draw.integers(1, 120))
+def crowded(draw, size, n_cells, cells):
+    """Features that lie in few cells of the domain."""
+    low = draw.integers(0, 2**32, size, dtype=np.uint64)
+    cell = draw.choice(cells, size).astype(np.uint64)
+    width = np.uint64((1 << 32) // n_cells)
+    return np.unique(((cell * width + draw.integers(1, int(width), size, dtype=np.uint64)) << np.uint64(32)) | low)
+
+
+@pytest.mark.parametrize("threshold", [90, 80])
+def test_signatures_lose_no_pair(threshold):
+    """Linked sets share as many signatures as either asks for: with features anywhere, and with features crowded into few groups."""
+    draw, signer, linked = np.random.default_rng(threshold), jaccard_join.Signatures(threshold), 0
+    for turn in range(1500):
+        size = int(draw.integers(1, 120))
+        if turn % 2:
             a = np.unique(draw.integers(0, 2**63, size, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
-            keep = a[draw.random(len(a)) > draw.choice([0, 0.03, 0.08, 0.15])]
-            b = np.unique(np.concatenate([keep, draw.integers(0, 2**63, int(draw.integers(0, 1 + size // 12)), dtype=np.uint64)]))
-            if len(b) and 100 * len(np.intersect1d(a, b)) >= threshold * len(np.union1d(a, b)):
-                (x, p), (y, q) = signer.of(a), signer.of(b)
-                assert np.intersect1d(x, y).size >= max(p, q)
-
-
-def straddling_pair():
-    """5-word texts of 10 and 12 shingles: the first set signs its empty partitions, the second has too few of them to do so."""
-    signer = jaccard_join.Signatures(80)
-    for k in range(20_000):
-        words = [f"s{k}w{i}" for i in range(16)]
-        a, b = (next(jaccard_join.sets_of(pa.array([" ".join(words[:n])]), 5)) for n in (14, 16))
-        n, spare = signer.partitions(int(np.searchsorted(signer.edges, len(a), "right")) - 1)
-        empty_a, empty_b = (n - len(np.unique(((x >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32))) for x in (a, b))
-        if empty_a > spare >= empty_b and np.intersect1d(signer.of(a)[0], signer.of(b)[0]).size <= spare:
-            return " ".join(words[:14]), " ".join(words)
-    raise AssertionError("no straddling pair")
-
-
-def test_sets_on_both_sides_of_the_spare_partitions_link(spark):
-    a, b = straddling_pair()
+            extra = draw.integers(0, 2**63, int(draw.integers(0, 1 + size // 8)), dtype=np.uint64)
+        else:
+            band = int(np.searchsorted(signer.edges, size, "right")) - 1
+            cells = 3 * signer.groups(band)[1]
+            a = crowded(draw, size, cells, draw.choice(cells, int(draw.integers(1, 4))))
+            extra = crowded(draw, int(draw.integers(0, 1 + size // 8)), cells, np.arange(cells)) if size > 7 else a[:0]
+        keep = a[draw.random(len(a)) > draw.choice([0, 0.03, 0.08, 0.15])]
+        b = np.unique(np.concatenate([keep, extra]))
+        if len(b) and 100 * len(np.intersect1d(a, b)) >= threshold * len(np.union1d(a, b)):
+            linked += 1
+            (x, p), (y, q) = signer.of(a), signer.of(b)
+            assert np.intersect1d(x, y).size >= max(p, q) >= 1
+    assert linked > 400
+
+
+def crowded_pair(threshold, n):
+    """Texts of linked sets of which the one signs subsets without features and the other does not."""
+    signer, draw = jaccard_join.Signatures(threshold), random.Random(1)
+    for k in range(60_000):
+        words = [f"s{k}w{i}" for i in range(n + 11)]
+        a, b = (next(jaccard_join.sets_of(pa.array([" ".join(words[:m])]), n)) for m in (n + 9, n + 11))
+        k_band, groups, spare = signer.groups(int(np.searchsorted(signer.edges, len(a), "right")) - 1)
+
+        def weak(x, groups=groups):
+            cell = np.unique(((x >> np.uint64(32)) * np.uint64(3 * groups)) >> np.uint64(32)) // np.uint64(3)
+            return groups - (np.unique(cell, return_counts=True)[1] >= 2).sum()
+
+        if weak(a) > spare >= weak(b):
+            return " ".join(words[: n + 9]), " ".join(words)
+    raise AssertionError("no such pair")
+
+
+def test_sets_on_both_sides_of_the_spare_groups_link(spark):
+    a, b = crowded_pair(80, 5)
     signer = jaccard_join.Signatures(80)
     (x, p), (y, q) = (signer.of(next(jaccard_join.sets_of(pa.array([t]), 5))) for t in (a, b))
     assert np.intersect1d(x, y).size >= max(p, q)

@@ -28,11 +28,21 @@ def shared_dir(spark: SparkSession, what: str) -> str:
     return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
+#: Makes Spark delete a query's shuffle files when it has ended, not when its plan is collected as garbage.
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved(df: DataFrame, what: str) -> DataFrame:
-    """df written as Parquet to the shared folder and read again: lineage ends here, and any executor can be lost."""
-    path = shared_dir(df.sparkSession, what)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """df written as Parquet to the shared folder and read again: lineage ends here, and any executor can be lost. The shuffle
+    files of the query that writes it go at once, so a chain of tables holds no more of them than its largest link."""
+    spark, path = df.sparkSession, shared_dir(df.sparkSession, what)
+    before = spark.conf.get(CLEAN, "false")
+    spark.conf.set(CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def discard(df: DataFrame) -> None:

@@ -3,12 +3,16 @@
 A document's set holds the hashes of its distinct ``n`` -word shingles (words lower-cased A-Z); with fewer words, the
 whole sequence. Two sets link when 100 * intersection >= THRESHOLD * union.
 
-Sets are dealt to bands of sizes. Within a band linked sets differ in at most k features, so the feature
-domain is cut into k + 1 partitions and some spare ones, of which the spare ones and one more at least agree; each partition of a set, with
-its features, is a signature (subsets of one partition). A set that can link into the next band signs there
-too. Partitions that are empty are signed only if a set has more than the spare ones of them: otherwise one
-that is not empty agrees. So linked sets always share a signature; how many
-at least follows from its size and from the empty partitions that it or the other set may leave unsigned.
+Sets are dealt to bands of sizes; a set that can link into the next band signs there too. Within a band linked sets differ
+in at most k features. The feature domain is cut into groups of ``PARTS`` = 3 partitions each, k // 2 + 1 groups and some spare
+ones. By counting, linked sets differ in one feature at most in one group and in each of as many others as are spare, and there
+they agree in two whole partitions of the three. So a signature is a subset of two partitions of a group with the features in
+it, and all such subsets are enumerated.
+
+A subset without features says nothing, and very many sets share it. It is signed only by sets with more weak groups (those
+with features in one partition at most) than there are spare ones: of any other set's agreeing groups one is not weak, so
+a subset with features agrees, and the partner signs that in any case. So linked sets always share a signature; how many
+they share at least follows from the features in which they can differ, and from the subsets that one may leave unsigned.
 
 Equal sets are one class. Per signature, classes are compared with a leader, the member whose signatures are
 the most common; that is linear in the group. Signatures whose classes do not all fall into one component
@@ -22,6 +26,7 @@ there are none with an id; an empty table gives no rows. Long texts are handled
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,13 +40,20 @@ from tidegrid.llm._words import Words, chunks, mix
 from tidegrid.llm.components import components
 
 SHINGLE, THRESHOLD = 3, 90
-#: Least number of spare partitions, and the growth of a band's sizes; the latter must be over 100 / THRESHOLD.
-SPARE, BAND = 5, 1.4
+#: Growth of a band's sizes; over 100 / THRESHOLD.
+BAND = 1.4
+#: Partitions of a group; a signature takes two of them.
+PARTS = 3
+#: Most spare groups, and the share of a band's sets that may sign subsets without features, if that can be had.
+SPARE, EMPTY_SHARE = 6, 0.002
+#: Sets that a task remembers, so as not to sign equal ones again.
+REMEMBERED = 500_000
 
 #: Stands for a null id while rows are dealt.
 NO_ID = (1 << 63) - 1
 
 _C = np.uint64(0xA0761D6478BD642F)
+_PAIRS = ((0, 1), (0, 2), (1, 2))
 
 
 def sets_of(column: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -72,13 +84,21 @@ class Signatures:
 
     def __init__(self, threshold: int):
         self.threshold, self.edges = threshold, _edges(1 << 16)
-
-    def partitions(self, band: int) -> tuple[int, int]:
-        """(number of partitions, spare ones) of a band; sizes a, b that link differ in (a + b)(100 - t)/(100 + t) at most."""
-        top = int(self.edges[band + 1]) - 1
-        k = 2 * top * (100 - self.threshold) // (100 + self.threshold)
-        spare = SPARE + int(3 * (k + 1) * np.exp(-0.8 * top / (k + 1)))  # some times what chance leaves empty
-        return (k + 1 + spare, spare) if k else (1, 0)
+        self._groups: dict[int, tuple[int, int, int]] = {}
+
+    def groups(self, band: int) -> tuple[int, int, int]:
+        """(greatest difference, groups, spare ones) of a band. Sizes a, b that link differ in (a + b)(100 - t)/(100 + t) at most."""
+        if band not in self._groups:
+            low, top = int(self.edges[band]), int(self.edges[band + 1]) - 1
+            k = 2 * top * (100 - self.threshold) // (100 + self.threshold)
+            best = (2.0, 1, 0)
+            for spare in range(1, SPARE + 1) if k else ():
+                n = k // 2 + 1 + spare
+                mean = n * min(1.0, PARTS ** (1 - low / n))  # weak groups of the smallest sets
+                more = 1 - sum(np.exp(-mean) * mean**i / math.factorial(i) for i in range(spare + 1))
+                best = min(best, (max(more, EMPTY_SHARE), n, spare))  # the fewest groups that do
+            self._groups[band] = (k, *best[1:])
+        return self._groups[band]
 
     def of(self, found: np.ndarray) -> tuple[np.ndarray, int]:
         """The signatures, and how many of them a linked set shares at least, whether that signs its empty partitions or not."""
@@ -94,18 +114,26 @@ class Signatures:
         return np.concatenate([own for own, _ in out]), min(need for _, need in out)
 
     def _in_band(self, found: np.ndarray, band: int) -> tuple[np.ndarray, int]:
-        n, spare = self.partitions(band)
-        part = ((found >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)  # found is sorted, so part is
-        first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-        own = part[first]
-        sums = np.add.reduceat(mix(found ^ _C), first)
-        # so many partitions at least agree with a linked set's, as each feature that differs spoils one
-        agree = n - min(n - spare - 1, len(found) * (100 - self.threshold) // self.threshold)
-        need = agree - min(spare, n - len(own))  # a set that leaves its empty ones unsigned has no more than the spare ones of them
-        if n - len(own) > spare:
-            empty = np.setdiff1d(np.arange(n, dtype=np.uint64), own, assume_unique=True)
-            own, sums = np.concatenate([own, empty]), np.concatenate([sums, np.zeros(len(empty), np.uint64)])
-        return mix(sums + mix(own + np.uint64((band + 1) << 32))), need
+        k, n, spare = self.groups(band)
+        if not k:
+            return mix(mix(found ^ _C).sum(keepdims=True) + mix(np.array([(band + 1) << 32], np.uint64))), 1
+        cell = ((found >> np.uint64(32)) * np.uint64(n * PARTS)) >> np.uint64(32)  # found is sorted, so cell is
+        first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+        sums, full = np.zeros(n * PARTS, np.uint64), np.zeros(n * PARTS, bool)
+        sums[cell[first]] = np.add.reduceat(mix(found ^ _C), first)
+        full[cell[first]] = True
+        sums, full = sums.reshape(n, PARTS), full.reshape(n, PARTS)
+        subsets = np.stack([sums[:, i] + sums[:, j] for i, j in _PAIRS], axis=1).ravel()
+        filled = np.stack([full[:, i] | full[:, j] for i, j in _PAIRS], axis=1).ravel()
+        out = mix(subsets + mix(np.arange(n * PARTS, dtype=np.uint64) + np.uint64((band + 1) << 32)))
+        weak, empty = int((full.sum(1) < 2).sum()), int((~filled).sum())
+        # features in which a linked set can differ spoil the more subsets the more groups they are in: two in a group's first, one in the next
+        differ = min(k, len(found) * (100 - self.threshold) // self.threshold)
+        agree = n - differ // 2
+        shared = PARTS * n - 2 * min(differ, n) - max(0, differ - n)
+        if weak > spare:  # signs all; a set that does not has no more than the spare ones weak
+            return out, max(1, agree - spare, shared - PARTS * spare)
+        return out[filled], max(1, agree - weak, shared - empty)
 
 
 def _class_of(column: pa.Array, n: int) -> list[pa.Array]:
@@ -127,6 +155,8 @@ def _signed(ids: DataFrame, n: int, threshold: int) -> DataFrame:
             sigs, owners, needs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
             for found in sets_of(batch.column("text"), n):
                 if len(found) and (key := digests(found)) not in seen:  # a task's equal sets sign once
+                    if len(seen) >= REMEMBERED:
+                        seen.clear()
                     seen.add(key)
                     own, need = signer.of(found)
                     sigs.append(own)
