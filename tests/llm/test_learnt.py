@@ -253,5 +253,8 @@ def test_rows_of_one_id_are_told_apart(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     linked = sorted((str(r["doc_id"]), r["n_shingles"], r["component_id"]) for r in jaccard_join.near_duplicate_groups(docs).collect())
     assert linked == [("1", 5, 1), ("1", 5, 1), ("2", 5, 1), ("3", 8, 3), ("4", 0, 4), ("None", 5, 1)]
+    one, two = (" ".join(f"{x}{k}" for k in range(60)) for x in "ab")
+    near = spark.createDataFrame([(1, one), (1, two), (2, f"{one} tail"), (3, f"{two} tail"), (4, "other words")], "doc_id long, text string")
+    assert {(r["doc_id"], r["component_id"]) for r in jaccard_join.near_duplicate_groups(near).collect()} == {(1, 1), (2, 1), (3, 1), (4, 4)}
     cut = {(r["doc_id"], r["n_removed"]) for r in substring_dedup.remove_repeats(docs, 5).collect()}
     assert cut == {(1, 0), (2, 7), (3, 7), (4, 0), (None, 7)}

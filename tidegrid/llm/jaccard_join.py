@@ -46,6 +46,8 @@ BAND = 1.4
 PARTS = 3
 #: Most spare groups, and the share of a band's sets that may sign subsets without features, if that can be had.
 SPARE, EMPTY_SHARE = 6, 0.002
+#: Features whose counts may be broadcast: those of at least that fraction of all, and of some rows at least.
+HOT_FEATURES, HOT_ROWS = 100_000, 100
 #: Sets that a task remembers, so as not to sign equal ones again.
 REMEMBERED = 500_000
 
@@ -231,7 +233,7 @@ def _with_sets(ids: DataFrame, needed: DataFrame, n: int) -> DataFrame:
             yield batch.filter(pa.array(may_hold(sketch.value, own)))
 
     ids = ids.mapInArrow(wanted, ids.schema)
-    return ids.join(needed, ids["_id"] == needed["rep"]).select("text", "rep", *_CLASS).mapInArrow(run, "rep long, d1 long, n long, features array<long>").dropDuplicates(["rep"])
+    return ids.join(needed, ids["_id"] == needed["rep"]).select("text", "rep", *_CLASS).mapInArrow(run, "rep long, d1 long, n long, features array<long>").dropDuplicates(["rep", "d1"])
 
 
 def _linked(threshold: int) -> Column:
@@ -253,14 +255,19 @@ def _residual_pairs(rows: DataFrame, sets: DataFrame, labels: DataFrame, thresho
     placed = rows.where("common > 2").join(named, "d1")
     mixed = placed.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("sig")
     who = saved(placed.join(mixed, "sig").groupBy("d1").agg(F.count("*").alias("c"), F.first("need").alias("need"), F.first("label").alias("label")).where("c >= need").select("d1", "label"), "unsettled")
-    tokens = sets.join(who, "d1").select("rep", "label", "n", F.explode("features").alias("t"))
-    counted = tokens.groupBy("t").agg(F.count("*").alias("df"))
+    tokens = sets.join(who, "d1").select("rep", "d1", "label", "n", F.explode("features").alias("t"))
+    counted = saved(tokens.groupBy("t").agg(F.count("*").alias("df")), "feature-counts")
+    n_tokens = counted.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
+    hot = counted.where(F.col("df") >= max(HOT_ROWS, n_tokens / HOT_FEATURES)).select(F.col("t").alias("hot"), F.col("df").alias("hot_df"))
+    # a row that has its count goes anywhere
+    known = tokens.join(F.broadcast(hot), F.col("t") == F.col("hot"), "left").withColumn("key", F.when(F.col("hot").isNull(), F.col("t")).otherwise(F.xxhash64("d1", "t")))
+    known = known.join(counted.select(F.col("t").alias("key"), "df"), "key", "left").select("rep", "d1", "label", "n", "t", F.coalesce("hot_df", "df").alias("df"))
     # a class's prefix: its rarest features, n - ceil(t n) + 1 of them; linked classes share one
     length = F.col("n") - F.ceil(F.col("n") * threshold / 100) + 1
-    prefix = tokens.join(counted, "t").groupBy("rep", "label", "n").agg(F.array_sort(F.collect_list(F.struct("df", "t"))).alias("ts"))
+    prefix = known.groupBy("rep", "d1", "label", "n").agg(F.array_sort(F.collect_list(F.struct("df", "t"))).alias("ts"))
     prefix = saved(prefix.select("rep", "label", "n", F.posexplode(F.slice("ts", 1, length.cast("int"))).alias("i", "x")).where("x.df > 1").select("rep", "label", "n", "i", F.col("x.t").alias("t")), "prefixes")
     split = prefix.groupBy("t").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("t", "lo")
-    a = prefix.join(split, "t").where("label != lo").alias("a")
+    a = saved(prefix.join(split, "t").where("label != lo"), "prefixes-split").alias("a")  # both sides of the next join can be split where it is skewed
     b = prefix.alias("b")
     # at the first feature in common, what is left of either set bounds the intersection
     near = (100 + threshold) * F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i")) >= threshold * (F.col("a.n") + F.col("b.n"))
