@@ -54,9 +54,9 @@ def components(rows, n, threshold):
     return {i: (len(s), root(i)) for i, s in sets.items()}
 
 
-@pytest.mark.parametrize(("n", "threshold", "seed", "hot"), [(3, 90, 3, 100), (5, 80, 4, 2), (3, 80, 5, 100)])
-def test_jaccard_components(spark, monkeypatch, n, threshold, seed, hot):
-    monkeypatch.setattr(jaccard_join, "HOT_ROWS", hot)  # of features whose counts are broadcast
+@pytest.mark.parametrize(("n", "threshold", "seed", "tiers"), [(3, 90, 3, 5), (5, 80, 4, 1), (3, 80, 5, 5)])
+def test_jaccard_components(spark, monkeypatch, n, threshold, seed, tiers):
+    monkeypatch.setattr(jaccard_join, "TIERS", tiers)  # with one, many counts are broadcast
     rows = near_copies(seed)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.near_duplicate_groups(docs, n, threshold).collect()}

@@ -46,8 +46,9 @@ BAND = 1.4
 PARTS = 3
 #: Most spare groups, and the share of a band's sets that may sign subsets without features, if that can be had.
 SPARE, EMPTY_SHARE = 6, 0.002
-#: Features whose counts may be broadcast: those of at least that fraction of all, and of some rows at least.
-HOT_FEATURES, HOT_ROWS = 100_000, 100
+#: Sketches of features by the classes that have them; and the share of all features from which on a feature's count is
+#: broadcast: there are no more than COMMON such.
+TIERS, COMMON = 5, 1_000_000
 #: Sets that a task remembers, so as not to sign equal ones again.
 REMEMBERED = 500_000
 
@@ -248,6 +249,37 @@ def _verified(pairs: DataFrame, sets: DataFrame, left: str, right: str, threshol
     return joined.where((F.col("a.rep") != F.col("b.rep")) & _linked(threshold)).select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b"))
 
 
+def _prefixes(own: DataFrame, counted: DataFrame, threshold: int) -> DataFrame:
+    """Of own (rep, d1, label, n, features) the prefixes: a class's n - ceil(t n) + 1 rarest features with their places; linked classes share
+    one. Any order that all classes keep to will do, so rarity is read from tables of bounded size, and features stay in
+    their rows: a sketch for each power of two tells features of fewer classes apart, and the commonest have their counts."""
+    n_all = counted.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
+    sketches = [key_sketch(counted.where(F.col("df") >= 1 << k).select(F.col("t").alias("k"))) for k in range(1, TIERS + 1)]
+    most = counted.where(F.col("df") >= max(1 << (TIERS + 1), n_all / COMMON)).toArrow()
+    order = np.argsort(most.column("t").to_numpy())
+    shared = own.sparkSession.sparkContext.broadcast((sketches, most.column("t").to_numpy()[order], most.column("df").to_numpy()[order]))
+    columns = ("rep", "d1", "label", "n")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketches, common, counts = shared.value
+        for batch in batches:
+            t, n = batch.column("features").flatten().to_numpy(), batch.column("n").to_numpy()
+            rank = np.zeros(len(t), np.int64)
+            for sketch in sketches:
+                rank += may_hold(sketch, t)
+            if len(common):
+                at = np.minimum(np.searchsorted(common, t), len(common) - 1)
+                rank = np.where(common[at] == t, counts[at], rank)
+            row = np.repeat(np.arange(len(n)), n)
+            order = np.lexsort((t, rank, row))
+            place = np.arange(len(t)) - np.repeat(np.cumsum(n) - n, n)
+            taken = (place < (n + (-n * threshold) // 100 + 1)[row]) & (rank[order] > 0)  # rank 0: no other class has the feature
+            row, place = pa.array(row[taken]), place[taken]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(row) for c in columns), pa.array(place), pa.array(t[order][taken])], names=[*columns, "i", "t"])
+
+    return own.select(*columns, "features").mapInArrow(run, "rep long, d1 long, label long, n long, i long, t long")
+
+
 def _residual_pairs(rows: DataFrame, sets: DataFrame, labels: DataFrame, threshold: int) -> DataFrame:
     """Pairs (a, b) of different components that may link, from signatures whose classes lie in more than one component."""
     named = sets.select("rep", "d1").join(labels.withColumnRenamed("v", "rep"), "rep", "left").select("d1", F.coalesce("label", "rep").alias("label"))
@@ -255,17 +287,10 @@ def _residual_pairs(rows: DataFrame, sets: DataFrame, labels: DataFrame, thresho
     placed = rows.where("common > 2").join(named, "d1")
     mixed = placed.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("sig")
     who = saved(placed.join(mixed, "sig").groupBy("d1").agg(F.count("*").alias("c"), F.first("need").alias("need"), F.first("label").alias("label")).where("c >= need").select("d1", "label"), "unsettled")
-    tokens = sets.join(who, "d1").select("rep", "d1", "label", "n", F.explode("features").alias("t"))
-    counted = saved(tokens.groupBy("t").agg(F.count("*").alias("df")), "feature-counts")
-    n_tokens = counted.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
-    hot = counted.where(F.col("df") >= max(HOT_ROWS, n_tokens / HOT_FEATURES)).select(F.col("t").alias("hot"), F.col("df").alias("hot_df"))
-    # a row that has its count goes anywhere
-    known = tokens.join(F.broadcast(hot), F.col("t") == F.col("hot"), "left").withColumn("key", F.when(F.col("hot").isNull(), F.col("t")).otherwise(F.xxhash64("d1", "t")))
-    known = known.join(counted.select(F.col("t").alias("key"), "df"), "key", "left").select("rep", "d1", "label", "n", "t", F.coalesce("hot_df", "df").alias("df"))
-    # a class's prefix: its rarest features, n - ceil(t n) + 1 of them; linked classes share one
-    length = F.col("n") - F.ceil(F.col("n") * threshold / 100) + 1
-    prefix = known.groupBy("rep", "d1", "label", "n").agg(F.array_sort(F.collect_list(F.struct("df", "t"))).alias("ts"))
-    prefix = saved(prefix.select("rep", "label", "n", F.posexplode(F.slice("ts", 1, length.cast("int"))).alias("i", "x")).where("x.df > 1").select("rep", "label", "n", "i", F.col("x.t").alias("t")), "prefixes")
+    own = sets.join(who, "d1").select("rep", "d1", "label", "n", "features")
+    counted = saved(own.select(F.explode("features").alias("t")).groupBy("t").agg(F.count("*").alias("df")), "feature-counts")
+    prefix = saved(_prefixes(own, counted, threshold), "prefixes")
+    discard(counted)
     split = prefix.groupBy("t").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("t", "lo")
     a = saved(prefix.join(split, "t").where("label != lo"), "prefixes-split").alias("a")  # both sides of the next join can be split where it is skewed
     b = prefix.alias("b")
@@ -291,6 +316,7 @@ def class_components(ids: DataFrame, n: int = SHINGLE, threshold: int = THRESHOL
     sets = saved(_with_sets(ids, needed, n), "sets")
     pairs = saved(_agreeing(pairs, rows), "pairs")
     links = saved(_verified(pairs, sets, "x", "y", threshold), "verified")
+    discard(pairs)
     labels = components(links)
     more = saved(_verified(_residual_pairs(rows, sets, labels, threshold), sets, "a", "b", threshold), "verified")
     if not more.isEmpty():
