@@ -48,12 +48,19 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def repeated_words(words: Column) -> Column:
-    """Words in 3-word windows that are found twice or more: equal windows meet in one sort of the row's own array."""
+    """Words in 3-word windows that are found twice or more: equal windows meet in one sort of the row's own array, by a 64-bit hash; only
+    texts with a hash that is found twice are sorted, and windows of one hash have to have the same words."""
     starts = F.sequence(F.lit(0), F.size(words) - 3)
-    windows = F.transform(starts, lambda i: F.concat_ws(" ", *(F.get(words, i + k) for k in range(3))))
+    hashes = F.transform(starts, lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(3))))
 
     def adjacent(ordered: Column) -> Column:
-        same = lambda s, j, step: F.coalesce(F.get(ordered, j + step)["w"] == s["w"], F.lit(False))
+        def same(s: Column, j: Column, step: int) -> Column:
+            other = F.get(ordered, j + step)
+            equal = other["h"] == s["h"]
+            for k in range(3):
+                equal = equal & (F.get(words, other["i"] + k) == F.get(words, s["i"] + k))
+            return F.coalesce(equal, F.lit(False))
+
         return F.array_sort(F.transform(F.filter(ordered, lambda s, j: same(s, j, -1) | same(s, j, 1)), lambda s: s["i"]))
 
     def total(found: Column) -> Column:
@@ -61,16 +68,17 @@ def repeated_words(words: Column) -> Column:
         return F.aggregate(found, zero, lambda a, i: F.struct((a["n"] + i + 3 - F.greatest(i, a["end"])).alias("n"), (i + 3).alias("end")), lambda a: a["n"])
 
     def count(own: Column) -> Column:
-        ordered = F.array_sort(F.transform(own, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
+        ordered = F.array_sort(F.transform(own, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
         return F.when(F.size(F.array_distinct(own)) == F.size(own), F.lit(0)).otherwise(total(let(ordered, adjacent)))
 
-    return F.when(F.size(words) < 3, F.lit(0)).otherwise(let(windows, count)).cast("long")
+    return F.when(F.size(words) < 3, F.lit(0)).otherwise(let(hashes, count)).cast("long")
 
 
 def measures(text: Column, words: Column, lines: Column) -> dict[str, Column]:
     """Counts first; the ratios, which name the counts' columns, after them."""
     per_word = lambda c: F.coalesce(F.try_divide(c, F.col("n_words")), F.lit(0.0))
     per_line = lambda c: F.coalesce(F.try_divide(c, F.size(lines)), F.lit(0.0))
+    letters = F.length(F.regexp_replace(text, "[^A-Za-z]+", ""))  # a match a run, not a match a letter
     ended = F.size(F.filter(lines, lambda x: x.rlike(r"[.!?:;…。！？\"'»”’)\]][\x20\x09-\x0D]*$")))
     stops = F.size(F.filter(words, lambda w: F.lower(w).isin(STOP_WORDS)))
     return {
@@ -81,7 +89,7 @@ def measures(text: Column, words: Column, lines: Column) -> dict[str, Column]:
         "n_repeat_words": repeated_words(words),
         "mean_word_length": per_word(F.col("word_chars")),
         "symbol_ratio": per_word(F.col("n_symbols")),
-        "capital_ratio": F.coalesce(F.try_divide(F.regexp_count(text, F.lit("[A-Z]")), F.regexp_count(text, F.lit("[A-Za-z]"))), F.lit(0.0)),
+        "capital_ratio": F.coalesce(F.try_divide(F.regexp_count(text, F.lit("[A-Z]")), letters), F.lit(0.0)),
         "stop_ratio": per_word(stops),
         "ended_line_ratio": per_line(ended),
         "dup_line_ratio": per_line(F.col("n_dup_lines")),
