@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tidegrid.llm import decontaminate, jaccard_join, language_id, license_scan, mixing, pii, quality_rules, substring_dedup, token_counts, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_words string, score string, spans string, size string, _n string, _t string, taken string, n_tokens string"
@@ -123,3 +124,29 @@ def test_one_of_each_group_stays(spark):
     docs = documents(spark).select("doc_id", "text")
     kept = sorted(str(r["doc_id"]) for r in jaccard_join.keep_one_of_each_group(docs).collect())
     assert kept == ["1", "2", "3", "4", "6", "7", "None"]
+
+
+def test_pipeline_on_odd_and_empty_tables(spark, tmp_path):
+    """Texts without a letter go, of equal rows and near copies the least id stays, rows without id are judged by their text, other columns stay."""
+    benchmark(spark).write.parquet(f"{tmp_path}/odd/benchmark.parquet")
+    documents(spark).write.parquet(f"{tmp_path}/odd/documents.parquet")
+    out = corpus_pipeline.run(spark, f"{tmp_path}/odd")
+    rows = {r["doc_id"]: r for r in out.collect()}
+    assert out.count() == len(rows) and set(rows) == {6, 7}  # 1, 5 and the one without id are the benchmark's item, over and over
+    assert rows[7]["text"] == "mail [EMAIL], löße \U0001f600 #" and rows[6]["text"] == LONG and rows[7]["lang"] == "de"
+    assert {"size", "taken", "position", "_n", "spans"} <= set(out.columns)
+    benchmark(spark).where("false").write.parquet(f"{tmp_path}/clean/benchmark.parquet")
+    documents(spark).write.parquet(f"{tmp_path}/clean/documents.parquet")
+    assert {r["doc_id"] for r in corpus_pipeline.run(spark, f"{tmp_path}/clean").collect()} == {1, 6, 7, None}  # a row without id goes with equal sets only
+    benchmark(spark).write.parquet(f"{tmp_path}/empty/benchmark.parquet")
+    documents(spark).where("false").write.parquet(f"{tmp_path}/empty/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/empty").collect() == []
+
+
+def test_an_id_with_two_labels_is_toxic(spark):
+    docs = spark.createDataFrame([(i, "you idiot of a moron" if i % 3 == 0 else f"fine words number {i} here") for i in range(300)], "doc_id long, text string")
+    own = decoder(docs)
+    one = [(i, int(i % 3 == 0)) for i in range(300)]
+    both = one + [(i, 0) for i in range(300)]
+    first, second = (toxicity.learn(docs, spark.createDataFrame(rows, "doc_id long, toxic int"), own) for rows in (one, both))
+    assert first.bias.tolist() == second.bias.tolist() and first.features.tolist() == second.features.tolist()
