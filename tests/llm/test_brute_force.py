@@ -89,8 +89,9 @@ def test_signatures_lose_no_pair(threshold):
         b = np.unique(np.concatenate([keep, extra]))
         if len(b) and 100 * len(np.intersect1d(a, b)) >= threshold * len(np.union1d(a, b)):
             linked += 1
-            (x, p), (y, q) = signer.of(a), signer.of(b)
-            assert np.intersect1d(x, y).size >= max(p, q) >= 1
+            (x, p, u), (y, q, v) = signer.of(a), signer.of(b)
+            pair = int(signer.shared(np.array([len(a)]), np.array([len(b)]), np.array([min(u, v)]))[0])
+            assert np.intersect1d(x, y).size >= max(p, q, pair) >= 1 and max(u, v) < 64
     assert linked > 400
 
 
@@ -114,7 +115,7 @@ def crowded_pair(threshold, n):
 def test_sets_on_both_sides_of_the_spare_groups_link(spark):
     a, b = crowded_pair(80, 5)
     signer = jaccard_join.Signatures(80)
-    (x, p), (y, q) = (signer.of(next(jaccard_join.sets_of(pa.array([t]), 5))) for t in (a, b))
+    (x, p, _), (y, q, _) = (signer.of(next(jaccard_join.sets_of(pa.array([t]), 5))) for t in (a, b))
     assert np.intersect1d(x, y).size >= max(p, q)
     docs = spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")
     assert {r["component_id"] for r in jaccard_join.near_duplicate_groups(docs, 5, 80).collect()} == {1}

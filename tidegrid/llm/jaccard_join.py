@@ -103,8 +103,8 @@ class Signatures:
             self._groups[band] = (k, *best[1:])
         return self._groups[band]
 
-    def of(self, found: np.ndarray) -> tuple[np.ndarray, int]:
-        """The signatures, and how many of them a linked set shares at least, whether that signs its empty partitions or not."""
+    def of(self, found: np.ndarray) -> tuple[np.ndarray, int, int]:
+        """The signatures, how many of them any linked set shares at least, and how many subsets may be left unsigned."""
         size = len(found)
         if size >= self.edges[-1]:
             self.edges = _edges(2 * size)
@@ -114,12 +114,24 @@ class Signatures:
         out = [self._in_band(found, band)]
         if 100 * size // self.threshold >= self.edges[band + 1]:
             out.append(self._in_band(found, band + 1))
-        return np.concatenate([own for own, _ in out]), min(need for _, need in out)
-
-    def _in_band(self, found: np.ndarray, band: int) -> tuple[np.ndarray, int]:
+        return np.concatenate([own for own, _, _ in out]), min(need for _, need, _ in out), max(unsigned for _, _, unsigned in out)
+
+    def shared(self, a: np.ndarray, b: np.ndarray, unsigned: np.ndarray) -> np.ndarray:
+        """How many signatures linked sets of sizes a and b share at least, if one of them leaves so many subsets unsigned at most. They
+        share a band that is the larger one's own."""
+        top = np.maximum(a, b)
+        while len(top) and self.edges[-2] <= top.max():
+            self.edges = _edges(2 * int(top.max()))
+        band = np.searchsorted(self.edges, top, "right") - 1
+        known = {int(k): self.groups(int(k)) for k in np.unique(band)}
+        k, n = (np.array([known[int(x)][i] for x in band], np.int64) for i in (0, 1))
+        differ = np.minimum(k, (a + b) * (100 - self.threshold) // (100 + self.threshold))
+        return np.where(k > 0, np.maximum(1, PARTS * n - 2 * np.minimum(differ, n) - np.maximum(0, differ - n) - unsigned), 1)
+
+    def _in_band(self, found: np.ndarray, band: int) -> tuple[np.ndarray, int, int]:
         k, n, spare = self.groups(band)
         if not k:
-            return mix(mix(found ^ _C).sum(keepdims=True) + mix(np.array([(band + 1) << 32], np.uint64))), 1
+            return mix(mix(found ^ _C).sum(keepdims=True) + mix(np.array([(band + 1) << 32], np.uint64))), 1, 0
         cell = ((found >> np.uint64(32)) * np.uint64(n * PARTS)) >> np.uint64(32)  # found is sorted, so cell is
         first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
         sums, full = np.zeros(n * PARTS, np.uint64), np.zeros(n * PARTS, bool)
@@ -135,8 +147,8 @@ class Signatures:
         agree = n - differ // 2
         shared = PARTS * n - 2 * min(differ, n) - max(0, differ - n)
         if weak > spare:  # signs all; a set that does not has no more than the spare ones weak
-            return out, max(1, agree - spare, shared - PARTS * spare)
-        return out[filled], max(1, agree - weak, shared - empty)
+            return out, max(1, agree - spare, shared - PARTS * spare), PARTS * spare
+        return out[filled], max(1, agree - weak, shared - empty), empty
 
 
 def _class_of(column: pa.Array, n: int) -> list[pa.Array]:
@@ -155,19 +167,27 @@ def _signed(ids: DataFrame, n: int, threshold: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer, seen = Signatures(threshold), set()
         for batch in batches:
-            sigs, owners, needs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+            sigs, owners, needs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for found in sets_of(batch.column("text"), n):
                 if len(found) and (key := digests(found)) not in seen:  # a task's equal sets sign once
                     if len(seen) >= REMEMBERED:
                         seen.clear()
                     seen.add(key)
-                    own, need = signer.of(found)
+                    own, need, unsigned = signer.of(found)
                     sigs.append(own)
                     owners.append(np.full(len(own), key[0]))
-                    needs.append(np.full(len(own), need, np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(owners)), pa.array(np.concatenate(needs))], names=["sig", "d1", "need"])
+                    needs.append(np.full(len(own), len(found) << 24 | min(need, NEED) << 6 | unsigned))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(owners)), pa.array(np.concatenate(needs))], names=["sig", "d1", "code"])
+
+    return ids.select("text").mapInArrow(run, "sig long, d1 long, code long")
+
+
+#: A class's code holds its size, how many signatures it shares with any linked set (up to NEED), and its unsigned subsets (6 bits).
+NEED = (1 << 18) - 1
 
-    return ids.select("text").mapInArrow(run, "sig long, d1 long, need int")
+
+def _need(code: Column) -> Column:
+    return F.shiftright(code, 6).bitwiseAND(F.lit(NEED))
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,41 +196,50 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: tuple[np.ndarray, ...] | None = None  # the last row, not yet given out
     known = False
     for batch in batches:
-        sig, d1, need = (batch.column(k).to_numpy() for k in range(3))
+        sig, d1, code = (batch.column(k).to_numpy() for k in range(3))
         if held is not None:
-            sig, d1, need = (np.concatenate(x) for x in zip(held, (sig, d1, need), strict=True))
+            sig, d1, code = (np.concatenate(x) for x in zip(held, (sig, d1, code), strict=True))
         if not len(sig):
             continue
         new = np.ones(len(sig), bool)
         new[1:] = (sig[1:] != sig[:-1]) | (d1[1:] != d1[:-1])
-        sig, d1, need = sig[new], d1[new], need[new]
+        sig, d1, code = sig[new], d1[new], code[new]
         shared = np.zeros(len(sig), bool)
         same = sig[1:] == sig[:-1]
         shared[1:] |= same
         shared[:-1] |= same
         if held is not None and known:
             shared |= sig == held[0][0]
-        held, known = (sig[-1:], d1[-1:], need[-1:]), bool(shared[-1])
-        yield pa.RecordBatch.from_arrays([pa.array(x[:-1][shared[:-1]]) for x in (sig, d1, need)], names=["sig", "d1", "need"])
+        held, known = (sig[-1:], d1[-1:], code[-1:]), bool(shared[-1])
+        yield pa.RecordBatch.from_arrays([pa.array(x[:-1][shared[:-1]]) for x in (sig, d1, code)], names=["sig", "d1", "code"])
     if held is not None and known:
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], names=["sig", "d1", "need"])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], names=["sig", "d1", "code"])
 
 
 def _able(rows: DataFrame) -> DataFrame:
     """rows of classes that share as many signatures as a link takes; then, of signatures that two classes still share."""
-    enough = rows.groupBy("d1").agg(F.count("*").alias("n"), F.first("need").alias("need")).where("n >= need").select("d1")
+    enough = rows.groupBy("d1").agg(F.count("*").alias("n"), _need(F.first("code")).alias("need")).where("n >= need").select("d1")
     kept = rows.join(enough, "d1")
     common = kept.groupBy("sig").agg(F.count("*").alias("common")).where("common > 1")
-    return kept.join(common, "sig").select("sig", "d1", "need", "common")
+    return kept.join(common, "sig").select("sig", "d1", "code", "common")
 
 
-def _agreeing(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The pairs (x, y) that share as many signatures as a link takes. Signatures are a fraction of the features, so this is
+def _agreeing(pairs: DataFrame, rows: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (x, y) that share as many signatures as a link of their sizes takes. Signatures are a fraction of the features, so this is
     asked before sets are moved. Either set's need holds for the pair."""
-    own = saved(rows.groupBy("d1").agg(F.collect_set("sig").alias("sigs"), F.first("need").alias("need")), "signatures-by-class")
+    own = saved(rows.groupBy("d1").agg(F.collect_set("sig").alias("sigs"), F.first("code").alias("code")), "signatures-by-class")
     a, b = own.alias("a"), own.alias("b")
     joined = pairs.join(a, F.col("x") == F.col("a.d1")).join(b, F.col("y") == F.col("b.d1"))
-    return joined.where(F.size(F.array_intersect("a.sigs", "b.sigs")) >= F.greatest("a.need", "b.need")).select("x", "y")
+    met = joined.select("x", "y", F.size(F.array_intersect("a.sigs", "b.sigs")).alias("met"), F.col("a.code").alias("a"), F.col("b.code").alias("b"))
+
+    def enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        signer = Signatures(threshold)
+        for batch in batches:
+            a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
+            need = signer.shared(a >> 24, b >> 24, np.minimum(a & 63, b & 63))
+            yield batch.select(["x", "y"]).filter(pa.array(batch.column("met").to_numpy() >= need))
+
+    return met.where(F.col("met") >= F.greatest(_need(F.col("a")), _need(F.col("b")))).mapInArrow(enough, "x long, y long")
 
 
 def _with_sets(ids: DataFrame, needed: DataFrame, n: int) -> DataFrame:
@@ -286,7 +315,7 @@ def _residual_pairs(rows: DataFrame, sets: DataFrame, labels: DataFrame, thresho
     # the one pair of a signature with two classes has been compared; a pair that has none such shares as many others as a link takes
     placed = rows.where("common > 2").join(named, "d1")
     mixed = placed.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("sig")
-    who = saved(placed.join(mixed, "sig").groupBy("d1").agg(F.count("*").alias("c"), F.first("need").alias("need"), F.first("label").alias("label")).where("c >= need").select("d1", "label"), "unsettled")
+    who = saved(placed.join(mixed, "sig").groupBy("d1").agg(F.count("*").alias("c"), _need(F.first("code")).alias("need"), F.first("label").alias("label")).where("c >= need").select("d1", "label"), "unsettled")
     own = sets.join(who, "d1").select("rep", "d1", "label", "n", "features")
     counted = saved(own.select(F.explode("features").alias("t")).groupBy("t").agg(F.count("*").alias("df")), "feature-counts")
     prefix = saved(_prefixes(own, counted, threshold), "prefixes")
@@ -306,7 +335,7 @@ def class_components(ids: DataFrame, n: int = SHINGLE, threshold: int = THRESHOL
     rows_of = saved(rows_of, "set-digests")
     classes = saved(rows_of.where("_n > 0").groupBy(*_CLASS).agg(F.min("_id").alias("rep")), "classes")
     signed = _signed(ids, n, threshold)
-    shared = saved(signed.repartition("sig").sortWithinPartitions("sig", "d1").mapInArrow(_shared, "sig long, d1 long, need int"), "signatures-shared")
+    shared = saved(signed.repartition("sig").sortWithinPartitions("sig", "d1").mapInArrow(_shared, "sig long, d1 long, code long"), "signatures-shared")
     rows = saved(_able(shared), "signatures")
     discard(shared)
     fame = rows.groupBy("d1").agg(F.sum("common").alias("fame"))
@@ -314,7 +343,7 @@ def class_components(ids: DataFrame, n: int = SHINGLE, threshold: int = THRESHOL
     pairs = rows.join(leaders, "sig").where("d1 != lead").select(F.col("d1").alias("x"), F.col("lead").alias("y")).distinct()
     needed = saved(classes.where("rep IS NOT NULL").join(rows.select(F.col("d1").alias("_d1")).distinct(), "_d1"), "needed")
     sets = saved(_with_sets(ids, needed, n), "sets")
-    pairs = saved(_agreeing(pairs, rows), "pairs")
+    pairs = saved(_agreeing(pairs, rows, threshold), "pairs")
     links = saved(_verified(pairs, sets, "x", "y", threshold), "verified")
     discard(pairs)
     labels = components(links)
