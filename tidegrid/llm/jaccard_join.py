@@ -15,7 +15,7 @@ a subset with features agrees, and the partner signs that in any case. So linked
 they share at least follows from the features in which they can differ, and from the subsets that one may leave unsigned.
 
 Equal sets are one class. Per signature, classes are compared with a leader, the member whose signatures are
-the most common; that is linear in the group. Signatures whose classes do not all fall into one component
+the most common; that is linear in the group, and pairs that the better ones have joined are left out. Signatures whose classes do not all fall into one component
 then go through an exact prefix join: a class's rarest features first, pairs of different components only.
 So large groups of near copies are joined without emitting all pairs, and no link between components is lost.
 
@@ -225,7 +225,7 @@ def _able(rows: DataFrame) -> DataFrame:
 
 
 def _agreeing(pairs: DataFrame, rows: DataFrame, threshold: int) -> DataFrame:
-    """The pairs (x, y) that share as many signatures as a link of their sizes takes. Signatures are a fraction of the features, so this is
+    """The pairs (x, y, met) that share as many signatures as a link of their sizes takes. Signatures are a fraction of the features, so this is
     asked before sets are moved. Either set's need holds for the pair."""
     own = saved(rows.groupBy("d1").agg(F.collect_set("sig").alias("sigs"), F.first("code").alias("code")), "signatures-by-class")
     a, b = own.alias("a"), own.alias("b")
@@ -237,9 +237,9 @@ def _agreeing(pairs: DataFrame, rows: DataFrame, threshold: int) -> DataFrame:
         for batch in batches:
             a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
             need = signer.shared(a >> 24, b >> 24, np.minimum(a & 63, b & 63))
-            yield batch.select(["x", "y"]).filter(pa.array(batch.column("met").to_numpy() >= need))
+            yield batch.select(["x", "y", "met"]).filter(pa.array(batch.column("met").to_numpy() >= need))
 
-    return met.where(F.col("met") >= F.greatest(_need(F.col("a")), _need(F.col("b")))).mapInArrow(enough, "x long, y long")
+    return met.where(F.col("met") >= F.greatest(_need(F.col("a")), _need(F.col("b")))).mapInArrow(enough, "x long, y long, met int")
 
 
 def _with_sets(ids: DataFrame, needed: DataFrame, n: int) -> DataFrame:
@@ -278,6 +278,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, left: str, right: str, threshol
     return joined.where((F.col("a.rep") != F.col("b.rep")) & _linked(threshold)).select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b"))
 
 
+def _labelled(sets: DataFrame, labels: DataFrame) -> DataFrame:
+    """d1 and label of each class."""
+    return sets.select("rep", "d1").join(labels.withColumnRenamed("v", "rep"), "rep", "left").select("d1", F.coalesce("label", "rep").alias("label"))
+
+
 def _prefixes(own: DataFrame, counted: DataFrame, threshold: int) -> DataFrame:
     """Of own (rep, d1, label, n, features) the prefixes: a class's n - ceil(t n) + 1 rarest features with their places; linked classes share
     one. Any order that all classes keep to will do, so rarity is read from tables of bounded size, and features stay in
@@ -311,7 +316,7 @@ def _prefixes(own: DataFrame, counted: DataFrame, threshold: int) -> DataFrame:
 
 def _residual_pairs(rows: DataFrame, sets: DataFrame, labels: DataFrame, threshold: int) -> DataFrame:
     """Pairs (a, b) of different components that may link, from signatures whose classes lie in more than one component."""
-    named = sets.select("rep", "d1").join(labels.withColumnRenamed("v", "rep"), "rep", "left").select("d1", F.coalesce("label", "rep").alias("label"))
+    named = _labelled(sets, labels)
     # the one pair of a signature with two classes has been compared; a pair that has none such shares as many others as a link takes
     placed = rows.where("common > 2").join(named, "d1")
     mixed = placed.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("sig")
@@ -344,7 +349,12 @@ def class_components(ids: DataFrame, n: int = SHINGLE, threshold: int = THRESHOL
     needed = saved(classes.where("rep IS NOT NULL").join(rows.select(F.col("d1").alias("_d1")).distinct(), "_d1"), "needed")
     sets = saved(_with_sets(ids, needed, n), "sets")
     pairs = saved(_agreeing(pairs, rows, threshold), "pairs")
-    links = saved(_verified(pairs, sets, "x", "y", threshold), "verified")
+    # each class with the leader that it shares most with; then its other leaders, as far as that has left them apart
+    best = pairs.groupBy("x").agg(F.max_by("y", F.struct("met", "y")).alias("y"))
+    links = saved(_verified(best, sets, "x", "y", threshold), "verified")
+    placed = saved(_labelled(sets, components(links)), "labels-by-class")
+    apart = pairs.join(placed.select(F.col("d1").alias("x"), F.col("label").alias("lx")), "x").join(placed.select(F.col("d1").alias("y"), F.col("label").alias("ly")), "y").where("lx != ly")
+    links = links.unionByName(saved(_verified(apart.select("x", "y"), sets, "x", "y", threshold), "verified"))
     discard(pairs)
     labels = components(links)
     more = saved(_verified(_residual_pairs(rows, sets, labels, threshold), sets, "a", "b", threshold), "verified")
