@@ -1,26 +1,16 @@
-"""Parquet, JSON and CSV sinks, shared scratch space and fingerprints."""
+"""Parquet, JSON and CSV sinks, and fingerprints."""
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder that the cluster names. Where none is set, a local one if all tasks run in this process, else an error."""
-    own = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not own and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-        raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
-    return own or f"file://{tempfile.gettempdir()}/tidegrid-checkpoints"
+from tidegrid.sources.scratch import folder
 
 
 def scratch(spark: SparkSession, what: str) -> str:
-    """A folder that nobody else uses, below checkpoint_root."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    """A folder that nobody else uses, below the shared one; it is deleted when the run ends."""
+    return folder(spark, what)
 
 
 def write_partitioned(df: DataFrame, path: str, by: tuple[str, ...] = ("year", "month")) -> None:
