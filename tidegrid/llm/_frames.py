@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import os
 import re
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,42 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegrid.llm._words import mix
+from tidegrid.sources.scratch import discard, folder, saved
 
-
-def shared_dir(spark: SparkSession, what: str) -> str:
-    """A new folder below spark.checkpoint.dir. Where that is unset, a local one if all tasks run in this process, else an error."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
-        base = f"file://{tempfile.gettempdir()}/tidegrid-checkpoints"
-        os.makedirs(base.removeprefix("file://"), exist_ok=True)
-    return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
-
-
-#: Makes Spark delete a query's shuffle files when it has ended, not when its plan is collected as garbage.
-CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-def saved(df: DataFrame, what: str) -> DataFrame:
-    """df written as Parquet to the shared folder and read again: lineage ends here, and any executor can be lost. The shuffle
-    files of the query that writes it go at once, so a chain of tables holds no more of them than its largest link."""
-    spark, path = df.sparkSession, shared_dir(df.sparkSession, what)
-    before = spark.conf.get(CLEAN, "false")
-    spark.conf.set(CLEAN, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(CLEAN, before)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def discard(df: DataFrame) -> None:
-    """Deletes the folder of a saved table that nothing will read again."""
-    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+__all__ = ["aside", "discard", "folder", "free_name", "key_sketch", "map_column", "may_hold", "saved", "small_batches"]
 
 
 #: Rows and bytes of an Arrow batch: whole texts are in it, in the JVM and in Python, several times over.

@@ -34,7 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegrid.llm._frames import saved, shared_dir, small_batches
+from tidegrid.llm._frames import folder as new_folder
+from tidegrid.llm._frames import saved, small_batches
 from tidegrid.llm._words import chunks, equal_spans, span_hashes
 
 LIMIT = 1024
@@ -167,7 +168,7 @@ def count_tokens(documents: DataFrame, tokenizer: str, cache: str | None = None,
     small_batches(spark)
     content, kind = Path(tokenizer).read_bytes(), Path(tokenizer).suffix
     version = hashlib.sha256(content).hexdigest()
-    folder = f"{cache or shared_dir(spark, 'token-cache')}/version={version}"
+    folder = f"{cache or new_folder(spark, 'token-cache')}/version={version}"
     shared = spark.sparkContext.broadcast(content)
     digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
 
