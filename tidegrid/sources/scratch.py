@@ -12,7 +12,7 @@ import re
 import tempfile
 import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager, suppress
 
 from pyspark import SparkContext
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: Makes Spark delete a query's shuffle files when it has ended, not when its plan is collected as garbage.
 CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-_OPEN: dict[str, None] = {}  # folders that are still there, in the order they were named
+_OPEN: dict[str, int] = {}  # folders that are still there, in the order they were named, and the thread that did
 _LOCK = threading.RLock()
 _WRITERS: dict[str, tuple[int, str]] = {}  # by application: writers that want CLEAN now, and its value before them
 
@@ -38,7 +38,7 @@ def folder(spark: SparkSession, what: str) -> str:
     """A name below root that nobody else uses; what is written there ends with the run."""
     path = f"{root(spark)}/{what}-{uuid.uuid4().hex}"
     with _LOCK:
-        _OPEN[path] = None
+        _OPEN[path] = threading.get_ident()
     return path
 
 
@@ -96,12 +96,23 @@ def release(paths: list[str] | None = None) -> None:
 
 @contextmanager
 def run(spark: SparkSession) -> Iterator[None]:
-    """Everything that is written to the shared folder within the block is gone after it."""
+    """What this thread writes to the shared folder within the block is gone after it."""
     before = set(_OPEN)
     try:
         yield
     finally:
-        release([p for p in list(_OPEN) if p not in before])
+        release([p for p, who in list(_OPEN.items()) if p not in before and who == threading.get_ident()])
+
+
+def alone(spark: SparkSession, what: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The saved table of what make() gives. Tables that make() wrote on its way are gone."""
+    before = set(_OPEN)
+    path = folder(spark, what)
+    made = make()
+    with _cleaning(spark):
+        made.write.parquet(path)
+    release([p for p, who in list(_OPEN.items()) if p not in before and p != path and who == threading.get_ident()])
+    return spark.read.schema(made.schema).parquet(path)
 
 
 @atexit.register
