@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegrid.llm._words import mix
-from tidegrid.sources.scratch import discard, folder, saved
+from tidegrid.sources.scratch import alone, discard, folder, saved
 
-__all__ = ["aside", "discard", "folder", "free_name", "key_sketch", "map_column", "may_hold", "saved", "small_batches"]
+__all__ = ["alone", "aside", "discard", "folder", "free_name", "key_sketch", "map_column", "may_hold", "saved", "small_batches"]
 
 
 #: Rows and bytes of an Arrow batch: whole texts are in it, in the JVM and in Python, several times over.

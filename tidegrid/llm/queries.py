@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import decontaminate, jaccard_join, language_id, license_scan, mixing, pii, quality_rules, substring_dedup, token_counts, toxicity
+from tidegrid.llm import decontaminate, jaccard_join, language_id, license_scan, mixing, pii, prefix_trie, quality_rules, substring_dedup, token_counts, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +73,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_substring_dedup": op2_substring_dedup,
@@ -84,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_mixing": op10_mixing,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 MATCHES = ",\n    ".join(f"CASE WHEN regexp_matches(s, ' {license_scan.as_regex(wording)}') THEN '{label}' END" for label, wording in license_scan.TEMPLATES)
@@ -211,4 +216,32 @@ y AS (SELECT *, least(1.0, CASE WHEN target > 0 THEN (a + b) / (2.0::DOUBLE * ta
 SELECT doc_id, size, source_size, target, CASE WHEN size > 0 THEN b - a ELSE 0 END AS taken,
        round(CASE WHEN slope = 0 THEN m ELSE (slope - 1 + sqrt((1 - slope) * (1 - slope) + 4 * slope * m)) / (2 * slope) END, 6) AS position
 FROM y""",
+    "op13_prefix_trie": r"""
+WITH RECURSIVE crc_bits AS (
+  SELECT i AS b, CAST(i AS BIGINT) AS v, 0 AS k FROM range(256) r(i)
+  UNION ALL SELECT b, CASE WHEN v % 2 = 1 THEN xor(3988292384, v // 2) ELSE v // 2 END, k + 1 FROM crc_bits WHERE k < 8),
+crc AS (SELECT list(v ORDER BY b) AS tab FROM crc_bits WHERE k = 8),
+x AS (
+  SELECT conv_id, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS b
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list(id ORDER BY turn NULLS FIRST, id) AS ids, list(b ORDER BY turn NULLS FIRST, id) AS bs FROM x GROUP BY conv_id),
+h AS (
+  SELECT o.*, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+           lambda v, c: xor(tab[(xor(v, c) % 256) + 1], v // 256)), 4294967295) % 9 AS h
+  FROM o, crc),
+r AS (
+  SELECT h.conv_id, list_concat(coalesce(p.ids[1:h.h], []), h.ids[h.h + 1:]) AS ids, list_concat(coalesce(p.bs[1:h.h], []), h.bs[h.h + 1:]) AS bs
+  FROM h LEFT JOIN o p ON p.conv_id = h.conv_id - h.conv_id % 5),
+m AS (SELECT conv_id, d, len(ids) = d AS ends, ids[1:d] AS node, CASE WHEN d = 0 THEN 0 ELSE bs[d] END AS b FROM (SELECT *, unnest(range(len(ids) + 1)) AS d FROM r)),
+n AS (
+  SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs, max(b) AS b, coalesce(string_agg(CASE WHEN ends THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '') AS ends
+  FROM m GROUP BY node, d),
+k AS (SELECT node[1:d - 1] AS node, count(*) AS n FROM n WHERE d > 0 GROUP BY 1),
+v AS (SELECT n.*, coalesce(k.n, 0) AS n_children FROM n LEFT JOIN k USING (node)),
+s AS (
+  SELECT node[1:e] AS node, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * b) AS saved_tokens
+  FROM (SELECT *, unnest(range(d + 1)) AS e FROM v) GROUP BY 1)
+SELECT v.conv_id, CAST(v.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, v.n_convs, CAST(v.n_children AS BIGINT) AS n_children, s.n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens,
+       sha256(v.ends) AS ends_sha256
+FROM v JOIN s USING (node) LEFT JOIN v p ON v.d > 0 AND p.d = v.d - 1 AND p.node = v.node[1:v.d - 1]""",
 }
