@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import decontaminate, jaccard_join, language_id, license_scan, mixing, pii, prefix_trie, quality_rules, substring_dedup, token_counts, toxicity
+from tidegrid.llm import decontaminate, jaccard_join, language_id, lexical_search, license_scan, mixing, pii, prefix_trie, quality_rules, substring_dedup, token_counts, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +73,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
@@ -88,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_mixing": op10_mixing,
+    "op12_lexical_search": op12_lexical_search,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
@@ -216,6 +221,24 @@ y AS (SELECT *, least(1.0, CASE WHEN target > 0 THEN (a + b) / (2.0::DOUBLE * ta
 SELECT doc_id, size, source_size, target, CASE WHEN size > 0 THEN b - a ELSE 0 END AS taken,
        round(CASE WHEN slope = 0 THEN m ELSE (slope - 1 + sqrt((1 - slope) * (1 - slope) + 4 * slope * m)) / (2 * slope) END, 6) AS position
 FROM y""",
+    "op12_lexical_search": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT row_number() OVER () AS item, item_id,
+         list_distinct(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+q AS (SELECT item, item_id, unnest(w) AS term FROM b),
+n AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS total FROM d WHERE len(w) > 0),
+tf AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY row, term),
+wt AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS wt FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), n),
+x AS (
+  SELECT tf.row, tf.term, wt.wt * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len(d.w) * docs) // total))) AS v
+  FROM tf JOIN d USING (row) JOIN wt USING (term), n),
+s AS (SELECT q.item, any_value(item_id) AS item_id, x.row, CAST(sum(v) AS BIGINT) AS score FROM q JOIN x USING (term) GROUP BY q.item, x.row)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s JOIN d USING (row) WHERE score > 0)
+WHERE rank <= 50""",
     "op13_prefix_trie": r"""
 WITH RECURSIVE crc_bits AS (
   SELECT i AS b, CAST(i AS BIGINT) AS v, 0 AS k FROM range(256) r(i)
