@@ -97,8 +97,12 @@ def test_bounds_hold_for_every_node_and_search_is_exact():
 
 def test_subtrees_are_pruned():
     rng = np.random.default_rng(6)
-    indptr, cols, vals = clustered(rng, 16, 64, 40)
-    tree = lexical_search.BallTree(indptr, cols, vals, 16)
-    leaves = tree.kids.count(0)
-    opened = [lexical_search.search_tree(tree, np.arange(1024), np.arange(60 * g + 1, 60 * g + 50), lexical_search.Best(10, 0)) for g in range(16)]
-    assert max(opened) <= leaves // 4
+    names, vals = [], []
+    for g in range(16):
+        base = np.unique(rng.integers(0, 60, 40)) + 60 * g
+        worth = rng.integers(10**9, 10**10, len(base))
+        for _ in range(64):
+            names.append(base), vals.append(worth + rng.integers(0, 10**8, len(base)))
+    tree = lexical_search.BallTree(np.concatenate([[0], np.cumsum([len(n) for n in names])]), np.concatenate(names), np.concatenate(vals), 16)
+    opened = [lexical_search.search_tree(tree, np.arange(1024), np.arange(60 * g, 60 * g + 60), lexical_search.Best(10, 0)) for g in range(16)]
+    assert max(opened) <= tree.kids.count(0) // 4
