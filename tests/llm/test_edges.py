@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidegrid.llm import decontaminate, jaccard_join, language_id, license_scan, mixing, pii, quality_rules, substring_dedup, token_counts, toxicity
+from tidegrid.llm import decontaminate, jaccard_join, language_id, license_scan, mixing, pii, quality_neighbours, quality_rules, substring_dedup, token_counts, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_words string, score string, spans string, size string, _n string, _t string, taken string, n_tokens string"
 CLEAN = "The cat and the dog of the house were in the garden, and it was a fine day for all. " * 6
@@ -47,6 +47,11 @@ def toxic(docs):
     return toxicity.score_toxicity(docs, own, toxicity.learn(docs, labels, own))
 
 
+def neighbours(docs):
+    labels = docs.sparkSession.createDataFrame([(1, 1), (6, 0), (None, 1), (7, None)], "doc_id long, quality int")
+    return quality_neighbours.score_quality(docs, quality_neighbours.learn(docs, labels))
+
+
 OPERATORS = {
     "quality": quality_rules.apply_rules,
     "substring": substring_dedup.remove_repeats,
@@ -58,6 +63,7 @@ OPERATORS = {
     "pii": lambda docs: pii.find_spans(docs, pii.learn_spans(docs)),
     "jaccard": jaccard_join.near_duplicate_groups,
     "mixing": mixing.mix_documents,
+    "neighbours": neighbours,
 }
 
 

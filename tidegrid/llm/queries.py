@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import decontaminate, jaccard_join, language_id, lexical_search, license_scan, mixing, pii, prefix_trie, quality_rules, substring_dedup, token_counts, toxicity
+from tidegrid.llm import decontaminate, jaccard_join, language_id, lexical_search, license_scan, mixing, pii, prefix_trie, quality_neighbours, quality_rules, substring_dedup, token_counts, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +73,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
+def op11_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = language_id.held_out("doc_id", 3, 1)
+    model = quality_neighbours.learn(documents, table(spark, sf_dir, "labels").where(~out))
+    return quality_neighbours.score_quality(documents, model).select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
 
@@ -92,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_mixing": op10_mixing,
+    "op11_quality_neighbours": op11_quality_neighbours,
     "op12_lexical_search": op12_lexical_search,
     "op13_prefix_trie": op13_prefix_trie,
 }
