@@ -39,7 +39,7 @@ def test_contract_is_validated(matrix):
 def test_training_is_evaluated_and_gated(matrix):
     model, by_split, gate = pipelines.train_evaluate(matrix, FEW, None, "2024-01-16", "2024-01-24")
     found = {r["split"]: r for r in by_split.collect()}
-    assert set(found) == {"validation", "test"} and 1 <= model.best_iteration <= FEW["maxIter"]
+    assert set(found) == {"validation", "test"} and 0 <= model.best_iteration < FEW["maxIter"]
     rows = {r["metric"]: r for r in gate.collect()}
     assert set(rows) == {"rmse", "r2", "mae"}
     assert rows["rmse"]["value"] == found["test"]["rmse"] and rows["rmse"]["passed"] == (found["test"]["rmse"] <= 2.5)
@@ -62,10 +62,75 @@ def test_forecasters_have_one_interface(spark, halves, forecaster):
 def test_what_a_model_leans_on_is_important(halves):
     train, rest = (h.withColumn("demand_count", (F.col("hour_of_day") * 2).cast("long")) for h in halves)
     model = ml.Boosted(FEW).train(train).model
-    found = {r["feature"]: r["importance"] for r in ml.permutation_importance(model, rest, ["hour_of_day", "capacity", "start_station_id"], KEY).collect()}
+    found = {r["feature"]: r["importance"] for r in ml.permutation_importance(model, rest, KEY).collect()}
+    assert set(found) == set(quality.FEATURES) and len(found) == 29
     assert found["hour_of_day"] > 1 and found["capacity"] == found["start_station_id"] == 0
 
 
+def rows_of(spark, n, stations, target):
+    """Prepared rows: the station's code and an hour as the inputs."""
+    from pyspark.ml.feature import VectorAssembler
+
+    rows = spark.range(n).withColumns({"a": (F.col("id") % stations).cast("double"), "b": (F.col("id") % 24).cast("double")})
+    return VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows).select("features", target.cast("double").alias("demand_count"))
+
+
+def test_patience_ends_at_the_best_round():
+    falling = [5.0, 4.0, 3.0, 3.5, *[3.2] * 30]
+    assert ml.patient(falling, 20) == (2, True) and ml.patient(falling[:15], 20) == (2, False)
+    assert ml.patient([3.0, *[3.1] * 19, 2.9], 20) == (20, False) and ml.patient([3.0, *[3.1] * 20, 2.9], 20) == (0, True)
+
+
+def test_trees_stop_where_validation_rises_and_the_prefix_is_the_model(spark):
+    ready = rows_of(spark, 2400, 10, F.col("id") % 24 + (F.col("id") % 10) * 0.15)
+    checked = rows_of(spark, 1200, 10, F.col("id") % 24 + 0.675)  # what the trees learn last doesn't hold here
+    params = {"maxIter": 60, "maxDepth": 3, "stepSize": 0.3, "subsamplingRate": 1.0, "featureSubsetStrategy": "all"}
+    whole = ml.fit_trees(ready, None, params)
+    errors = whole.evaluateEachIteration(checked, "squared")
+    k = min(range(60), key=lambda i: errors[i])
+    assert 0 < k < 30 and errors[k + 1] > errors[k]
+    cut = ml.fit_trees(ready, checked, params, patience=10)
+    assert cut.getNumTrees == k + 1 and cut.evaluateEachIteration(checked, "squared") == pytest.approx(errors[: k + 1])
+    assert sum(cut.featureImportances.toArray()) == pytest.approx(1)
+
+
+def test_more_stations_than_bins(spark, halves):
+    """5,000 stations, in training and, some of them unseen, in scoring."""
+    days = F.explode(F.sequence(F.lit(0), F.lit(3)))
+    many = spark.range(5000).select(F.concat(F.lit("S"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("start_station_id"), days.alias("day"))
+    one = halves[0].limit(1).drop("start_station_id", "demand_count")
+    rows = many.crossJoin(F.broadcast(one)).withColumn("demand_count", F.when(F.col("start_station_id") < "S02500", 1).otherwise(9).cast("long"))
+    own = ml.Boosted({"maxIter": 3, "maxDepth": 3, "subsamplingRate": 1.0, "featureSubsetStrategy": "all"}).train(rows.where("day < 3"))
+    scored = own.predict(rows.where("day = 3").unionByName(rows.limit(1).withColumn("start_station_id", F.lit("unseen"))))
+    assert scored.count() == 5001 and scored.where("p < 0 OR p IS NULL").count() == 0
+    by = {r["demand_count"]: r["p"] for r in scored.where("start_station_id <> 'unseen'").groupBy("demand_count").agg(F.avg("p").alias("p")).collect()}
+    assert by[1] < 3 < 7 < by[9]
+    assert {r["feature"]: r["importance"] for r in own.importances(spark).collect()}["station_code"] == pytest.approx(1)
+
+
+def test_all_inputs_are_dealt_in_one_shuffle_and_scored_once(spark, halves):
+    model = ml.Boosted(FEW).train(halves[0]).model
+    plan = ml.permutation_importance(model, halves[1], KEY)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("UDF(features") == 1  # one call of the trees
+    assert plan.count("Join") == 0 and plan.count("collect_list") == 1
+
+
+def test_trials_are_kept_in_a_journal(spark, halves, tmp_path, monkeypatch):
+    trials = [{"maxIter": 2, "maxDepth": d} for d in (1, 2, 3)]
+    journal = f"file://{tmp_path}/journal"
+    found = ml.run_trials(*halves, trials, journal, at_once=3)
+    assert spark.read.json(journal).count() == 3
+    real, trained = ml.fit_trees, []
+    monkeypatch.setattr(ml, "fit_trees", lambda *a, **k: trained.append(a[2]) or real(*a, **k))
+    assert ml.run_trials(*halves, trials, journal) == found and trained == []
+    assert ml.run_trials(*halves, [*trials[:2], {"maxIter": 3, "maxDepth": 1}], journal)[:2] == found[:2] and trained == [{"maxIter": 3, "maxDepth": 1}]
+
+
+def test_a_failed_trial_is_an_error(halves):
+    with pytest.raises(Exception, match="maxDepth"):
+        ml.run_trials(*halves, [{"maxIter": 2}, {"maxIter": 2, "maxDepth": -1}])
+
+
 def test_sweep_and_search(halves):
     swept = ml.sweep(*halves, {"maxDepth": [1, 3], "stepSize": [0.1, 0.3]}, {"maxIter": 3}, percent=50).collect()
     assert [(r["parameter"], r["value"]) for r in swept] == [("maxDepth", 1.0), ("maxDepth", 3.0), ("stepSize", 0.1), ("stepSize", 0.3)]
@@ -105,6 +170,15 @@ def test_promotion_writes_a_forecast_or_nothing(spark, matrix, halves, tmp_path)
     assert out.count() == 24 * stations and out.groupBy("station_id").count().where("count <> 24").count() == 0
     assert out.where("predicted_demand < 0 OR predicted_demand IS NULL").count() == 0
     assert spark.read.parquet(str(tmp_path / "b/latest")).count() == out.count()
+    assert {"station_id", "forecast_hour", "predicted_demand", "model_version", "generated_at"} == set(out.columns)
+
+
+def test_the_first_forecast_hour_is_no_window_over_all_stations(spark, matrix):
+    weather = serving.last_known(matrix, [*features.WEATHER, "is_precipitation", "is_cold", "is_hot", "feels_like_c"])
+    out = ml.recursive_forecast(serving.station_history(matrix), weather, features.holiday_calendar(spark), steps=1, model_version=4, generated_at="now")
+    assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r["model_version"], r["generated_at"]) for r in out.collect()} == {(4, "now")}
+    assert out.select("forecast_hour").distinct().count() == 1
 
 
 def test_headers_name_the_columns(spark, tmp_path):

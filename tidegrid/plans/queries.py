@@ -13,6 +13,7 @@ from tidegrid.operators import clean, drift, features, gates, metrics, ml, panel
 from tidegrid.plans import domain
 from tidegrid.plans.oracle import sql
 from tidegrid.sources import store
+from tidegrid.sources.scratch import saved
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -830,9 +831,7 @@ def streaming_performance(spark: SparkSession, d: str) -> DataFrame:
 
 def _split(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """The matrix's two halves, stored: training reads it many times."""
-    path = store.scratch(spark, "matrix")
-    domain.matrix(spark, d).write.parquet(path)
-    return domain.halves(spark.read.parquet(path), "hour", SPLIT)
+    return domain.halves(saved(domain.matrix(spark, d), "matrix"), "hour", SPLIT)
 
 
 @query()
@@ -849,8 +848,7 @@ def gain_importance(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def permutation_importance(spark: SparkSession, d: str) -> DataFrame:
     train, rest = _split(spark, d)
-    inputs = [c for c in quality.FEATURES if c != "start_station_id"]
-    return ml.permutation_importance(ml.Boosted().train(train, rest).model, rest, inputs, ["start_station_id", "hour"])
+    return ml.permutation_importance(ml.Boosted().train(train, rest).model, rest, ["start_station_id", "hour"])
 
 
 @query()
@@ -860,15 +858,37 @@ def parameter_sweep(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def random_search(spark: SparkSession, d: str) -> DataFrame:
+    """M22 over the wider space."""
     return ml.random_search(*_split(spark, d), ml.WIDE)
 
 
-@query(sql("SELECT start_station_id AS station_id, hour + INTERVAL 24 HOUR AS forecast_hour, round(CAST(demand_count AS DOUBLE), 4) AS predicted_demand FROM panel WHERE hour > (SELECT max(hour) FROM panel) - INTERVAL 24 HOUR", "panel"))
+@query()
+def joint_search(spark: SparkSession, d: str) -> DataFrame:
+    """M22 over five dimensions."""
+    return ml.random_search(*_split(spark, d), ml.JOINT)
+
+
+MADE_AT = "2024-01-31T00:00:00+00:00"
+
+
+def _forecast(spark: SparkSession, m: DataFrame, model=None, version: int = 0) -> DataFrame:
+    weather = serving.last_known(m, list(features.WEATHER) + ["is_precipitation", "is_cold", "is_hot", "feels_like_c"])
+    return ml.recursive_forecast(serving.station_history(m), weather, features.holiday_calendar(spark), model=model, model_version=version, generated_at=MADE_AT)
+
+
+@query(sql(f"SELECT start_station_id AS station_id, hour + INTERVAL 24 HOUR AS forecast_hour, round(CAST(demand_count AS DOUBLE), 4) AS predicted_demand, CAST(0 AS INTEGER) AS model_version, '{MADE_AT}' AS generated_at FROM panel WHERE hour > (SELECT max(hour) FROM panel) - INTERVAL 24 HOUR", "panel"))
 def recursive_forecast(spark: SparkSession, d: str) -> DataFrame:
     """M19 without a model: the last day's demand comes again."""
-    m = domain.matrix(spark, d)
-    weather = serving.last_known(m, list(features.WEATHER) + ["is_precipitation", "is_cold", "is_hot", "feels_like_c"])
-    return ml.recursive_forecast(serving.station_history(m), weather, features.holiday_calendar(spark))
+    return _forecast(spark, domain.matrix(spark, d))
+
+
+@query(sql("""SELECT station_id, count(*) AS hours, min(forecast_hour) AS first_hour, max(forecast_hour) AS last_hour, CAST(0 AS BIGINT) AS negative, CAST(1 AS INTEGER) AS model_version
+FROM (SELECT start_station_id AS station_id, hour + INTERVAL 24 HOUR AS forecast_hour FROM panel WHERE hour > (SELECT max(hour) FROM panel) - INTERVAL 24 HOUR) GROUP BY 1""", "panel"))
+def model_forecast(spark: SparkSession, d: str) -> DataFrame:
+    """M19 with boosted trees, as far as SQL can tell: the hours of every station and that no demand is negative."""
+    train, rest = _split(spark, d)
+    out = _forecast(spark, train.unionByName(rest), ml.Boosted().train(train, rest).model, 1)
+    return out.groupBy("station_id").agg(F.count("*").alias("hours"), F.min("forecast_hour").alias("first_hour"), F.max("forecast_hour").alias("last_hour"), F.count_if(F.col("predicted_demand") < 0).alias("negative"), F.max("model_version").alias("model_version"))
 
 
 from tidegrid.plans import file_queries  # noqa: E402, F401  registers the queries of files and pipelines
