@@ -186,10 +186,10 @@ def test_headers_name_the_columns(spark, tmp_path):
     (tmp_path / "b.csv").write_text('member_casual,"ride_id",start_lat,started_at\ncasual,r2,41.5,2024-06-15 09:00:00\n')
     (tmp_path / "c.csv").write_text("tripduration,starttime\n5,2015-01-01\n")
     (tmp_path / "d.csv").write_text("")
-    out = {r["ride_id"]: r for r in trips.read_csv(spark, str(tmp_path / "*.csv")).collect()}
+    out = {r["ride_id"]: r for r in trips.read_trips(spark, str(tmp_path / "*.csv")).collect()}
     assert set(out) == {"r1", "r2"}
     assert (out["r2"]["member_casual"], out["r2"]["start_lat"], out["r2"]["started_at"].hour, out["r2"]["end_lat"]) == ("casual", 41.5, 9, None)
-    assert trips.read_csv(spark, str(tmp_path / "c.csv")).count() == 0
+    assert trips.read_trips(spark, str(tmp_path / "c.csv")).count() == 0
 
 
 def scans(df):

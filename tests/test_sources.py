@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidegrid import streaming
 from tidegrid.operators import features, ml, serving
+from tidegrid.plans import pipelines
 from tidegrid.sources import feeds, store, trips
 
 HEADER = "ride_id,rideable_type,started_at,ended_at,start_station_name,start_station_id,end_station_name,end_station_id,start_lat,start_lng,end_lat,end_lng,member_casual\n"
@@ -15,18 +16,52 @@ ROW = "r{0},classic,2024-06-15 08:00:00,2024-06-15 08:15:00,A,x,B,y,42.1,-71.1,4
 
 
 def test_trip_files(spark, tmp_path):
-    (tmp_path / "csv").mkdir()
-    (tmp_path / "csv/new.csv").write_text(HEADER + ROW.format(1) + ROW.format(2))
-    (tmp_path / "csv/old.csv").write_text("tripduration,starttime\n5,2015-01-01\n")
-    paths = trips.readable_paths(spark, str(tmp_path / "csv"))
-    assert len(paths) == 1 and paths[0].endswith("new.csv")
-    read = trips.read_csv(spark, paths)
-    assert read.count() == 2 and read.first()["started_at"] == dt.datetime(2024, 6, 15, 8)
-    (tmp_path / "zip").mkdir()
-    with zipfile.ZipFile(tmp_path / "zip/a.zip", "w") as z:
-        z.writestr("readme.txt", "x")
-        z.writestr("trips.csv", HEADER + ROW.format(3))
-    assert [r["ride_id"] for r in trips.read_zip(spark, str(tmp_path / "zip/*.zip")).collect()] == ["r3"]
+    (tmp_path / "new.csv").write_text(HEADER + ROW.format(1) + ROW.format(2))
+    (tmp_path / "old.csv").write_text("tripduration,starttime\n5,2015-01-01\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "bare.csv").write_text(HEADER.strip())
+    (tmp_path / "notes.txt").write_text(HEADER + ROW.format(9))
+    for name, row in (("a", 3), ("new", 4), ("none", None)):
+        with zipfile.ZipFile(tmp_path / f"{name}.zip", "w") as z:
+            z.writestr("readme.txt", "x")
+            if row:
+                z.writestr("trips.csv", HEADER + ROW.format(row))
+                z.writestr("z.csv", HEADER + ROW.format(99))
+    read = trips.read_trips(spark, str(tmp_path))
+    assert {r["ride_id"]: r["started_at"] for r in read.collect()} == dict.fromkeys(("r1", "r2", "r3"), dt.datetime(2024, 6, 15, 8))
+    assert trips.read_trips(spark, [str(tmp_path / "*.zip")]).count() == 2
+    assert trips.read_trips(spark, str(tmp_path / "nothing*")).count() == 0
+
+
+def test_large_files_are_read_in_ranges(spark, tmp_path):
+    rows = [ROW.format(i) for i in range(300)]
+    (tmp_path / "a.csv").write_bytes((HEADER.replace("\n", "\r\n") + "".join(rows)).rstrip("\n").encode())
+    size = (tmp_path / "a.csv").stat().st_size
+    for width in (1, 97, 1000, len(HEADER) + 1, size - 1, size, size + 9):
+        pieces = trips.parts([(str(tmp_path / "a.csv"), size)], width)
+        found = [r for p in pieces for one in p.ranges for batch in trips.read_range(*one) for r in batch.column("ride_id").to_pylist()]
+        assert found == [f"r{i}" for i in range(300)], width
+    assert len(trips.parts([("x.zip", 10**9), ("y.csv", 5), ("z.csv", 7)], 100)) == 2  # archives are whole, small files go together
+
+
+def test_any_number_of_files_is_one_scan_and_one_job(spark, tmp_path):
+    for i in range(10_000):
+        (tmp_path / f"{i}.csv").write_text(HEADER + ROW.format(i))
+    sc = spark.sparkContext
+    sc.setJobGroup("many files", "")
+    read = trips.read_trips(spark, f"{tmp_path}/*.csv")
+    assert len(sc.statusTracker().getJobIdsForGroup("many files")) == 0  # nothing is read to plan
+    assert len(read.select("ride_id").toArrow().column(0).unique()) == 10_000
+    assert len(sc.statusTracker().getJobIdsForGroup("many files")) == 1
+    sc._jsc.clearJobGroup()
+    assert read._jdf.queryExecution().executedPlan().toString().count("BatchScan") == 1
+
+
+def test_archives_reach_cleaned_partitions(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "202406.zip", "w") as z:
+        z.writestr("trips.csv", HEADER + ROW.format(1) + ROW.format(1) + ROW.format(2))
+    pipelines.clean_year(spark, str(tmp_path / "*"), str(tmp_path / "out"))
+    assert store.read_years(spark, str(tmp_path / "out"), 2024).count() == 2
 
 
 def test_feeds(spark, tmp_path):

@@ -3,6 +3,12 @@ the shared scratch space, and what is returned has been read back by the operato
 
 from __future__ import annotations
 
+import zipfile
+from collections.abc import Iterator
+from itertools import groupby
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,7 +40,53 @@ def trip_files(spark: SparkSession, d: str) -> str:
 @query(sql("SELECT ride_id, rideable_type, started_at, ended_at, start_station_name, start_station_id, end_station_id, round(start_lat, 6) AS start_lat, round(start_lng, 6) AS start_lng, member_casual FROM trips2", "trips2"))
 def trip_csv_scan(spark: SparkSession, d: str) -> DataFrame:
     """S01, S03."""
-    return rounded(trips.read_csv(spark, trip_files(spark, d)).select(*TRIPS))
+    return rounded(trips.read_trips(spark, trip_files(spark, d)).select(*TRIPS))
+
+
+#: Trip files of the query of archives.
+ARCHIVES = 16
+
+
+def trip_archives(spark: SparkSession, d: str) -> str:
+    """Trips, with repeats, dealt to files: some CSV, some archives, and archives of the name of a CSV, which hold nothing of worth."""
+    root = store.scratch(spark, "trip-archives")
+    text = domain.trips(spark, d, repeats=True).select(F.pmod(F.xxhash64("ride_id"), F.lit(ARCHIVES)).cast("int").alias("file"), F.to_csv(F.struct(*(F.col(c).cast("string").alias(c) for c in TRIPS)), {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}).alias("line"))
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, path = fs.FileSystem.from_uri(root)
+        system.create_dir(path)
+        for k, lines in groupby((r for b in batches for r in zip(b.column("file").to_pylist(), b.column("line").to_pylist(), strict=True)), key=lambda r: r[0]):
+            with system.open_output_stream(f"{path}/trips-{k}.zip") as out, zipfile.ZipFile(_Forward(out), "w", zipfile.ZIP_DEFLATED) as archive:
+                archive.writestr("readme.txt", "trips")
+                with archive.open("trips.csv", "w") as member:
+                    member.write(",".join(TRIPS).encode() + b"\n")
+                    if k % 2:
+                        for _, line in lines:
+                            member.write(line.encode() + b"\n")
+                    else:
+                        member.write(b"\n")
+            if not k % 2:
+                with system.open_output_stream(f"{path}/trips-{k}.csv") as out:
+                    out.write(",".join(TRIPS).encode() + b"\n")
+                    for _, line in lines:
+                        out.write(line.encode() + b"\n")
+            yield pa.RecordBatch.from_pydict({"file": pa.array([k], pa.int32())})
+
+    text.repartition("file").sortWithinPartitions("file").mapInArrow(write, "file int").count()
+    return root
+
+
+class _Forward:
+    """A stream that is only written: archives then need no way back."""
+
+    def __init__(self, out: pa.NativeFile):
+        self.write, self.flush = out.write, out.flush
+
+
+@query(sql("SELECT ride_id, rideable_type, started_at, ended_at, start_station_name, start_station_id, end_station_id, round(start_lat, 6) AS start_lat, round(start_lng, 6) AS start_lng, member_casual FROM trips2", "trips2"))
+def trip_archive_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Archives where no CSV of their name is."""
+    return rounded(trips.read_trips(spark, trip_archives(spark, d)).select(*TRIPS))
 
 
 @query(sql(f"SELECT CAST(year(started_at) AS INTEGER) AS year, CAST(month(started_at) AS INTEGER) AS month, start_station_id, count(*) AS n, CAST(sum(secs) AS BIGINT) AS seconds FROM flagged WHERE {KEPT} AND year(started_at) = 2024 GROUP BY ALL", "flagged"))

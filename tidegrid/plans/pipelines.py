@@ -11,8 +11,8 @@ from tidegrid.sources import store, trips
 
 
 def clean_year(spark: SparkSession, raw: str, out: str, month: int | None = None) -> None:
-    """Trip files to cleaned Parquet by year and month, or those of one month again."""
-    frame = trips.read_csv(spark, raw)
+    """Trip files, CSV or else archives, to cleaned Parquet by year and month, or those of one month again."""
+    frame = trips.read_trips(spark, raw)
     store.write_partitioned(clean.clean_trips(frame if month is None else frame.where(F.month("started_at") == month)), out)
 
 
