@@ -199,3 +199,13 @@ def test_json_safe(spark):
 
 def test_severity_is_inclusive(spark):
     assert spark.range(1).select(labels.drift_severity(F.lit(0.1), 0.1), labels.drift_severity(F.lit(0.07), 0.1), labels.drift_severity(F.lit(0.01), 0.1)).first()[:] == ("DRIFTED", "WARNING", "OK")
+
+
+def test_rows_without_an_actual_are_not_counted(spark):
+    """Sixty rows, five of them with an actual, are five."""
+    rows = [("2024-01-01 00:00:00", 2.0, 1.0 if i < 5 else None) for i in range(60)] + [("2024-01-02 00:00:00", None, 1.0)]
+    log = spark.createDataFrame(rows, "forecast_hour string, predicted_demand double, actual_demand double")
+    out = metrics.rolling_performance(log).collect()
+    assert [(r["date"], r["n"], r["rmse"], r["status"]) for r in out] == [(None, 5, 1.0, "insufficient_data")]
+    assert [(r["n"], r["status"]) for r in metrics.rolling_performance(log.where("false")).collect()] == [(0, "no_data")]
+    assert metrics.degradation_check(metrics.rolling_performance(log), 0.5).first()["n"] == 5

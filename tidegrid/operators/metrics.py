@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegrid.operators.ranking import selected, share, value_ranges
+
 # What a model must reach.
 GATES = {"rmse": ("max", 2.5), "r2": ("min", 0.50), "mae": ("max", 1.5)}
 TRAIN_END, VALIDATION_END = "2024-07-01", "2024-10-01"
@@ -73,9 +75,11 @@ def hashed_sample(df: DataFrame, key: list[str], percent: int) -> DataFrame:
 
 
 def residual_stats(scored: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
-    """A35's figures."""
+    """A35's figures; the median is selected from ranges of residuals."""
     r = F.col(y) - F.col(p)
-    return scored.agg(F.count("*").alias("n"), F.round(F.avg(r), 6).alias("mean"), F.round(F.stddev_pop(r), 6).alias("stddev"), F.round(F.median(r), 6).alias("median"))
+    figures = scored.agg(F.count("*").alias("n"), F.round(F.avg(r), 6).alias("mean"), F.round(F.stddev_pop(r), 6).alias("stddev"))
+    median = selected(value_ranges(scored, r), {"median": share(0.5)})
+    return figures.crossJoin(F.broadcast(median)).select("n", "mean", "stddev", F.round("median", 6).alias("median"))
 
 
 def residual_histogram(scored: DataFrame, bins: int = 100, y: str = "y", p: str = "p") -> DataFrame:
@@ -97,10 +101,12 @@ def recent(predictions: DataFrame, now: str, days: int = 7, at: str = "forecast_
 
 
 def rolling_performance(log: DataFrame, least: int = 50, least_a_day: int = 10) -> DataFrame:
-    """All days together (date null) with a status, and the days that have enough rows; both levels in one rollup."""
+    """All days together (date null) with a status, and the days that have enough rows; both levels in one rollup. Rows without an
+    actual or a prediction count nowhere; an empty log has the row of all days too."""
     off = F.col("predicted_demand") - F.col("actual_demand")
-    own = log.select(F.to_date("forecast_hour").alias("date"), off.alias("off"))
-    rolled = own.rollup("date").agg(F.grouping("date").alias("_all"), F.count("*").alias("n"), F.round(F.sqrt(F.avg(F.col("off") * F.col("off"))), 8).alias("rmse"), F.round(F.avg(F.abs("off")), 8).alias("mae"))
+    nothing = log.sparkSession.range(1).select(F.lit(None).cast("date").alias("date"), F.lit(None).cast("double").alias("off"))
+    own = log.select(F.to_date("forecast_hour").alias("date"), off.cast("double").alias("off")).unionByName(nothing)
+    rolled = own.rollup("date").agg(F.grouping("date").alias("_all"), F.count("off").alias("n"), F.round(F.sqrt(F.avg(F.col("off") * F.col("off"))), 8).alias("rmse"), F.round(F.avg(F.abs("off")), 8).alias("mae"))
     status = F.when(F.col("n") == 0, "no_data").when(F.col("n") < least, "insufficient_data").otherwise("ok")
     return rolled.where((F.col("_all") == 1) | (F.col("n") >= least_a_day)).select("date", "n", "rmse", "mae", F.when(F.col("_all") == 1, status).alias("status"))
 

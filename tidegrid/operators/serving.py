@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tidegrid.functions import labels
 from tidegrid.functions.times import cyclical
+from tidegrid.operators.ranking import selected, value_ranges
+from tidegrid.sources.scratch import saved
 
 CAPACITY = 20
 
@@ -71,11 +73,11 @@ def hourly_profile(panel: DataFrame, top: int | None = None) -> DataFrame:
 
 def station_risk(predictions: DataFrame, stations: DataFrame, default: int = CAPACITY) -> DataFrame:
     """Risk by a station's mean among the stations' means, whose thresholds are elements of the sorted list, not
-    interpolations. The list is one number a station, ranked by a window over the station table; predictions are aggregated first."""
-    means = predictions.groupBy("station_id").agg(F.avg("predicted_demand").alias("mean"), F.sum("predicted_demand").alias("_s"), F.count("*").alias("_c"))
-    ranked = means.withColumns({"_i": F.row_number().over(Window.orderBy("mean", "station_id")) - 1, "_n": F.count("*").over(Window.partitionBy(F.lit(1)))})
-    at = lambda q: F.max(F.when(F.col("_i") == F.floor(F.col("_n") * q), F.col("mean")))
-    marks = ranked.agg(at(0.85).alias("p85"), at(0.65).alias("p65"), at(0.15).alias("p15"), (F.sum("_s") / F.sum("_c")).alias("network"))
+    interpolations. They are selected from ranges of the list; predictions are aggregated first, and once."""
+    means = saved(predictions.groupBy("station_id").agg(F.avg("predicted_demand").alias("mean"), F.sum("predicted_demand").alias("_s"), F.count("*").alias("_c")), "station-means")
+    element = lambda q: F.floor(F.col("_all") * F.lit(q))
+    marks = selected(value_ranges(means, F.col("mean")), {"p85": element(0.85), "p65": element(0.65), "p15": element(0.15)})
+    marks = marks.crossJoin(means.agg((F.sum("_s") / F.sum("_c")).alias("network")))
     mean, network = F.col("mean"), F.when(F.col("network") != 0, F.col("network")).otherwise(F.lit(1.0))
     out = means.join(stations.select("station_id", "capacity"), "station_id", "left").crossJoin(F.broadcast(marks))
     risk = F.when(mean >= F.col("p85"), "critical").when(mean >= F.col("p65"), "low").when(mean <= F.col("p15"), "surplus").otherwise("moderate")

@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegrid.operators.ranking import selected, share, value_ranges
+
 METRES_PER_DEGREE, REACH = 111_000.0, 500.0
 
 
 def station_profile(trips: DataFrame) -> DataFrame:
-    """The name of the first trip, and median coordinates, of each station."""
-    order = F.struct("started_at", "ride_id")
-    return trips.groupBy("start_station_id").agg(F.min_by("start_station_name", order).alias("station_name"), F.median("start_lat").alias("lat"), F.median("start_lng").alias("lon"))
+    """The name of the first trip, and median coordinates, of each station. A station's places are spread over ranges of values, so
+    one with a great share of all trips is no task's alone."""
+    station = ["start_station_id"]
+    names = trips.groupBy(*station).agg(F.min_by("start_station_name", F.struct("started_at", "ride_id")).alias("station_name"))
+    both = names.withColumnRenamed("start_station_id", "_station")
+    for column, name in (("start_lat", "lat"), ("start_lng", "lon")):
+        median = selected(value_ranges(trips, F.col(column).cast("double"), station), {name: share(0.5)}, station)
+        both = both.join(median, F.col("_station").eqNullSafe(F.col("start_station_id")), "left").drop("start_station_id")
+    return both.withColumnRenamed("_station", "start_station_id")
 
 
 def match_by_name(profile: DataFrame, feed: DataFrame) -> DataFrame:
