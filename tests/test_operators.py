@@ -209,3 +209,19 @@ def test_rows_without_an_actual_are_not_counted(spark):
     assert [(r["date"], r["n"], r["rmse"], r["status"]) for r in out] == [(None, 5, 1.0, "insufficient_data")]
     assert [(r["n"], r["status"]) for r in metrics.rolling_performance(log.where("false")).collect()] == [(0, "no_data")]
     assert metrics.degradation_check(metrics.rolling_performance(log), 0.5).first()["n"] == 5
+
+
+def test_every_capacity_is_in_a_slice_of_the_model_report(spark):
+    df = spark.createDataFrame([(None,), (0,), (-3,), (10,), (11,), (20,), (21,), (1000,)], "capacity int")
+    slices_of = lambda f: [r[0] for r in df.select(f()["station_capacity"].alias("g")).collect()]
+    assert slices_of(labels.model_slices) == ["high", "low", "low", "low", "mid", "mid", "high", "high"]
+    assert slices_of(labels.data_slices) == [None, None, None, "low_cap", "mid_cap", "mid_cap", "high_cap", None]
+    rows = spark.createDataFrame([(c, 12, 0, 0, 6, 0.0, 15.0, 1.0, 2.0) for c in (None, 0, 1000)], "capacity int, hour_of_day int, is_weekend int, is_holiday int, month int, precipitation_mm double, temperature_c double, y double, p double")
+    found = {r["group_name"]: r["n"] for r in slices.slice_errors(rows, labels.model_slices()).where("slice_name = 'station_capacity'").collect()}
+    assert found == {"low": 1, "high": 2}
+
+
+def test_medians_and_shares_are_rounded_to_one_place(spark):
+    rows = spark.createDataFrame([(d,) for d in (0, 0, 1, 1, 2, 3, 7)], "demand_count long")
+    got = slices.slice_stats(rows, {"all": F.lit("all")}).first()
+    assert (got["median_demand"], got["zero_demand_pct"], got["mean_demand"]) == (1.0, 28.6, 2.0)

@@ -46,13 +46,13 @@ def data_slices() -> dict[str, Column]:
 
 
 def model_slices() -> dict[str, Column]:
-    """P20: the six slices of the error-disparity report; hours and some labels differ from P19."""
+    """P20: the six slices of the error-disparity report; hours and some labels differ from P19, and no capacity is outside."""
     c = F.col
     return {
         "time_of_day": hour_label(c("hour_of_day"), MODEL_PEAK, MODEL_NIGHT),
         "day_type": day_type(c("is_weekend"), c("is_holiday")),
         "season": season(c("month")),
-        "station_capacity": capacity_label(c("capacity"), ""),
+        "station_capacity": F.when(c("capacity") <= 10, "low").when(c("capacity") <= 20, "mid").otherwise("high"),  # every row has a group
         "precipitation": F.when(c("precipitation_mm") > 0, "rainy").otherwise("dry"),
         "temperature": F.when(c("temperature_c") < 10, "cold").when(c("temperature_c") > 25, "hot").otherwise("mild"),
     }

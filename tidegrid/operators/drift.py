@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegrid.sources.scratch import saved
+
 EPS = 1e-10
 FEATURE_KL, TARGET_KL, MAE_INCREASE = 0.1, 0.15, 20.0
 FEATURE_BINS, TARGET_BINS = 20, 30
-#: Ranges of a feature's values whose running sums are taken apart.
-RANGES = 64
 # The policy's thresholds.
 POLICY = {"drift_share": 0.25, "drifted_features": 3, "ks_p_value": 0.05, "rmse_increase_pct": 30.0, "least_rows": 100, "cooldown_days": 3, "promotion_margin_pct": 2.0}
 
@@ -68,11 +68,10 @@ def performance_drift(baseline: DataFrame, current: DataFrame, error: str, thres
 
 def ks_gaps(reference: DataFrame, current: DataFrame, features: list[str]) -> DataFrame:
     """(feature, ks, n_reference, n_current): the greatest gap between two empirical distributions. Equal values are counted
-    first. Running sums are taken in two steps, over RANGES ranges of a feature's values and within a range, so that no
+    first, and the counts stored once in ranges of values. Running sums are taken over ranges and within a range, so that no
     task holds all values of a feature; where the ranges' edges lie changes no result."""
     counts = long_form(reference, current, features).groupBy("feature", "x").agg(F.count_if(F.col("side") == "ref").alias("r"), F.count_if(F.col("side") == "cur").alias("c"))
-    edges = counts.groupBy("feature").agg(F.percentile_approx("x", [k / RANGES for k in range(1, RANGES)], 1000).alias("edges"))
-    placed = counts.join(edges, "feature").withColumn("range", F.size(F.filter("edges", lambda e: e < F.col("x")))).drop("edges")
+    placed = saved(counts.repartitionByRange("feature", "x").withColumn("range", F.spark_partition_id()), "drift-counts")
     # a row a range
     sums = placed.groupBy("feature", "range").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
     own, before = Window.partitionBy("feature"), Window.partitionBy("feature").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)

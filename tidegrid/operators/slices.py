@@ -19,7 +19,7 @@ def by_slice(df: DataFrame, slices: dict[str, Column], keep: list[str]) -> DataF
 def slice_stats(df: DataFrame, slices: dict[str, Column]) -> DataFrame:
     """A19. A slice's groups, null among them, hold all rows, so the total needs no pass of its own."""
     d = F.col("demand_count")
-    counted = by_slice(df, slices, ["demand_count"]).groupBy("slice_name", "group_name").agg(F.count("*").alias("n"), F.round(F.avg(d), 3).alias("mean_demand"), F.round(F.median(d), 3).alias("median_demand"), F.round(F.avg((d == 0).cast("int")) * 100, 2).alias("zero_demand_pct"))
+    counted = by_slice(df, slices, ["demand_count"]).groupBy("slice_name", "group_name").agg(F.count("*").alias("n"), F.round(F.avg(d), 3).alias("mean_demand"), F.round(F.median(d), 1).alias("median_demand"), F.round(F.avg((d == 0).cast("int")) * 100, 1).alias("zero_demand_pct"))
     total = F.sum("n").over(Window.partitionBy("slice_name"))  # a row a group
     return counted.withColumn("representation_pct", F.round(100.0 * F.col("n") / total, 2)).where("group_name IS NOT NULL")
 

@@ -52,8 +52,8 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
   {'s': 'station_capacity', 'g': CASE WHEN capacity <= 10 THEN 'low_cap' WHEN capacity <= 20 THEN 'mid_cap' ELSE 'high_cap' END},
   {'s': 'precipitation', 'g': CASE WHEN is_precipitation = 1 THEN 'rainy' ELSE 'dry' END},
   {'s': 'temperature', 'g': CASE WHEN is_cold = 1 THEN 'cold' WHEN is_hot = 1 THEN 'hot' ELSE 'mild' END}]) AS x FROM matrix"""),
-    "stats": (("dslices",), """SELECT x.s AS slice_name, x.g AS group_name, count(*) AS n, round(avg(demand_count), 3) AS mean_demand, round(median(demand_count), 3) AS median_demand,
-  round(avg(CAST(demand_count = 0 AS INTEGER)) * 100, 2) AS zero_demand_pct, round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM matrix), 2) AS representation_pct FROM dslices GROUP BY 1, 2"""),
+    "stats": (("dslices",), """SELECT x.s AS slice_name, x.g AS group_name, count(*) AS n, round(avg(demand_count), 3) AS mean_demand, round(median(demand_count), 1) AS median_demand,
+  round(avg(CAST(demand_count = 0 AS INTEGER)) * 100, 1) AS zero_demand_pct, round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM matrix), 2) AS representation_pct FROM dslices GROUP BY 1, 2"""),
     "mslices": (("ns",), """SELECT y, p, unnest([
   {'s': 'time_of_day', 'g': CASE WHEN hour_of_day IN (7, 8, 9, 17, 18, 19) THEN 'peak' WHEN hour_of_day >= 21 OR hour_of_day <= 6 THEN 'night' ELSE 'off_peak' END},
   {'s': 'day_type', 'g': CASE WHEN is_holiday = 1 THEN 'holiday' WHEN is_weekend = 1 THEN 'weekend' ELSE 'weekday' END},
