@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tidegrid.operators import features, ml, quality, serving
 from tidegrid.plans import domain, pipelines
 from tidegrid.plans.queries import QUERIES, SPLIT
-from tidegrid.sources import trips
+from tidegrid.sources import store, trips
 
 DATA = "/root/testdata/sf0.001"
 FEW = {"maxIter": 8, "maxDepth": 4, "stepSize": 0.3, "featureSubsetStrategy": "all"}
@@ -169,7 +169,7 @@ def test_promotion_writes_a_forecast_or_nothing(spark, matrix, halves, tmp_path)
     stations = matrix.select("start_station_id").distinct().count()
     assert out.count() == 24 * stations and out.groupBy("station_id").count().where("count <> 24").count() == 0
     assert out.where("predicted_demand < 0 OR predicted_demand IS NULL").count() == 0
-    assert spark.read.parquet(str(tmp_path / "b/latest")).count() == out.count()
+    assert store.read_predictions(spark, str(tmp_path / "b")).count() == out.count()
     assert {"station_id", "forecast_hour", "predicted_demand", "model_version", "generated_at"} == set(out.columns)
 
 

@@ -4,10 +4,11 @@ import datetime as dt
 import json
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidegrid import streaming
-from tidegrid.operators import features, ml, serving
+from tidegrid.operators import features, ml, serving, views
 from tidegrid.plans import pipelines
 from tidegrid.sources import feeds, store, trips
 
@@ -108,8 +109,62 @@ def test_forecast(spark, tmp_path):
     got = [(r["forecast_hour"], r["predicted_demand"]) for r in out.where("station_id = 'a'").orderBy("forecast_hour").collect()]
     assert len(got) == 24 and got[0][0] == hours[-1] + dt.timedelta(hours=1)
     assert [p for _, p in got] == [float((200 + i) % 24) for i in range(24)]
-    snapshot = store.write_predictions(out, str(tmp_path / "p"))
-    assert snapshot.endswith("2024-06-09") and spark.read.parquet(snapshot).count() == 48
+    store.write_predictions(out, str(tmp_path / "p"))
+    assert store.read_predictions(spark, str(tmp_path / "p"), "2024-06-09").count() == 48
+
+
+def test_readers_never_see_a_forecast_half_written(spark, tmp_path, monkeypatch):
+    root = f"file://{tmp_path}/p"
+    rows = lambda v: spark.createDataFrame([("a", dt.datetime(2024, 6, 1), v, 1, "x")], store.PREDICTIONS)
+    seen = lambda day=None: [r["predicted_demand"] for r in store.read_predictions(spark, root, day).collect()]
+    assert seen() == seen("2024-06-01") == []
+    store.write_predictions(rows(1.0), root)
+    real = store.point
+    monkeypatch.setattr(store, "point", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt))  # the writer is killed between the two steps
+    with pytest.raises(KeyboardInterrupt):
+        store.write_predictions(rows(2.0), root)
+    assert seen() == seen("2024-06-01") == [1.0]
+    monkeypatch.setattr(store, "point", real)
+    reading = store.read_predictions(spark, root)
+    store.write_predictions(rows(3.0), root)
+    assert seen() == seen("2024-06-01") == [3.0] and [r["predicted_demand"] for r in reading.collect()] == [1.0]  # who has begun, ends
+    assert store.drop_unnamed(spark, root) == 2 and seen() == [3.0]
+    assert sorted(p.name for p in (tmp_path / "p").iterdir() if not p.name.startswith(".")) == ["data", "day-2024-06-01", "latest"]
+
+
+def test_views_follow_changes(spark, tmp_path):
+    root = str(tmp_path / "views")
+    hours = [dt.datetime(2024, 6, 1) + dt.timedelta(hours=i) for i in range(48)]
+    rows = [(f"s{s}", h, float((s * 7 + i * 3) % 11), i % 3) for s in range(40) for i, h in enumerate(hours)]
+    frame = lambda own: spark.createDataFrame(own, "station_id string, forecast_hour timestamp_ntz, predicted_demand double, model_version int")
+    views.update(spark, root, frame(rows[: 40 * 48 - 24]))
+    new = [("s3", h, 50.0, 9) for h in hours[10:20]] + [("new", hours[0], 1.0, 9)] + rows[40 * 48 - 24 :]
+    changed = views.update(spark, root, frame(new))
+    assert len(changed) <= 3
+    now = {(r[0], r[1]): r for r in rows} | {(r[0], r[1]): r for r in new}
+    whole = frame(list(now.values()))
+    parts = views.read_partials(spark, root)
+    for name in ("prediction_summary", "network_demand", "station_peaks", "forecast_summary"):
+        got, want = getattr(views, name)(parts), getattr(serving, name)(whole)
+        assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    again = views.update(spark, root, frame(new))  # a run that is repeated changes nothing
+    assert again == changed and views.read_partials(spark, root).exceptAll(views.partials(whole)).count() == 0
+    plan = views.changed_partials(spark, root, frame(new), changed)
+    assert {int(f.split("bucket=")[1].split("/")[0]) for f in plan.inputFiles()} >= set(changed)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in text and "bucket" in text.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_two_streams_meet(spark, tmp_path):
+    base = dt.datetime(2024, 1, 1)
+    spark.createDataFrame([("a", base + dt.timedelta(hours=12 * i), float(i)) for i in range(60)], "station_id string, forecast_hour timestamp_ntz, predicted_demand double").write.parquet(str(tmp_path / "p"))
+    spark.createDataFrame([("a", base + dt.timedelta(hours=12 * i), 0.0) for i in range(60) if i % 3] + [("b", base, 1.0)], "station_id string, hour timestamp_ntz, actual_demand double").write.parquet(str(tmp_path / "a"))
+    p = spark.readStream.schema("station_id string, forecast_hour timestamp_ntz, predicted_demand double").parquet(str(tmp_path / "p"))
+    a = spark.readStream.schema("station_id string, hour timestamp_ntz, actual_demand double").parquet(str(tmp_path / "a"))
+    out = {r["first_day"]: r for r in streaming.drained(streaming.streaming_errors(p, a), "errors").collect()}
+    week = [i for i in range(14) if i % 3]
+    assert out[base]["n"] == len(week) and abs(out[base]["mae"] - sum(week) / len(week)) < 1e-6
+    assert max(out) + dt.timedelta(days=7) <= base + dt.timedelta(hours=12 * 59) - dt.timedelta(days=1)
 
 
 def test_streams(spark, tmp_path):

@@ -11,6 +11,7 @@ from tidegrid.operators.ranking import selected, value_ranges
 from tidegrid.sources.scratch import saved
 
 CAPACITY = 20
+HIGH_DEMAND = 3.0
 
 
 def clipped(prediction: Column) -> Column:
@@ -44,7 +45,7 @@ def network_demand(predictions: DataFrame) -> DataFrame:
     return predictions.groupBy(F.hour("forecast_hour").alias("hour_of_day")).agg(F.round(F.sum("predicted_demand"), 4).alias("total_demand"), F.min("forecast_hour").alias("first_hour"))
 
 
-def station_peaks(predictions: DataFrame, high: float = 3.0) -> DataFrame:
+def station_peaks(predictions: DataFrame, high: float = HIGH_DEMAND) -> DataFrame:
     """A28, P23, P24."""
     peak = F.max("predicted_demand")
     out = predictions.groupBy("station_id").agg(peak.alias("peak_demand"))

@@ -13,11 +13,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegrid.functions import labels
-from tidegrid.operators import features, metrics, panel, serving, slices
+from tidegrid.operators import features, metrics, panel, serving, slices, views
 from tidegrid.plans import domain, pipelines
 from tidegrid.plans.oracle import sql
-from tidegrid.plans.queries import DOUBLES, MATRIX, NAMED, SPLIT, _candidate_of, _event_halves, _report, _REPORT_SQL, EVENTS_KL, MAES, query, rounded
+from tidegrid.plans.queries import DOUBLES, MATRIX, NAMED, SPLIT, _candidate_of, _event_halves, _report, _REPORT_SQL, EVENTS_KL, MADE_AT, MAES, query, rounded
 from tidegrid.sources import feeds, store, trips
+from tidegrid.sources.scratch import saved
 
 TRIPS = ["ride_id", "rideable_type", "started_at", "ended_at", "start_station_name", "start_station_id", "end_station_id", "start_lat", "start_lng", "member_casual"]
 KEPT = "n = 1 AND NOT missing AND secs BETWEEN 60 AND 86400"
@@ -163,11 +164,15 @@ def bias_report_file(spark: SparkSession, d: str) -> DataFrame:
 
 @query(sql("SELECT CAST(CAST(min(forecast_hour) OVER () AS DATE) AS VARCHAR) AS snapshot, station_id, forecast_hour, predicted_demand, predicted_demand AS latest FROM pred", "pred"))
 def prediction_snapshot(spark: SparkSession, d: str) -> DataFrame:
-    """S13."""
+    """The forecast is written twice; both pointers name the second, and the first one's folder goes."""
     root = store.scratch(spark, "predictions")
-    path = store.write_predictions(domain.predictions(spark, d).select("station_id", "forecast_hour", "predicted_demand"), root)
-    latest = spark.read.parquet(f"{root}/latest").withColumnRenamed("predicted_demand", "latest")
-    return spark.read.parquet(path).select(F.lit(path.rsplit("/", 1)[1]).alias("snapshot"), "*").join(latest, ["station_id", "forecast_hour"])
+    rows = domain.predictions(spark, d).select("station_id", "forecast_hour", "predicted_demand")
+    store.write_predictions(rows.withColumn("predicted_demand", F.lit(-1.0)), root)
+    folder = store.write_predictions(rows, root)
+    store.drop_unnamed(spark, root)
+    day = spark.read.parquet(folder).agg(F.date_format(F.min("forecast_hour"), "yyyy-MM-dd")).first()[0]
+    latest = store.read_predictions(spark, root).withColumnRenamed("predicted_demand", "latest")
+    return store.read_predictions(spark, root, day).select(F.lit(day).alias("snapshot"), "*").join(latest, ["station_id", "forecast_hour"])
 
 
 @query(sql(f"SELECT start_station_id, feed_station_id, capacity, 'name' AS matched_by FROM ({NAMED}) WHERE capacity IS NOT NULL", "trips", "stations"))
@@ -208,7 +213,7 @@ def pipeline_bias_and_drift(spark: SparkSession, d: str) -> DataFrame:
     return store.union_all(parts)
 
 
-LAST_DAY = "SELECT start_station_id AS station_id, hour + INTERVAL 24 HOUR AS forecast_hour, round(CAST(demand_count AS DOUBLE), 4) AS predicted_demand FROM panel WHERE hour > (SELECT max(hour) FROM panel) - INTERVAL 24 HOUR"
+LAST_DAY = "SELECT start_station_id AS station_id, hour + INTERVAL 24 HOUR AS forecast_hour, round(CAST(demand_count AS DOUBLE), 4) AS predicted_demand, CAST(7 AS INTEGER) AS model_version, '" + MADE_AT + "' AS generated_at FROM panel WHERE hour > (SELECT max(hour) FROM panel) - INTERVAL 24 HOUR"
 
 
 @query(sql(LAST_DAY, "panel"))
@@ -216,21 +221,50 @@ def pipeline_forecast(spark: SparkSession, d: str) -> DataFrame:
     """The best run as the candidate, so that the gate accepts it; without a model the forecast is the last day's demand."""
     m = domain.matrix(spark, d)
     weather = serving.last_known(m, [*features.WEATHER, "is_precipitation", "is_cold", "is_hot", "feels_like_c"])
-    path = pipelines.promote_and_forecast(domain.runs(spark, d), _candidate_of(domain.runs(spark, d)), serving.station_history(m), weather, features.holiday_calendar(spark), store.scratch(spark, "forecast"))
+    path = pipelines.promote_and_forecast(domain.runs(spark, d), _candidate_of(domain.runs(spark, d)), serving.station_history(m), weather, features.holiday_calendar(spark), store.scratch(spark, "forecast"), model_version=7, generated_at=MADE_AT)
     return spark.read.parquet(path)
 
 
-@query(sql("""SELECT 'summary' AS view, count(*) AS n FROM means UNION ALL SELECT 'network', count(DISTINCT hour(forecast_hour)) FROM pred UNION ALL SELECT 'peaks', count(*) FROM means UNION ALL SELECT 'status', count(*) FROM status
-UNION ALL SELECT 'status ' || risk_level, count(*) FROM status GROUP BY risk_level UNION ALL SELECT 'kpis', 1 UNION ALL SELECT 'alerts', 3 UNION ALL SELECT 'priority', least(14, count(*)) FROM status UNION ALL SELECT 'fills', count(*) FROM status""", "means", "pred", "status"))
+_SERVED = """SELECT 'summary' AS view, station_id AS key, round(mean, 4) AS value FROM means UNION ALL SELECT 'network', CAST(hour(forecast_hour) AS VARCHAR), round(sum(predicted_demand), 4) FROM pred GROUP BY hour(forecast_hour)
+UNION ALL SELECT 'peaks', station_id, max(predicted_demand) FROM pred GROUP BY station_id UNION ALL SELECT 'status', station_id || ' ' || risk_level, CAST(net_flow_1h AS DOUBLE) FROM status
+UNION ALL SELECT 'fills', station_id || ' ' || urgency || ' ' || risk, CAST(fill_pct AS DOUBLE) FROM f UNION ALL SELECT 'alerts', u, CAST(count(urgency) AS DOUBLE) FROM (SELECT unnest(['Critical', 'Warning', 'OK']) AS u) LEFT JOIN f ON urgency = u GROUP BY u
+UNION ALL SELECT 'kpis', 'healthy_pct', round(100.0::DOUBLE * count(*) FILTER (risk = 'moderate') / count(*), 4) FROM f UNION ALL SELECT 'kpis', 'average_fill', round(avg(fill_pct), 4) FROM f
+UNION ALL SELECT 'kpis', 'need_bikes', CAST(count(*) FILTER (fill_pct <= 10) AS DOUBLE) FROM f UNION ALL SELECT 'kpis', 'overflow', CAST(count(*) FILTER (fill_pct >= 90) AS DOUBLE) FROM f
+UNION ALL SELECT 'priority', station_id, CAST(fill_pct AS DOUBLE) FROM (SELECT * FROM f ORDER BY CASE risk WHEN 'critical' THEN 0 WHEN 'surplus' THEN 1 WHEN 'low' THEN 2 ELSE 3 END, fill_pct, station_id LIMIT 14)"""
+
+
+@query(sql(_SERVED, "means", "pred", "status", "f", f="""SELECT station_id, fill_pct, CASE WHEN fill_pct < 10 OR fill_pct > 90 THEN 'Critical' WHEN fill_pct < 20 OR fill_pct > 80 THEN 'Warning' ELSE 'OK' END AS urgency,
+  CASE WHEN fill_pct <= 10 OR fill_pct >= 92 THEN 'critical' WHEN fill_pct <= 25 THEN 'low' WHEN fill_pct >= 75 THEN 'surplus' ELSE 'moderate' END AS risk FROM status"""))
 def pipeline_serving(spark: SparkSession, d: str) -> DataFrame:
-    """The stored views' rows, and the stations of each risk level."""
+    """The stored views' values."""
     root = store.scratch(spark, "views")
-    path = store.scratch(spark, "predictions")
-    domain.predictions(spark, d).write.parquet(path)
-    pipelines.serving_views(spark.read.parquet(path), domain.stations(spark, d), root)
-    parts = [spark.read.parquet(f"{root}/{v}").agg(F.count("*").alias("n")).select(F.lit(v).alias("view"), "n") for v in ("summary", "network", "peaks", "status", "fills", "kpis", "alerts", "priority")]
-    levels = spark.read.parquet(f"{root}/status").groupBy(F.concat(F.lit("status "), F.col("risk_level")).alias("view")).agg(F.count("*").alias("n"))
-    return store.union_all([*parts, levels])
+    pipelines.serving_views(saved(domain.predictions(spark, d), "predictions"), domain.stations(spark, d), root)
+    view = lambda name, key, value: spark.read.parquet(f"{root}/{name}").select(F.lit(name).alias("view"), key.alias("key"), value.cast("double").alias("value"))
+    c, words = F.col, lambda *names: F.concat_ws(" ", *names)
+    kpis = [view("kpis", F.lit(k), c(k)) for k in ("healthy_pct", "average_fill", "need_bikes", "overflow")]
+    return store.union_all([
+        view("summary", c("station_id"), c("mean_demand")), view("network", c("hour_of_day").cast("string"), c("total_demand")), view("peaks", c("station_id"), c("peak_demand")), view("status", words("station_id", "risk_level"), c("net_flow_1h")),
+        view("fills", words("station_id", "urgency", "risk"), c("fill_pct")), view("alerts", c("urgency"), c("n")), *kpis, view("priority", c("station_id"), c("fill_pct")),
+    ])
+
+
+@query(sql("""SELECT 'summary' AS view, station_id AS key, round(avg(predicted_demand), 4) AS value, min(forecast_hour) AS at FROM now GROUP BY station_id UNION ALL SELECT 'network', CAST(hour(forecast_hour) AS VARCHAR), round(sum(predicted_demand), 4), min(forecast_hour) FROM now GROUP BY hour(forecast_hour)
+UNION ALL SELECT 'peaks', station_id || ' ' || CASE WHEN max(predicted_demand) >= 3 THEN 'high' ELSE '' END, max(predicted_demand), NULL FROM now GROUP BY station_id UNION ALL SELECT 'forecast', station_id, max(predicted_demand), arg_max(forecast_hour, (predicted_demand, -epoch(forecast_hour))) FROM now GROUP BY station_id""", "pred", "now",
+now="SELECT station_id, forecast_hour, CASE WHEN CAST(station_id AS BIGINT) % 5 = 0 AND forecast_hour >= TIMESTAMP '2024-01-20' THEN predicted_demand + 1 ELSE predicted_demand END AS predicted_demand FROM pred WHERE forecast_hour < TIMESTAMP '2024-01-25' OR CAST(station_id AS BIGINT) % 5 = 0"))
+def incremental_views(spark: SparkSession, d: str) -> DataFrame:
+    """C10 by changes: a fifth of the stations get newer hours, and some hours that they had, again."""
+    root = store.scratch(spark, "kept-views")
+    p = saved(domain.predictions(spark, d), "predictions")
+    views.update(spark, root, p.where("forecast_hour < timestamp_ntz'2024-01-25'"))
+    views.update(spark, root, p.where("cast(station_id as bigint) % 5 = 0 AND forecast_hour >= timestamp_ntz'2024-01-20'").withColumn("predicted_demand", F.col("predicted_demand") + 1))
+    parts = views.read_partials(spark, root)
+    none = F.lit(None).cast("timestamp_ntz")
+    row = lambda df, name, key, value, at: df.select(F.lit(name).alias("view"), key.alias("key"), F.col(value).alias("value"), at.alias("at"))
+    c = F.col
+    return store.union_all([
+        row(views.prediction_summary(parts), "summary", c("station_id"), "mean_demand", c("first_hour")), row(views.network_demand(parts), "network", c("hour_of_day").cast("string"), "total_demand", c("first_hour")),
+        row(views.station_peaks(parts), "peaks", F.concat("station_id", F.lit(" "), F.when(c("high_demand"), "high").otherwise("")), "peak_demand", none), row(views.forecast_summary(parts), "forecast", c("station_id"), "peak", c("peak_hour")),
+    ])
 
 
 @query(sql(f"""SELECT overall_drift, degraded, degradation_ratio, round((old - val_rmse) / old * 100, 6) AS improvement_pct, overall_drift OR degraded AS retrain FROM ({_REPORT_SQL}) r

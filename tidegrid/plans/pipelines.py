@@ -57,12 +57,12 @@ def bias_and_drift(scored: DataFrame, reference: DataFrame, current: DataFrame,
     return {"errors": errors, "disparity": slices.error_disparity(errors), "features": f, "report": drift.drift_report(f, t, p), "residuals": metrics.residual_histogram(scored)}
 
 
-def promote_and_forecast(runs: DataFrame, candidate: DataFrame, history: DataFrame, weather: DataFrame, calendar: DataFrame, root: str, model=None) -> str | None:
+def promote_and_forecast(runs: DataFrame, candidate: DataFrame, history: DataFrame, weather: DataFrame, calendar: DataFrame, root: str, model=None, model_version: int = 0, generated_at: str | None = None) -> str | None:
     """Writes a forecast if the gate accepts the candidate; the gate is one row."""
     champion = gates.best_run(runs)
     if gates.rollback_gate(champion, candidate).first()["decision"] != "accepted":
         return None
-    return store.write_predictions(ml.recursive_forecast(history, weather, calendar, model=model), root)
+    return store.write_predictions(ml.recursive_forecast(history, weather, calendar, model=model, model_version=model_version, generated_at=generated_at), root)
 
 
 def serving_views(predictions: DataFrame, feed: DataFrame, root: str) -> None:

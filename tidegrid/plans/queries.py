@@ -826,6 +826,18 @@ def streaming_performance(spark: SparkSession, d: str) -> DataFrame:
     return streaming.drained(streaming.streaming_performance(log), "streaming-performance")
 
 
+@query("""WITH p AS (SELECT user_id, ts, value FROM events WHERE event_type <> 'error'), a AS (SELECT user_id, ts, CAST(user_id AS DOUBLE) AS actual FROM events WHERE event_type <> 'view'),
+j AS (SELECT ts, value - actual AS off FROM p JOIN a USING (user_id, ts)), w AS (SELECT *, unnest([date_trunc('day', ts) - to_days(CAST(k AS INTEGER)) FOR k IN range(0, 7)]) AS first_day FROM j)
+SELECT first_day, count(*) AS n, round(sqrt(avg(off * off)), 6) AS rmse, round(avg(abs(off)), 6) AS mae FROM w
+WHERE first_day + INTERVAL 7 DAY <= (SELECT least((SELECT max(ts) FROM p), (SELECT max(ts) FROM a)) - INTERVAL 1 DAY) GROUP BY 1""")
+def streaming_errors(spark: SparkSession, d: str) -> DataFrame:
+    """X02 with J13: one stream of events' values as predictions, another of their users as the truth; each lacks some of the other's."""
+    e = lambda: _event_stream(spark, d)
+    predictions = e().where("event_type <> 'error'").select(F.col("user_id").alias("station_id"), F.col("ts").alias("forecast_hour"), F.col("value").alias("predicted_demand"))
+    actuals = e().where("event_type <> 'view'").select(F.col("user_id").alias("station_id"), F.col("ts").alias("hour"), F.col("user_id").cast("double").alias("actual_demand"))
+    return streaming.drained(streaming.streaming_errors(predictions, actuals), "streaming-errors")
+
+
 # Models (rows only, but for the forecast without a model)
 
 

@@ -80,6 +80,11 @@ def _delete(path: str) -> None:
         _OPEN.pop(path, None)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def discard(df: DataFrame) -> None:
     """Deletes the folder of a saved table that nothing will read again."""
     found = {f.rsplit("/", 1)[0] for f in df.inputFiles()}

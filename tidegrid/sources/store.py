@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.sources.scratch import folder
+from tidegrid.sources.scratch import exists, folder
+
+PREDICTIONS = "station_id string, forecast_hour timestamp_ntz, predicted_demand double, model_version int, generated_at string"
 
 
 def scratch(spark: SparkSession, what: str) -> str:
@@ -34,12 +38,57 @@ def write_sorted(df: DataFrame, path: str, keys: tuple[str, ...] = ("start_stati
     df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
 
 
+def point(spark: SparkSession, pointer: str, target: str) -> None:
+    """Makes a pointer file name a folder, in one step: a reader sees the old name or the new one, never a part of one."""
+    hadoop, conf = spark._jvm.org.apache.hadoop, spark.sparkContext._jsc.hadoopConfiguration()
+    place, aside = hadoop.fs.Path(pointer), hadoop.fs.Path(f"{pointer}-{uuid.uuid4().hex}")
+    system = place.getFileSystem(conf)
+    out = system.create(aside, True)
+    out.write(target.encode())
+    out.close()
+    over = spark.sparkContext._gateway.new_array(hadoop.fs.Options.Rename, 1)
+    over[0] = hadoop.fs.Options.Rename.OVERWRITE
+    hadoop.fs.FileContext.getFileContext(system.getUri(), conf).rename(system.makeQualified(aside), system.makeQualified(place), over)
+
+
+def pointed(spark: SparkSession, pointer: str) -> str | None:
+    """The folder that a pointer file names; none where it is missing."""
+    if not exists(spark, pointer):
+        return None
+    place = spark._jvm.org.apache.hadoop.fs.Path(pointer)
+    stream = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def write_predictions(df: DataFrame, root: str) -> str:
-    """To latest/ and to a snapshot of the first forecast day. Returns the snapshot's path."""
-    day = df.agg(F.date_format(F.min("forecast_hour"), "yyyy-MM-dd").alias("d")).first()["d"]
-    df.write.mode("overwrite").parquet(f"{root}/latest")
-    df.write.mode("overwrite").parquet(f"{root}/{day}")
-    return f"{root}/{day}"
+    """A folder that is written once and never over another, then the pointers of its first forecast day and of the latest forecast.
+    A writer that fails before a pointer leaves what it named. Returns the folder."""
+    spark, folder = df.sparkSession, f"{root}/data/{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    day = spark.read.parquet(folder).agg(F.date_format(F.min("forecast_hour"), "yyyy-MM-dd").alias("d")).first()["d"]
+    point(spark, f"{root}/day-{day}", folder)
+    point(spark, f"{root}/latest", folder)
+    return folder
+
+
+def read_predictions(spark: SparkSession, root: str, day: str | None = None) -> DataFrame:
+    """The latest forecast, or the one whose first day is ``day``; no rows where there is none."""
+    folder = pointed(spark, f"{root}/latest" if day is None else f"{root}/day-{day}")
+    return spark.read.parquet(folder) if folder else spark.createDataFrame([], PREDICTIONS)
+
+
+def drop_unnamed(spark: SparkSession, root: str) -> int:
+    """Deletes the folders that no pointer names, and says how many; for a time when nobody writes or reads an older forecast."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    named = {pointed(spark, s.getPath().toString()) for s in system.listStatus(place) if s.isFile()}
+    gone = [s.getPath() for s in system.listStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/data")) if f"{root}/data/{s.getPath().getName()}" not in named]
+    for folder in gone:
+        system.delete(folder, True)
+    return len(gone)
 
 
 def write_formats(df: DataFrame, root: str) -> None:
