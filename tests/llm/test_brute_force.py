@@ -234,6 +234,32 @@ def test_base_spans(spark):
     assert got == {i: base_spans(t) if i < 10**6 else "" for i, t in rows}
 
 
+def test_spans_of_any_number_are_found_overlapped_and_masked_alike(spark, monkeypatch):
+    """Runs of runs of matches and pieces of text, made short, against plain Python."""
+    monkeypatch.setattr(pii, "WIDTH", 3)
+    monkeypatch.setattr(pii, "PIECE", 7)
+    monkeypatch.setattr(pii, "_accepted", lambda weights, kind, x, before: before.contains("call"))
+    draw = random.Random(9)
+    bits = ["call 555-123-4567", "(415) 555-0100", "see 212.555.0199", "a@b.org", "10.0.0.1", "+49 30 1234567", "\U0001f600é", "123-45-6789", "4111 1111 1111 1111", "x", "+1 555-123-4567 9"]
+    rows = [(i, "; ".join(draw.choices(bits, k=draw.choice([0, 1, 4, 40, 150])))) for i in range(30)] + [(99, None), (100, "call " + "é" * 50 + " 555-123-4567")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pii.find_spans(docs, {}).collect()}
+    masked = {r["doc_id"]: r["text"] for r in pii.mask_spans(docs, {}).collect()}
+    shapes = {k: re.compile(v.replace("*+", "*").replace("}+", "}")) for k, v in pii.SHAPES.items()}
+    for i, text in rows:
+        t = text or ""
+        base = [(k, int(a), int(b)) for k, a, b in (x.split(":") for x in base_spans(text).split(",") if x)]
+        more = [(k, m.start(), m.end()) for k in pii.ADDED for m in shapes[k].finditer(t)]
+        more = [c for c in more if not any(b[1] < c[2] and c[1] < b[2] for b in base) and "call" in t[max(0, c[1] - 32) : c[1]]]
+        assert [tuple(s) for s in got[i]["spans"]] == base + more
+        out, at = "", 0
+        for s, e, kind in sorted((s, e, k) for k, s, e in base + more):
+            if s >= at:
+                out += t[at:s] + f"[{kind.upper()}]"
+            at = max(at, e)
+        assert masked[i] == (out + t[at:] if base + more else text)
+
+
 def test_keys_are_added_and_words_are_not(spark):
     key = "token = 24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
     rows = [(i, f"text {key} more a{i}@b.org") for i in range(40)] + [(100 + i, "chapter internationalisation2 of the book") for i in range(40)]

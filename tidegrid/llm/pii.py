@@ -19,6 +19,7 @@ through; those named like an output are replaced.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,8 @@ ADDED = ("local_phone", "national_id", "secret")
 KINDS = BASE + ADDED
 ACCEPT, ROUNDS = 0.5, 50
 CONTEXT = 32
+#: Elements that an array grows by at the most, and code points of a piece of a text.
+WIDTH, PIECE = 64, 1000
 
 # The base patterns. Possessive quantifiers and look-behinds change no match: they stop Java from backtracking
 # into a run, or from starting again within one that has failed.
@@ -56,20 +59,91 @@ LABELERS = ("pattern", "gazetteer", "cue", "plain", "digits")
 FEATURES = ("kind", "size", "share", "near")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of value, which is then computed once, however often body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _scanned(items: Column, out: str, step: Callable[[Column, Column], tuple[Column, Column]], shift: Callable[[Column, Column], Column], join: Callable[[Column, Column], Column]) -> Column:
+    """A running figure over an array of any length, and what step makes of it and of each item, as an array of type ``out``.
+
+    An array that grows by one element at a time is copied each time, so only short ones grow: runs of WIDTH items are scanned by
+    themselves from 0, then runs of runs, then those; shift adds to an element what comes before its run."""
+
+    def level(array: Column, kind: str, one: Callable[[Column, Column], tuple[Column, Column]], body: Callable[[Column], Column]) -> Column:
+        zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
+
+        def run(a: Column, k: Column) -> Column:
+            own = F.transform(F.sequence(k * WIDTH, F.least(k * WIDTH + WIDTH, F.size(a)) - 1), lambda i: F.get(a, i))
+
+            def add(acc: Column, item: Column) -> Column:
+                at, made = one(acc["at"], item)
+                return F.struct(at.alias("at"), F.concat(acc["out"], F.array(made)).alias("out"))
+
+            return F.aggregate(own, zero, add)
+
+        runs = lambda a: F.transform(F.sequence(F.lit(0), F.floor((F.size(a) - 1) / WIDTH).cast("int")), lambda k: run(a, k))
+        return _let(array, lambda a: _let(runs(a), body))
+
+    lift = lambda inner: lambda at, r: (join(at, r["at"]), F.transform(r["out"], inner(at)))
+    one_deep = lambda at: lambda o: shift(at, o)
+    two_deep = lambda at: lambda os: F.transform(os, one_deep(at))
+    last = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<array<{out}>>>").alias("out"))
+
+    def top(runs: Column) -> Column:
+        def add(acc: Column, r: Column) -> Column:
+            at, made = lift(two_deep)(acc["at"], r)
+            return F.struct(at.alias("at"), F.concat(acc["out"], F.array(made)).alias("out"))
+
+        return F.flatten(F.flatten(F.aggregate(runs, last, add)["out"]))
+
+    return F.when(F.size(items) > 0, level(items, out, step, lambda runs: level(runs, f"array<{out}>", lift(one_deep), top))).otherwise(F.array().cast(f"array<{out}>"))
+
+
+SPAN = "struct<kind:string,s:int,e:int,x:string>"
+
+
 def _spans(kind: str, pattern: str, text: Column, hint: Column) -> Column:
     """Matches with their places. Parts between matches and matches alternate, so their lengths give the places."""
     matches, parts = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    none = F.array().cast("array<struct<kind:string,s:int,e:int,x:string>>")
 
-    def step(acc: Column, pair: Column) -> Column:
-        s = acc["at"] + F.length(pair["p"])
+    def step(at: Column, pair: Column) -> tuple[Column, Column]:
+        s = at + F.length(pair["p"])
         e = s + F.length(pair["m"])
-        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(F.lit(kind).alias("kind"), s.alias("s"), e.alias("e"), pair["m"].alias("x")))).alias("out"))
+        return e, F.struct(F.lit(kind).alias("kind"), s.alias("s"), e.alias("e"), pair["m"].alias("x"))
+
+    def shift(at: Column, o: Column) -> Column:
+        return F.struct(o["kind"].alias("kind"), (o["s"] + at).alias("s"), (o["e"] + at).alias("e"), o["x"].alias("x"))
 
     # parts has one more element than matches; the last pair has no match
     pairs = F.filter(F.zip_with(parts, matches, lambda p, m: F.struct(p.alias("p"), m.alias("m"))), lambda z: z["m"].isNotNull())
-    zero = F.struct(F.lit(0).alias("at"), none.alias("out"))
-    return F.when(hint, F.aggregate(pairs, zero, step, lambda acc: acc["out"])).otherwise(none)
+    return F.when(hint, _scanned(pairs, SPAN, step, shift, lambda a, b: a + b)).otherwise(F.array().cast(f"array<{SPAN}>"))
+
+
+def _pieces(text: Column) -> Column:
+    """The text in pieces of PIECE code points, from which any stretch is cut without a walk from the text's start."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def _cut(pieces: Column, start: Column, end: Column) -> Column:
+    """Code points start to end - 1 of the text whose pieces are given."""
+    first, last = F.floor(start / PIECE).cast("int"), F.floor((end - 1) / PIECE).cast("int")
+    part = lambda k: F.substring(F.get(pieces, k), F.greatest(F.lit(0), start - k * PIECE) + 1, F.least(F.lit(PIECE), end - k * PIECE) - F.greatest(F.lit(0), start - k * PIECE))
+    return F.when(end > start, F.array_join(F.transform(F.sequence(first, last), part), "")).otherwise(F.lit(""))
+
+
+def _overlaps(base: Column, c: Column) -> Column:
+    """Whether c overlaps one of base's spans, which are in order and apart: only the last that begins before c's end can, and halving
+    the array finds it."""
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(F.size(base) + 1.0)).cast("int"))
+
+    def halve(acc: Column, _: Column) -> Column:
+        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
+        before = (acc["lo"] < acc["hi"]) & (F.get(base, mid)["s"] < c["e"])
+        return F.struct(F.when(before, mid + 1).otherwise(acc["lo"]).alias("lo"), F.when(before | (acc["lo"] >= acc["hi"]), acc["hi"]).otherwise(mid).alias("hi"))
+
+    found = F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.size(base).alias("hi")), halve, lambda acc: acc["lo"])
+    return (F.size(base) > 0) & F.coalesce(F.get(base, found - 1)["e"] > c["s"], F.lit(False))
 
 
 def _luhn(match: Column) -> Column:
@@ -89,21 +163,25 @@ def _valid(kind: str, x: Column) -> Column:
     return F.lit(True)
 
 
-def _checked(kind: str) -> Column:
-    return F.filter(f"__tg_{kind}", lambda z: _valid(kind, z["x"]))
-
-
 def _candidates(documents: DataFrame) -> DataFrame:
     """documents with __tg_t (the text), __tg_base and __tg_more: arrays of (kind, s, e, x)."""
     text = F.col("__tg_t")
     out = documents.withColumn("__tg_t", F.coalesce("text", F.lit("")))
     has = {k: text.contains(h) if k == "email" else text.rlike(h) for k, h in HINTS.items()}
-    out = out.withColumns({f"__tg_{k}": _spans(k, PATTERNS[k], text, has[k]) for k in BASE})
+    checked = lambda k: F.filter(_spans(k, PATTERNS[k], text, has[k]), lambda z: _valid(k, z["x"]))
+    out = out.withColumns({f"__tg_{k}": checked(k) for k in BASE})
     digits = text.rlike("[0-9]")
     out = out.withColumns({f"__tg_{k}": _spans(k, SHAPES[k], text, digits) for k in ADDED})
-    out = out.withColumn("__tg_base", F.concat(*map(_checked, BASE)))
-    clear = lambda c: ~F.exists("__tg_base", lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"]))
-    return out.withColumn("__tg_more", F.filter(F.concat(*(F.col(f"__tg_{k}") for k in ADDED)), clear))
+    by_kind = F.struct(*(F.col(f"__tg_{k}").alias(k) for k in BASE))
+    more = _let(by_kind, lambda b: F.filter(F.concat(*(F.col(f"__tg_{k}") for k in ADDED)), lambda c: ~any_of([_overlaps(b[k], c) for k in BASE])))
+    return out.withColumns({"__tg_base": F.concat(*(F.col(f"__tg_{k}") for k in BASE)), "__tg_more": more})
+
+
+def any_of(conditions: list[Column]) -> Column:
+    out = conditions[0]
+    for c in conditions[1:]:
+        out = out | c
+    return out
 
 
 def _votes(kind: Column, x: Column, before: Column) -> dict[str, Column]:
@@ -138,9 +216,8 @@ def _features(kind: Column, x: Column, before: Column) -> dict[str, Column]:
     }
 
 
-def _before(text: Column, span: Column) -> Column:
-    first = F.greatest(F.lit(0), span["s"] - CONTEXT)
-    return F.substring(text, first + 1, span["s"] - first)
+def _before(pieces: Column, span: Column) -> Column:
+    return _cut(pieces, F.greatest(F.lit(0), span["s"] - CONTEXT), span["s"])
 
 
 def estimate_reliabilities(patterns: list[tuple[str, tuple[int, ...], int]]) -> dict[tuple[str, tuple[int, ...]], float]:
@@ -188,8 +265,9 @@ def fit_classifier(rows: list[tuple[tuple, float, float]]) -> dict[tuple[str, ob
 
 def learn_spans(documents: DataFrame) -> dict[tuple[str, object], float]:
     """The span classifier's weights, from every candidate of documents. Only bounded tables of counts are collected."""
-    found = _candidates(documents.select("text")).select("__tg_t", F.explode(F.concat("__tg_base", "__tg_more")).alias("c"))
-    found = found.select(F.col("c.kind").alias("kind"), F.col("c.x").alias("x"), _before(F.col("__tg_t"), F.col("c")).alias("before"))
+    every = F.concat("__tg_base", "__tg_more")
+    near = lambda p: F.transform(every, lambda c: F.struct(c["kind"].alias("kind"), c["x"].alias("x"), _before(p, c).alias("before")))
+    found = _candidates(documents.select("text")).where(F.size(every) > 0).select(F.inline(_let(_pieces(F.col("__tg_t")), near)))
     votes, features = (f(F.col("kind"), F.col("x"), F.col("before")) for f in (_votes, _features))
     counts = found.select(*(v.alias(f"v_{k}") for k, v in votes.items()), *(f.alias(k) for k, f in features.items())).groupBy(*(f"v_{k}" for k in votes), *features).count().collect()
     counts.sort(key=str)  # sums of floating-point numbers don't depend on the order of tasks
@@ -224,7 +302,8 @@ def find_spans(documents: DataFrame, weights: dict[tuple[str, object], float]) -
     """documents with base_spans and spans: arrays of (kind, s, e), by kind, then start."""
     kept = [c for c in documents.columns if c.lower() not in ("base_spans", "spans")]
     found = _candidates(documents.select(*(F.col(f"`{c}`") for c in kept)))
-    added = F.filter("__tg_more", lambda c: _accepted(weights, c["kind"], c["x"], _before(F.col("__tg_t"), c)))
+    judged = _let(_pieces(F.col("__tg_t")), lambda p: F.filter("__tg_more", lambda c: _let(_before(p, c), lambda before: _accepted(weights, c["kind"], c["x"], before))))
+    added = F.when(F.size("__tg_more") > 0, judged).otherwise(F.col("__tg_more"))
     slim = lambda spans: F.transform(spans, lambda c: F.struct(c["kind"].alias("kind"), c["s"].alias("s"), c["e"].alias("e")))
     return found.select(*(F.col(f"`{c}`") for c in kept), slim(F.col("__tg_base")).alias("base_spans"), slim(F.concat(F.col("__tg_base"), added)).alias("spans"))
 
@@ -239,13 +318,14 @@ def mask_spans(documents: DataFrame, weights: dict[tuple[str, object], float] |
     found = find_spans(moved, learn_spans(documents) if weights is None else weights)
     text = F.col("text")
     ordered = F.array_sort(F.transform("spans", lambda c: F.struct(c["s"].alias("s"), c["e"].alias("e"), c["kind"].alias("kind"))))
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, c: Column) -> Column:
-        new = F.concat(acc["out"], F.substring(text, acc["at"] + 1, c["s"] - acc["at"]), F.lit("["), F.upper(c["kind"]), F.lit("]"))
-        return F.struct(F.greatest(acc["at"], c["e"]).alias("at"), F.when(c["s"] >= acc["at"], new).otherwise(acc["out"]).alias("out"))
-
-    masked = F.aggregate(ordered, zero, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    # before: the greatest end of the spans that come first; a span that begins before it is in one that is masked already
+    kind = "struct<s:int,e:int,kind:string,before:int>"
+    step = lambda at, c: (F.greatest(at, c["e"]), F.struct(c["s"].alias("s"), c["e"].alias("e"), c["kind"].alias("kind"), at.alias("before")))
+    shift = lambda at, o: F.struct(o["s"].alias("s"), o["e"].alias("e"), o["kind"].alias("kind"), F.greatest(at, o["before"]).alias("before"))
+    placed = _scanned(ordered, kind, step, shift, F.greatest)
+    masks = lambda p: F.transform(F.filter(placed, lambda c: c["s"] >= c["before"]), lambda c: F.concat(_cut(p, c["before"], c["s"]), F.lit("["), F.upper(c["kind"]), F.lit("]")))
+    rest = lambda p: _cut(p, F.array_max(F.transform("spans", lambda c: c["e"])), F.length(text))
+    masked = _let(_pieces(text), lambda p: F.concat(F.array_join(masks(p), ""), rest(p)))
     out = found.withColumn("text", F.when(F.size("spans") > 0, masked).otherwise(text))
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(documents.schema["n_chars"].dataType))
