@@ -108,13 +108,10 @@ def _rolled(rows: DataFrame, measures: str) -> DataFrame:
     out = rows.sparkSession.sql(f"SELECT block, key1, key2, {slots}, CAST({depth} AS INT) AS slot, {measures} FROM {{rows}} GROUP BY block, key1, key2, ROLLUP ({slots}) HAVING slot > 0", rows=rows)
     out = out.where(F.coalesce(*(F.when(F.col("slot") == j, F.col(f"t{j}").isNotNull()) for j in _SLOTS)))  # else the conversation ended before
     base = F.col("block") * COLUMNS
+    xor = lambda key, n, lanes: F.aggregate(F.slice(lanes, F.lit(1), n), F.col(key), lambda a, h: a.bitwiseXOR(h))
     for k in (1, 2):
-        hashes = [F.when(F.col("slot") >= j, _lanes(F.col(f"t{j}"), base + j)[k - 1]).otherwise(F.lit(0).cast("long")) for j in _SLOTS]
-        upto, before = F.col(f"key{k}"), F.col(f"key{k}")
-        for j, h in zip(_SLOTS, hashes, strict=True):
-            upto = upto.bitwiseXOR(h)
-            before = before.bitwiseXOR(F.when(F.col("slot") > j, h).otherwise(F.lit(0).cast("long")))
-        out = out.withColumns({f"node{k}": upto, f"parent{k}": before})
+        hashes = F.array(*(_lanes(F.col(f"t{j}"), base + j)[k - 1] for j in _SLOTS))
+        out = out.withColumns({f"node{k}": xor(f"key{k}", F.col("slot"), hashes), f"parent{k}": xor(f"key{k}", F.col("slot") - 1, hashes)})
     return out.withColumn("depth", base + F.col("slot"))
 
 
@@ -171,6 +168,7 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
             after = after + F.col(f"{c}{j}")
             own = own.withColumn(f"s_{c}{j}", after)
     own = own.withColumns({f"k{j}": F.col(f"o{j + 1}") if j < COLUMNS else F.coalesce("_next", F.lit(0)) for j in _SLOTS})
+    own = saved(own.select("conv_id", "block", "key1", "key2", "o1", *(f"t{j}" for j in _SLOTS), *(f"{c}{j}" for c in ("s_worth", "s_leaf", "k") for j in _SLOTS)), "trie-sums")
 
     # second rollup: sums over members are sums over subtrees
     summed = _rolled(own, ", ".join(f"sum({at_slot(c)}) AS {name}" for c, name in (("s_leaf", "n_leaves"), ("s_worth", "saved_tokens"), ("k", "n_children"))) + ", min(conv_id) AS conv_id")
