@@ -1,8 +1,8 @@
 """From raw documents to a training mix: each stage takes the documents that the one before it kept.
 
 All stages but the last return the columns of documents; the last adds each document's place in training.
-Every stage is written as Parquet to the shared folder and read again, so a lost executor costs one stage; it is deleted
-once the next one is written. Null, empty and very long texts, null ids, repeated rows, empty tables and further columns are
+Every stage is written as Parquet to the shared folder and read again, so a lost executor costs one stage; tables that it wrote on its
+way are deleted then, and its own once the next one is written. Null, empty and very long texts, null ids, repeated rows, empty tables and further columns are
 handled as the operators' docstrings say: texts without a letter go in the first stage, and of equal rows one stays.
 """
 
@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidegrid.llm import decontaminate, jaccard_join, language_id, mixing, pii
-from tidegrid.llm._frames import discard, saved
+from tidegrid.llm._frames import alone, discard
 
 
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +56,7 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir), name)
+        docs = alone(spark, name, lambda: stage(spark, docs, sf_dir))  # noqa: B023  called before the loop goes on
         if before is not None:
             discard(before)
         before = docs

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegrid.llm._frames import saved
@@ -57,13 +57,28 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     return filled.withColumn("target", F.least(F.col("cap"), F.coalesce(level * F.col("weight"), F.col("cap")))).select("source", "source_size", "target", "slope")
 
 
+def _sized(documents: DataFrame) -> list[Column]:
+    """size, the digest that orders a source, and a hash that tells texts of one id apart."""
+    size = F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long")
+    return [size.alias("size"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("__tg_digest"), F.xxhash64("text").alias("__tg_text")]
+
+
 def mix_documents(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """documents with size, source_size, target, taken and position, range-sorted by position."""
     kept = [c for c in documents.columns if c.lower() not in OUTPUT]
-    digits = max(2, math.ceil(math.log(max(1, documents.count() / BUCKET_ROWS), 16)))  # hex digits of the digest that name a bucket
-    digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    sized = documents.select(*(F.col(f"`{c}`") for c in kept), F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long").alias("size"), digest.alias("__tg_digest"))
-    slim = documents.select("source", F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long").alias("size"), F.substring(digest, 1, digits).alias("__tg_bucket"))
+    sized = documents.select(*(F.col(f"`{c}`") for c in kept), *_sized(documents))
+    return _placed(sized, kept, weights, share, max_repeats)
+
+
+def place_documents(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """The same of doc_id and source alone: texts are read once, for their sizes, and go nowhere."""
+    sized = saved(documents.select("doc_id", "source", *_sized(documents)), "mixing-sizes")
+    return _placed(sized, ["doc_id", "source"], weights, share, max_repeats)
+
+
+def _placed(sized: DataFrame, kept: list[str], weights: tuple[int, ...], share: float, max_repeats: int) -> DataFrame:
+    digits = max(2, math.ceil(math.log(max(1, sized.count() / BUCKET_ROWS), 16)))  # hex digits of the digest that name a bucket
+    slim = sized.select("source", "size", F.substring("__tg_digest", 1, digits).alias("__tg_bucket"))
     buckets = saved(slim.groupBy("source", "__tg_bucket").agg(F.sum("size").alias("bucket_size")), "mixing-buckets")
     targets = source_targets(buckets.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights, share, max_repeats)
     run = Window.partitionBy("source").orderBy("__tg_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -73,7 +88,7 @@ def mix_documents(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, shar
     if buckets.count() <= SENT_ROWS:
         offsets = F.broadcast(offsets)
     placed = sized.join(offsets, sized["source"].eqNullSafe(offsets["__tg_s"]) & (F.substring(sized["__tg_digest"], 1, digits) == offsets["__tg_b"]))
-    inside = Window.partitionBy("__tg_s", "__tg_b").orderBy("__tg_digest", "doc_id", "size", F.xxhash64("text")).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("__tg_s", "__tg_b").orderBy("__tg_digest", "doc_id", "size", "__tg_text").rowsBetween(Window.unboundedPreceding, 0)
     placed = placed.withColumn("__tg_upto", F.col("__tg_offset") + F.sum("size").over(inside))
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     upto, since = F.floor(F.col("__tg_upto") * ratio), F.floor((F.col("__tg_upto") - F.col("size")) * ratio)

@@ -69,7 +69,7 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix_documents(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    mixed = mixing.place_documents(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
