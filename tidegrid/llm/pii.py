@@ -97,7 +97,8 @@ def _scanned(items: Column, out: str, step: Callable[[Column, Column], tuple[Col
 
         return F.flatten(F.flatten(F.aggregate(runs, last, add)["out"]))
 
-    return F.when(F.size(items) > 0, level(items, out, step, lambda runs: level(runs, f"array<{out}>", lift(one_deep), top))).otherwise(F.array().cast(f"array<{out}>"))
+    some = lambda a: level(a, out, step, lambda runs: level(runs, f"array<{out}>", lift(one_deep), top))
+    return _let(items, lambda a: F.when(F.size(a) > 0, some(a)).otherwise(F.array().cast(f"array<{out}>")))
 
 
 SPAN = "struct<kind:string,s:int,e:int,x:string>"
@@ -267,7 +268,7 @@ def learn_spans(documents: DataFrame) -> dict[tuple[str, object], float]:
     """The span classifier's weights, from every candidate of documents. Only bounded tables of counts are collected."""
     every = F.concat("__tg_base", "__tg_more")
     near = lambda p: F.transform(every, lambda c: F.struct(c["kind"].alias("kind"), c["x"].alias("x"), _before(p, c).alias("before")))
-    found = _candidates(documents.select("text")).where(F.size(every) > 0).select(F.inline(_let(_pieces(F.col("__tg_t")), near)))
+    found = _candidates(documents.select("text")).select(F.inline(F.when(F.size(every) > 0, _let(_pieces(F.col("__tg_t")), near))))
     votes, features = (f(F.col("kind"), F.col("x"), F.col("before")) for f in (_votes, _features))
     counts = found.select(*(v.alias(f"v_{k}") for k, v in votes.items()), *(f.alias(k) for k, f in features.items())).groupBy(*(f"v_{k}" for k in votes), *features).count().collect()
     counts.sort(key=str)  # sums of floating-point numbers don't depend on the order of tasks
