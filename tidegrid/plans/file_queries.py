@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegrid.functions import labels
-from tidegrid.operators import features, metrics, panel, serving, slices, views
+from tidegrid.operators import features, metrics, panel, quality, serving, slices, views
 from tidegrid.plans import domain, pipelines
 from tidegrid.plans.oracle import sql
 from tidegrid.plans.queries import DOUBLES, MATRIX, NAMED, SPLIT, _candidate_of, _event_halves, _report, _REPORT_SQL, EVENTS_KL, MADE_AT, MAES, query, rounded
@@ -144,13 +144,38 @@ def weather_feed(spark: SparkSession, d: str) -> DataFrame:
     return feeds.read_weather(spark, path)
 
 
-@query(sql("SELECT format, CAST(date AS VARCHAR) AS date, holiday FROM holidays, (SELECT unnest(['csv', 'json', 'parquet']) AS format)", "holidays"))
+@query("SELECT format, CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name FROM nation, (SELECT unnest(['csv', 'json', 'parquet']) AS format)")
 def small_table_formats(spark: SparkSession, d: str) -> DataFrame:
     """S11."""
     root = store.scratch(spark, "formats")
-    store.write_formats(features.holiday_calendar(spark), root)
+    store.write_formats(domain.table(spark, d, "nation").select("n_nationkey", "n_name"), root)
     read = {"csv": spark.read.option("header", True).csv(f"{root}/csv"), "json": spark.read.json(f"{root}/json"), "parquet": spark.read.parquet(f"{root}/parquet")}
-    return store.union_all([df.select(F.lit(k).alias("format"), F.col("date").cast("string").alias("date"), "holiday") for k, df in read.items()])
+    return store.union_all([df.select(F.lit(k).alias("format"), F.col("n_nationkey").cast("long"), "n_name") for k, df in read.items()])
+
+
+@query(sql("SELECT issue FROM (SELECT 'humidity_pct: 0 below, ' || count(*) || ' above' AS issue FROM matrix WHERE hour_of_day = 3 UNION ALL SELECT count(*) || ' duplicates' FROM matrix WHERE hour_of_day = 4 UNION ALL SELECT (SELECT count(*) FROM matrix) + (SELECT count(*) FROM matrix WHERE hour_of_day = 4) || ' rows, 1000000000 wanted')", "matrix"))
+def feature_validation(spark: SparkSession, d: str) -> DataFrame:
+    """The issues of a matrix with a humidity out of range, rows that come twice, and fewer rows than wanted."""
+    m = saved(domain.matrix(spark, d), "matrix")
+    bad = m.withColumn("humidity_pct", F.when(F.col("hour_of_day") == 3, 120.0).otherwise(F.col("humidity_pct"))).unionByName(m.where("hour_of_day = 4"))
+    try:
+        pipelines.validate(bad, 1_000_000_000)
+    except quality.ContractError as e:
+        return spark.createDataFrame([(issue,) for issue in str(e).split("; ")], "issue string")
+    return spark.createDataFrame([], "issue string")
+
+
+@query(sql("""SELECT split, n, true AS gated, true AS positive FROM (SELECT CASE WHEN hour < TIMESTAMP '2024-01-24' THEN 'validation' ELSE 'test' END AS split, count(*) AS n FROM matrix WHERE hour >= TIMESTAMP '2024-01-16' GROUP BY 1)""", "matrix"))
+def train_evaluate(spark: SparkSession, d: str) -> DataFrame:
+    """C07, as far as SQL can tell: the rows of each later split, that the gate says what the test split's metrics say, and that errors are
+    above 0."""
+    m = saved(domain.matrix(spark, d), "matrix")
+    _, by_split, gate = pipelines.train_evaluate(m, None, None, "2024-01-16", "2024-01-24")
+    by_split = saved(by_split, "metrics")
+    rules = {"rmse": F.col("rmse") <= metrics.GATES["rmse"][1], "r2": F.col("r2") >= metrics.GATES["r2"][1], "mae": F.col("mae") <= metrics.GATES["mae"][1]}
+    said = gate.agg(*(F.bool_and(F.when(F.col("metric") == k, F.col("passed"))).alias(f"said_{k}") for k in rules))
+    right = lambda k: F.when(F.col("split") == "test", rules[k].eqNullSafe(F.col(f"said_{k}"))).otherwise(F.lit(True))
+    return by_split.crossJoin(F.broadcast(said)).select("split", "n", (right("rmse") & right("r2") & right("mae")).alias("gated"), ((F.col("rmse") > 0) & (F.col("mae") > 0)).alias("positive"))
 
 
 @query(sql("SELECT * FROM stats", "stats"))
