@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegrid.llm._frames import discard, free_name, key_sketch, map_column, may_hold, saved
+from tidegrid.llm._frames import alone, discard, free_name, key_sketch, map_column, may_hold, saved
 from tidegrid.llm._words import Words, chunks, mix
 from tidegrid.llm.components import components
 
@@ -335,9 +335,13 @@ def _residual_pairs(rows: DataFrame, sets: DataFrame, labels: DataFrame, thresho
 
 
 def class_components(ids: DataFrame, n: int = SHINGLE, threshold: int = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """For ids (_id, text): the rows as (_id, _n, _d1, _d2), and for each class its component."""
+    """For ids (_id, text): the rows as (_id, _n, _d1, _d2), and for each class its component. Only these two tables are left."""
     rows_of = map_column(ids, "text", _CLASS_FIELDS, lambda column: _class_of(column, n)).select("_id", *_CLASS)
     rows_of = saved(rows_of, "set-digests")
+    return rows_of, alone(ids.sparkSession, "components", lambda: _named_classes(ids, rows_of, n, threshold))
+
+
+def _named_classes(ids: DataFrame, rows_of: DataFrame, n: int, threshold: int) -> DataFrame:
     classes = saved(rows_of.where("_n > 0").groupBy(*_CLASS).agg(F.min("_id").alias("rep")), "classes")
     signed = _signed(ids, n, threshold)
     shared = saved(signed.repartition("sig").sortWithinPartitions("sig", "d1").mapInArrow(_shared, "sig long, d1 long, code long"), "signatures-shared")
@@ -348,6 +352,7 @@ def class_components(ids: DataFrame, n: int = SHINGLE, threshold: int = THRESHOL
     pairs = rows.join(leaders, "sig").where("d1 != lead").select(F.col("d1").alias("x"), F.col("lead").alias("y")).distinct()
     needed = saved(classes.where("rep IS NOT NULL").join(rows.select(F.col("d1").alias("_d1")).distinct(), "_d1"), "needed")
     sets = saved(_with_sets(ids, needed, n), "sets")
+    discard(needed)
     pairs = saved(_agreeing(pairs, rows, threshold), "pairs")
     # each class with the leader that it shares most with; then its other leaders, as far as that has left them apart
     best = pairs.groupBy("x").agg(F.max_by("y", F.struct("met", "y")).alias("y"))
@@ -360,8 +365,7 @@ def class_components(ids: DataFrame, n: int = SHINGLE, threshold: int = THRESHOL
     more = saved(_verified(_residual_pairs(rows, sets, labels, threshold), sets, "a", "b", threshold), "verified")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
-    named = classes.join(labels, classes["rep"] == labels["v"], "left").select(*_CLASS, F.coalesce("label", "rep").alias("component_id"))
-    return rows_of, named
+    return classes.join(labels, classes["rep"] == labels["v"], "left").select(*_CLASS, F.coalesce("label", "rep").alias("component_id"))
 
 
 def near_duplicate_groups(documents: DataFrame, n: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
@@ -384,6 +388,7 @@ def keep_one_of_each_group(documents: DataFrame, n: int = SHINGLE, threshold: in
     slim = rows.where("_n > 0").select(F.coalesce("_id", F.lit(NO_ID)).alias(names["_id"]), *(F.col(c).alias(names[c]) for c in _CLASS))
     doubtful = slim.groupBy(*key).agg(F.count("*").alias("_c")).join(heads, key, "left").where((F.col("_c") > 1) | F.col(names["_head"]).isNull())
     sketch = documents.sparkSession.sparkContext.broadcast(key_sketch(doubtful.select((F.col(names["_id"]).bitwiseXOR(F.col(names["_d1"]))).alias("k"))))
+    discard(rows), discard(named)
     columns, id_type = documents.columns, "doc_id"
     made = T.StructType([*documents.schema.fields, *(T.StructField(names[c], T.LongType()) for c in ("_id", *_CLASS)), T.StructField(names["_head"], T.BooleanType())])
 
