@@ -304,13 +304,36 @@ def test_every_reading_reaches_the_lattice(spark):
         "you_1d10t": "idiot",
         "(1d10t)": "idiot",
         "idi-ot": "idiot",
+        "ïdïot": "idiot",
+        "i\u0308di\u0308ot": "idiot",
+        "ｉｄｉｏｔ": "idiot",
+        "ｉ ｄ ｉ ｏ ｔ": "idiot",
+        "іdiоt": "idiot",
+        "i\u200bd\u200biot": "idiot",
+        "sh*t": "shit",
+        "m#r#n": "moron",
+        "!d!0t": "idiot",
     }
     for seen, meant in cases.items():
-        words, _ = toxicity._restored(Words(np.frombuffer(seen.encode(), np.uint8), np.array([0, len(seen)])), decoder)
+        words, _ = toxicity._restored(Words(np.frombuffer(seen.encode(), np.uint8), np.array([0, len(seen.encode())])), decoder)
         assert meant.encode() in {words.text(k, k + 1) for k in range(len(words.start))}, seen
     assert len(decoder.decode("ab1c" * 20_000)) == 80_000 and not toxicity._readings(b"hello!!", decoder)
 
 
+def test_honest_letters_get_no_reading(spark):
+    text = "für den schönen Garten über die Brücke, größer und älter; это слово и тут, the fur of a naïve clown was found "
+    decoder = toxicity.Decoder(toxicity.count_trigrams(spark.createDataFrame([(text * 50,)], "text string")))
+    raw = text.encode()
+    words, _ = toxicity._restored(Words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)])), decoder)
+    assert not len(words.start)
+    # a letter's neighbours in another text change nothing
+    two = ["schö", "nïdïot"]
+    joined = "".join(two).encode()
+    both, _ = toxicity._restored(Words(np.frombuffer(joined, np.uint8), np.array([0, len(two[0].encode()), len(joined)])), decoder)
+    apart = [toxicity._restored(Words(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())])), decoder)[0] for t in two]
+    assert [both.text(k, k + 1) for k in range(len(both.start))] == [w.text(k, k + 1) for w in apart for k in range(len(w.start))]
+
+
 def test_toxicity_on_held_out_and_disguised(spark):
     draw = random.Random(1)
     plain = [f"word{i}" for i in range(300)]

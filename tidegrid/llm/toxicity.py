@@ -2,9 +2,13 @@
 
 Tokens of any length that may be read otherwise (digits or signs for letters, signs between letters, letters drawn out,
 single letters in a row with spaces between) become lattices of the characters that they may stand for; a Viterbi
-decode under a character trigram model picks the likeliest word. Where something stands between letters, a second lattice
-lets it be a boundary of words as well. Signs at a token's edge may be letters or punctuation: it is read with and
-without them. The model is counted over the whole corpus. The text's own words and the restored words are then scored.
+decode under a character trigram model picks the likeliest words, ``BEST`` at the most and none that is far less likely
+than the first. Where something stands between letters, a second lattice lets it be a boundary of words as well. Signs at
+a token's edge may be letters or punctuation: it is read with and without them. Letters of other forms (full width, mathematical) are
+read as plain ones; accented letters and, beside Latin letters, those of other scripts that look Latin may be honest or a disguise,
+which the model decides by its counts of accented and other letters and of each accented one: words that corpora are full of get no reading. A mask (``f*ck``) within a token stands
+for any letter; in a run of more than ``MASKED_RUN`` it is a separator, as at an edge.
+The model is counted over the whole corpus. The text's own words and the restored words are then scored.
 
 Scoring: a word's features are itself and its first 4, 5 and 6 bytes. Features that labelled toxic documents
 have far more often than others carry weight; a document's evidence is the number, share and strength of such words,
@@ -43,47 +47,74 @@ OUTPUT = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.I
 # What a sign or digit may stand for.
 STANDS_FOR = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l"}
 SIGNS = "0123456789@$!|+("
+MASKS = "*#"
+LOOKS_LIKE = {"а": "a", "в": "b", "с": "c", "ԁ": "d", "е": "e", "һ": "h", "н": "h", "і": "i", "ј": "j", "к": "k", "м": "m", "о": "o", "р": "p", "ԛ": "q", "ѕ": "s", "т": "t", "у": "y", "ԝ": "w", "х": "x", "α": "a", "ε": "e", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x", "ı": "i"}
 #: Log chances of the channel: a letter as it is, disguised, drawn out by one more, doubled and meant so, a sign between.
 KEPT, CHANGED, DRAWN, DOUBLE, SEPARATED = 0.0, -0.5, -0.3, -0.7, -0.3
+#: Log chance of a letter disguised as one with an accent; an honest one has that of its share of all accented letters of the corpus.
+ACCENT = -6.0
+#: Readings of a lattice at the most, and how far behind the likeliest one their log chance may be.
+BEST, MARGIN = 3, 3.0
+MASKED_RUN = 3
 
 #: Characters of the tokens that a decoder remembers, a bound of its memory alone.
 REMEMBERED = 64
 
-#: The model's alphabet: 0 a boundary, 1-26 letters without their accents, 27 any other letter.
-SYMBOLS = 28
+#: The model's alphabet: 0 a boundary, 1-26 letters of any form without an accent, 27 any other letter, 28 a Latin letter with an accent.
+SYMBOLS, OTHER, ACCENTED = 29, 27, 28
+#: Accented letters are counted after the trigrams, each in lower case at its code point; those from the last one on together.
+CODES = 0x2000
 _FOLD: list[np.ndarray] = []
 
 
+def plain_letter(ch: str) -> str:
+    """The character's first part without its marks and form, in lower case."""
+    return unicodedata.normalize("NFKD", ch)[0].lower()
+
+
 def fold_table() -> np.ndarray:
     if not _FOLD:
         table = np.zeros(0x110000, np.int64)
         for c in range(0x110000):
             if (x := chr(c)).isalpha():
-                plain = unicodedata.normalize("NFKD", x)[0].lower()
-                table[c] = ord(plain) - 96 if "a" <= plain <= "z" else 27
+                plain = plain_letter(x)
+                table[c] = OTHER if not "a" <= plain <= "z" else ord(plain) - 96 if len(unicodedata.normalize("NFKD", x)) == 1 else ACCENTED
         _FOLD.append(table)
     return _FOLD[0]
 
 
+def lower(ch: str) -> str:
+    """In lower case, if that is one character."""
+    return low if len(low := ch.lower()) == 1 else ch
+
+
+def symbol(ch: str) -> int:
+    """The model's symbol of a lattice's character."""
+    return 0 if ch == " " else int(fold_table()[ord(ch)])
+
+
 def count_trigrams(documents: DataFrame) -> np.ndarray:
-    """Counts of symbol trigrams over all documents. Tasks sum their own; a table of SYMBOLS cubed rows at the most is collected."""
+    """Counts of symbol trigrams, then of accented letters, over all documents. Tasks sum their own; a table of SYMBOLS cubed and CODES rows at the most is collected."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SYMBOLS**3, np.int64)
+        total = np.zeros(SYMBOLS**3 + CODES, np.int64)
         for batch in batches:
             for _, _, data, offsets in chunks(batch.column(0)):
                 points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
                 at = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
-                x = np.insert(fold_table()[points], at, 0)  # a boundary around each text
+                plain = fold_table()[points]
+                kinds, n = np.unique(points[plain == ACCENTED], return_counts=True)
+                np.add.at(total, SYMBOLS**3 + np.array([min(ord(lower(chr(c))), CODES - 1) for c in kinds.tolist()], np.int64), n)
+                x = np.insert(plain, at, 0)  # a boundary around each text
                 x = np.concatenate([[0], x])
                 x = x[np.concatenate([[True, True], (x[2:] != 0) | (x[1:-1] != 0) | (x[:-2] != 0)])]
-                total += np.bincount((x[:-2] * SYMBOLS + x[1:-1]) * SYMBOLS + x[2:], minlength=SYMBOLS**3)
+                total += np.bincount((x[:-2] * SYMBOLS + x[1:-1]) * SYMBOLS + x[2:], minlength=len(total))
         has = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(has), pa.array(total[has])], names=["gram", "n"])
 
     small_batches(documents.sparkSession)
     counted = documents.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    out = np.zeros(SYMBOLS**3, np.int64)
+    out = np.zeros(SYMBOLS**3 + CODES, np.int64)
     for r in counted.collect():
         out[r["gram"]] = r["n"]
     return out
@@ -93,73 +124,115 @@ class Decoder:
     """Viterbi decoding of disguised tokens under the trigram model."""
 
     def __init__(self, counts: np.ndarray):
-        cube = counts.reshape((SYMBOLS,) * 3).astype(float)
+        cube = counts[: SYMBOLS**3].reshape((SYMBOLS,) * 3).astype(float)
         two = cube.sum(0)
         one = two.sum(0)
         base = (one + 1) / (one.sum() + SYMBOLS)
         pair = (two + 5 * base) / (two.sum(1, keepdims=True) + 5)
-        self.log = np.log((cube + 5 * pair) / (cube.sum(2, keepdims=True) + 5)).tolist()
-        self.memo: dict[str, str] = {}
+        self.table = np.log((cube + 5 * pair) / (cube.sum(2, keepdims=True) + 5))
+        self.log = self.table.tolist()
+        accented = counts[SYMBOLS**3 :].astype(float)
+        self.honest = np.log((accented + 1) / (accented.sum() + 100))
+        self.memo: dict[str, list[str]] = {}
 
     def decode(self, token: str) -> str:
         """The likeliest word of folded letters behind a token."""
-        return self._known(token, False)
+        return self._known(token, False)[0]
 
     def split(self, token: str) -> list[str]:
         """The likeliest words, if what stands between letters may be a boundary of words. A line feed always is one."""
-        return self._known(token, True).split()
+        return self._known(token, True)[0].split()
+
+    def words(self, token: str, joined: str) -> set[str]:
+        """The words of all readings: of joined as one word, and of token as one or more."""
+        return {*self._known(joined, False), *(w for r in self._known(token, True) for w in r.split())}
 
-    def _known(self, token: str, apart: bool) -> str:
+    def _known(self, token: str, apart: bool) -> list[str]:
         key = "\n" + token if apart else token
         if (known := self.memo.get(key)) is None:
-            known = "".join(self._viterbi(token, apart))
+            known = [w for w, _ in self._viterbi(unicodedata.normalize("NFC", token), apart)]
             if len(token) <= REMEMBERED:
                 if len(self.memo) > 100_000:
                     self.memo.clear()
                 self.memo[key] = known
         return known
 
-    @staticmethod
-    def _options(ch: str) -> list[tuple[str, float]]:
-        low = ch.lower()
-        code = int(fold_table()[ord(ch)])
-        if 1 <= code <= 26:
-            return [(chr(96 + code), KEPT)]
+    def _options(self, ch: str) -> list[tuple[str, float]]:
+        low = lower(ch)
+        code = symbol(ch)
+        if code == ACCENTED:
+            return [(low, float(self.honest[min(ord(low), CODES - 1)])), (plain_letter(ch), ACCENT)]
+        if low in LOOKS_LIKE:
+            return [(low, KEPT), (LOOKS_LIKE[low], CHANGED)]
+        if code:
+            return [(low if code == OTHER else chr(96 + code), KEPT)]
         if low in STANDS_FOR:
             return [(x, CHANGED) for x in STANDS_FOR[low]] + ([("", 4 * SEPARATED)] if low in "!|" else [])
         return [("", SEPARATED)]
 
-    def _viterbi(self, token: str, apart: bool) -> list[str]:
-        # a path is (last two symbols) -> (log chance, letters so far as a chain (chain, letters))
-        paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+    def _viterbi(self, token: str, apart: bool) -> list[tuple[str, float]]:
+        """The likeliest readings and their log chances, best first."""
+        # the last two symbols -> the BEST paths of different letters: (log chance, hash of the letters, chain of them (chain, letters))
+        paths: dict[tuple[int, int], list[tuple[float, int, tuple | None]]] = {(0, 0): [(0.0, 0, None)]}
+
+        def keep(out: dict, state: tuple[int, int], path: tuple[float, int, tuple | None]) -> None:
+            had = out.get(state)
+            if had is None:
+                out[state] = [path]
+                return
+            least = 0
+            for k, other in enumerate(had):
+                if other[1] == path[1]:
+                    if path[0] > other[0]:
+                        had[k] = path
+                    return
+                if other[0] < had[least][0]:
+                    least = k
+            if len(had) < BEST:
+                had.append(path)
+            elif path[0] > had[least][0]:
+                had[least] = path
 
         def step(paths: dict, options: list[tuple[str, float]]) -> dict:
-            out: dict[tuple[int, int], tuple[float, tuple | None]] = {}
-            for (a, b), (chance, chain) in paths.items():
-                for letters, cost in options:
-                    p, q, total = a, b, chance + cost
-                    for x in letters:
-                        code = 0 if x == " " else ord(x) - 96
-                        if code or q:  # a boundary is one, however many signs stand for it
+            out: dict[tuple[int, int], list[tuple[float, int, tuple | None]]] = {}
+            coded = [(letters, [symbol(x) for x in letters], cost) for letters, cost in options]
+            for (a, b), own in paths.items():
+                for letters, codes, cost in coded:
+                    p, q, total = a, b, cost
+                    written = letters
+                    for code in codes:
+                        if code or q:
                             total += self.log[p][q][code]
                             p, q = q, code
-                    if (had := out.get((p, q))) is None or total > had[0]:
-                        out[p, q] = (total, (chain, letters) if letters else chain)
-                    if apart and q and letters and q == b and letters != " ":  # the same letter again: drawn out
-                        total = chance + cost + DOUBLE
-                        if (had := out.get((a, b))) is None or total > had[0]:
-                            out[a, b] = (total, chain)
+                        else:
+                            written = ""  # a boundary is one, however many signs stand for it
+                    drawn = apart and q and letters and q == b and letters != " "  # the same letter again: drawn out
+                    for chance, mark, chain in own:
+                        after = mark
+                        for x in written:
+                            after = hash((after, x))
+                        keep(out, (p, q), (chance + total, after, (chain, written) if written else chain))
+                        if drawn and written == (chain and chain[1]):
+                            keep(out, (a, b), (chance + cost + DOUBLE, mark, chain))
             return out
 
         i = 0
         while i < len(token):
             n = 1
-            while not apart and i + n < len(token) and token[i + n].lower() == token[i].lower():
+            while i + n < len(token) and token[i + n].lower() == token[i].lower():
                 n += 1
-            single = self._options(token[i])
+            if token[i] in MASKS:
+                letters = [(chr(c), CHANGED) for c in range(97, 123)] if n <= MASKED_RUN and not apart else []
+                single = [*letters, ("", SEPARATED)]
+            else:
+                n = 1 if apart else n
+                single = self._options(token[i])
             if apart and single[-1][0] == "":  # what may be left out may be a boundary
                 single = [(" ", 0.0)] if token[i] == "\n" else [*single, (" ", SEPARATED)]
-            if n > 1:  # one letter drawn out, or a double one
+            if token[i] in MASKS:
+                for _ in range(n):
+                    paths = step(paths, single)
+            elif n > 1:  # one letter drawn out, or a double one
                 one, two = (DOUBLE, KEPT) if n == 2 else (DRAWN, DOUBLE)
                 drawn = [(x, c + one) for x, c in single]
                 double = [(x + x, c + two) for x, c in single if x]
@@ -167,12 +240,18 @@ class Decoder:
             else:
                 paths = step(paths, single)
             i += n
-        chain = max(((c + (self.log[a][b][0] if b else 0.0), k, w) for k, ((a, b), (c, w)) in enumerate(paths.items())), key=lambda x: x[:2])[2]
-        letters = []
-        while chain is not None:
-            chain, own = chain
-            letters.append(own)
-        return letters[::-1]
+        ends = [(c + (self.log[a][b][0] if b else 0.0), k, w) for k, ((a, b), c, w) in enumerate((s, c, w) for s, own in paths.items() for c, _, w in own)]
+        ends.sort(key=lambda x: (-x[0], x[1]))
+        out = []
+        for chance, _, chain in ends[:BEST]:
+            if chance < ends[0][0] - MARGIN:
+                break
+            letters = []
+            while chain is not None:
+                chain, own = chain
+                letters.append(own)
+            out.append(("".join(letters[::-1]), chance))
+        return out
 
 
 _SIGN = np.zeros(256, bool)
@@ -181,6 +260,10 @@ _ALPHA = np.zeros(256, bool)
 _ALPHA[65:91] = _ALPHA[97:123] = _ALPHA[128:] = True
 _TAIL = np.zeros(256, bool)
 _TAIL[[ord(c) for c in ".,!?;:'\")%&#*]}>$|"]] = True
+_LATIN = np.zeros(256, bool)
+_LATIN[65:91] = _LATIN[97:123] = True
+_MASK = np.zeros(256, bool)
+_MASK[[ord(c) for c in MASKS]] = True
 #: Bytes that no letter has: ASCII ones, and what begins the signs of Latin-1 and U+2000 to U+2FFF, the pound and the euro too.
 _ODD = ~_ALPHA
 _ODD[[0xC2, 0xE2]] = True
@@ -209,6 +292,7 @@ def _spaced(words: Words, cut: np.ndarray) -> Iterator[tuple[int, bytes]]:
     one = end - start == 1
     lone = ((size == 1) | one) & (_ALPHA[data[start]] | _SIGN[data[start]])
     lone |= (size == 2) & (data[start] >= 0xC3)  # one letter of two bytes
+    lone |= (size == 3) & (data[start] == 0xEF)  # one of full width
     lone |= (end - start == 2) & (data[start] == 0xC2) | (end - start == 3) & (data[start] == 0xE2)  # a pound, a euro
     stop_at = np.where(one, end, cut)
     edge = np.flatnonzero(np.diff(np.concatenate([[0], lone.astype(np.int8), [0]])))
@@ -223,8 +307,46 @@ def _spaced(words: Words, cut: np.ndarray) -> Iterator[tuple[int, bytes]]:
             a = stop
 
 
-def _candidates(words: Words) -> tuple[list[tuple[int, int, bytes]], list[tuple[int, bytes]]]:
-    """(text, word, token) of the tokens that have a reading besides the one as written, and the spaced runs. words: split at white space."""
+_LOOKS = np.array(sorted({ord(y) for x in LOOKS_LIKE for y in (x, x.upper()) if not y.isascii()}), np.uint32)
+
+
+def _folded(words: Words, decoder: Decoder) -> tuple[np.ndarray, np.ndarray]:
+    """Two masks over bytes: where a letter begins that is a plain one in another form, or has an accent that the model finds
+    less likely there than the plain letter in disguise; and where one begins that looks Latin."""
+    odd, looks = np.zeros((2, len(words.data)), bool)
+    if not (words.data >= 0xC3).any():
+        return odd, looks
+    points = np.frombuffer(words.data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
+    begins = (words.data & 0xC0) != 0x80
+    place = np.flatnonzero(begins)
+    at = np.concatenate([[0], np.cumsum(begins)])[words.offsets]
+    plain = fold_table()[points]
+    x = np.concatenate([[0, 0], np.insert(plain, at, 0), [0, 0]])  # a boundary around each text
+    index = np.flatnonzero(np.insert(np.ones(len(points), bool), at, False)) + 2
+    odd[place[(points >= 128) & (plain >= 1) & (plain <= 26) | (points >= 0x300) & (points < 0x370)]] = True  # and an accent that is a character
+    looks[place[np.isin(points, _LOOKS)]] = True
+    accented = np.flatnonzero(plain == ACCENTED)
+    if len(accented):
+        kinds, which = np.unique(points[accented], return_inverse=True)
+        letter = np.array([ord(plain_letter(chr(c))) - 96 for c in kinds.tolist()])[which]
+        honest = decoder.honest[[min(ord(lower(chr(c))), CODES - 1) for c in kinds.tolist()]][which]
+        k = index[accented]
+        before, after = x[k - 1], x[k + 1]
+        first, last = np.where(before == 0, 0, x[k - 2]), x[k + 2]
+
+        def chance(own: np.ndarray | int) -> np.ndarray:
+            log = decoder.table
+            return log[first, before, own] + log[before, own, after] + np.where(after == 0, 0.0, log[own, after, last])
+
+        odd[place[accented[chance(letter) + ACCENT > chance(ACCENTED) + honest]]] = True
+    return odd, looks
+
+
+def _candidates(words: Words, decoder: Decoder | None = None) -> tuple[list[tuple[int, int, bytes]], list[tuple[int, bytes]]]:
+    """(text, word, token) of the tokens that have a reading besides the one as written, and the spaced runs. words: split at white space.
+
+    Without a decoder, letters with accents, of other forms and of other scripts are as written.
+    """
     data, start, end = words.data, words.start, words.end
     if not len(start):
         return [], []
@@ -233,7 +355,9 @@ def _candidates(words: Words) -> tuple[list[tuple[int, int, bytes]], list[tuple[
     far = _up_to_last(letter, start, end)  # with those that may be letters
     near = _from_first(letter, start, end)
     bare = _from_first(_ALPHA[data] | ((data >= 48) & (data < 58)), start, end)  # without opening signs that may be letters
-    odd, n_letter = _sums(_ODD[data]), _sums(letter)
+    own_odd, looks = _folded(words, decoder) if decoder is not None else np.zeros((2, len(data)), bool)
+    odd, n_letter = _sums(_ODD[data] | own_odd), _sums(letter | _MASK[data])
+    looks, latin = _sums(looks), _sums(_LATIN[data])
     triple = np.zeros(len(data) + 1, bool)
     if len(data) > 2:
         lower = np.where((data >= 65) & (data < 91), data + 32, data)
@@ -243,7 +367,7 @@ def _candidates(words: Words) -> tuple[list[tuple[int, int, bytes]], list[tuple[
     seen = []
     for a, b in ((bare, cut), (near, cut), (bare, far), (near, far)):
         b = np.maximum(a, b)
-        reads = (odd[b] > odd[a]) | (runs[np.maximum(a, b - 2)] > runs[a])
+        reads = (odd[b] > odd[a]) | (runs[np.maximum(a, b - 2)] > runs[a]) | (looks[b] > looks[a]) & (latin[b] > latin[a])
         reads &= n_letter[b] - n_letter[a] >= 3  # fewer give no word of three letters
         for c, d in seen:
             reads &= (a != c) | (b != d)
@@ -274,18 +398,18 @@ _PLAIN = re.compile(rb"[A-Za-z0-9\x80-\xff]+")
 def _readings(token: bytes, decoder: Decoder) -> set[str]:
     """The words behind a token that do not stand there as written."""
     text = token.decode("utf-8", "ignore")
-    out = {decoder.decode(text), *decoder.split(text)}
-    return out - {w.decode("utf-8", "ignore").lower() for w in _PLAIN.findall(token)}
+    out = decoder.words(text, text)
+    return out - {w.decode("utf-8", "ignore").lower() for w in _PLAIN.findall(token)} - set(re.findall(r"\w+", unicodedata.normalize("NFC", text).lower()))
 
 
 def _restored(words: Words, decoder: Decoder) -> tuple[Words, np.ndarray]:
     """The decoded words, and the text of each; a place gives a word once."""
-    tokens, runs = _candidates(words)
+    tokens, runs = _candidates(words, decoder)
     places: dict[tuple[int, int], set[str]] = {}
     for d, i, t in tokens:
         places.setdefault((d, i), set()).update(_readings(t, decoder))
     for k, (d, t) in enumerate(runs):
-        places[d, -1 - k] = {decoder.decode(re.sub(rb"[ \n]", b"", t).decode("utf-8", "ignore")), *decoder.split(t.decode("utf-8", "ignore"))}
+        places[d, -1 - k] = decoder.words(t.decode("utf-8", "ignore"), re.sub(rb"[ \n]", b"", t).decode("utf-8", "ignore"))
     found = [(d, w.encode()) for (d, _), own in places.items() for w in sorted(own) if len(w) >= 3]
     data = np.frombuffer(b" ".join(w for _, w in found), np.uint8)
     return Words(data, np.array([0, len(data)]), ALNUM, fold=True), np.array([d for d, _ in found], np.int64)
