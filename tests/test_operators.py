@@ -44,6 +44,24 @@ def test_panel_is_dense(spark):
     assert all(r["passed"] for r in panel.panel_checks(out, t).collect())
 
 
+def test_filled_series_equal_a_grid_and_windows(spark):
+    """Gaps at both ends, a station of one hour, a null id, a null hour: as a grid joined to its counts, with windows over it."""
+    at = lambda h: DAY + dt.timedelta(hours=h)
+    rows = [("a", at(3), 2), ("a", at(4), 1), ("a", at(200), 5), ("b", at(0), 7), ("c", at(230), 1), (None, at(9), 4), ("d", None, 3)]
+    d = spark.createDataFrame(rows, "start_station_id string, hour timestamp_ntz, demand_count long")
+    hours = d.agg(F.expr("explode(sequence(min(hour), max(hour), interval 1 hour))").alias("hour"))
+    want = d.select("start_station_id").distinct().crossJoin(hours).join(d, ["start_station_id", "hour"], "left").withColumn("demand_count", F.coalesce("demand_count", F.lit(0)))
+    names = ["start_station_id", "hour", "demand_count", *features.LAGS, *features.ROLLING]
+    for ordered in (False, True):
+        got = features.with_series_history(panel.filled(panel.station_series(d, ordered)))
+        assert got.count() == want.count() == 5 * 231
+        assert got.select(names).exceptAll(features.with_history(want).select(names)).count() == 0
+    parts = panel.hourly_demand(spark.createDataFrame([(s, DAY + dt.timedelta(hours=h)) for s in "cab" for h in (0, 5)], "start_station_id string, started_at timestamp_ntz"), ordered=True)
+    keys = [(r["start_station_id"], r["hour"]) for r in parts.collect()]
+    assert keys == sorted(keys) and len(keys) == 18
+    assert panel.zero_filled(d.limit(0)).count() == 0
+
+
 def test_hours_merge_when_clocks_go_back(spark):
     rows = [("2024-11-03 05:30:00", "a"), ("2024-11-03 06:30:00", "a")]
     t = spark.createDataFrame(rows, "s string, start_station_id string").select(F.col("s").cast("timestamp_ntz").alias("started_at"), "start_station_id")

@@ -201,3 +201,15 @@ def test_plans_read_no_table_more_often_than_they_need(spark):
     matrix = scans(QUERIES["feature_matrix"](spark, DATA))
     assert matrix <= 8
     assert scans(QUERIES["slice_stats"](spark, DATA)) == matrix
+
+
+def test_the_panel_is_not_shuffled_once_it_is_filled(spark):
+    """Neither a small nor a large table of stations moves or sorts filled rows."""
+    for threshold in ("10MB", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            plan = domain.matrix(spark, DATA)._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        above = plan[: plan.index("Generate posexplode")]
+        assert not any(x in above for x in ("Exchange hash", "Exchange range", "Sort ", "Window", "SortMergeJoin"))
