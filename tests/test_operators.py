@@ -201,6 +201,23 @@ def test_nearest_equals_all_pairs(spark):
     assert got == want and want
 
 
+def test_a_place_of_many_feed_stations_is_met_once(spark):
+    feed = spark.range(2000).select(F.col("id").cast("string").alias("station_id"), F.lit(42.0).alias("lat"), F.lit(-71.0).alias("lon"), F.col("id").cast("int").alias("capacity"))
+    feed = feed.where("station_id <> '0'").unionByName(spark.createDataFrame([("0", 42.002, -71.0, 7)], "station_id string, lat double, lon double, capacity int"))
+    own = spark.range(500).select(F.concat(F.lit("s"), "id").alias("start_station_id"), F.lit(42.0).alias("lat"), F.lit(-71.0).alias("lon"))
+    out = stations.nearest(own, feed)
+    assert out.groupBy("feed_station_id", "capacity").count().collect() == [("1", 1, 500)]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [lat") == 1  # before the join
+
+
+def test_duplicates_are_counted_by_dealt_keys(spark):
+    d = demand(spark, {"a": [1, 2, 3], "b": [4]})
+    again = d.unionByName(d.where("start_station_id = 'a'")).unionByName(d.limit(1))
+    assert quality.duplicate_check(again).collect() == [(4, False)] and quality.duplicate_check(d).collect() == [(0, True)]
+    plan = quality.duplicate_check(panel.filled(panel.station_series(d)))._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and plan.count("Exchange hashpartitioning(start_station_id#") >= 2
+
+
 def test_station_risk_picks_elements(spark):
     rows = [(f"s{i:02d}", DAY, float(i)) for i in range(20)]
     p = spark.createDataFrame(rows, "station_id string, forecast_hour timestamp_ntz, predicted_demand double")

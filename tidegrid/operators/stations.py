@@ -36,12 +36,14 @@ def unmatched(matched: DataFrame) -> DataFrame:
 
 def nearest(stations: DataFrame, feed: DataFrame, reach: float = REACH) -> DataFrame:
     """The nearest feed station within ``reach`` metres. Both sides are dealt to cells as wide as the reach; a station meets
-    its own cell and the eight around it in an equi-join, so no side is broadcast and no pair out of reach is made."""
+    its own cell and the eight around it in an equi-join, so no side is broadcast and no pair out of reach is made. Of feed stations at the same
+    place only the least id can be the nearest, so a place stands once in its cell, however many stations the feed has there."""
     width = reach / METRES_PER_DEGREE
     cell = lambda c: F.floor(F.col(c) / width)
     around = F.array(*(F.struct(F.lit(i).alias("dx"), F.lit(j).alias("dy")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
     left = stations.withColumn("_a", F.explode(around)).withColumns({"_x": cell("lat") + F.col("_a.dx"), "_y": cell("lon") + F.col("_a.dy")}).drop("_a")
-    right = feed.select(F.col("station_id").alias("feed_station_id"), "capacity", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), cell("lat").alias("_x"), cell("lon").alias("_y"))
+    places = feed.groupBy("lat", "lon").agg(F.min_by(F.struct("station_id", "capacity"), "station_id").alias("f")).select("lat", "lon", "f.*")
+    right = places.select(F.col("station_id").alias("feed_station_id"), "capacity", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), cell("lat").alias("_x"), cell("lon").alias("_y"))
     far = F.sqrt(F.pow(F.col("lat") - F.col("_lat"), 2) + F.pow(F.col("lon") - F.col("_lon"), 2)) * METRES_PER_DEGREE
     near = left.join(right, ["_x", "_y"]).withColumn("distance_m", far).where(F.col("distance_m") <= reach)
     best = F.min_by(F.struct("feed_station_id", "capacity", "distance_m"), F.struct("distance_m", "feed_station_id"))
