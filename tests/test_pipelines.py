@@ -227,3 +227,17 @@ def test_validation_names_planted_humidity_alone_where_errors_are_many(spark, tm
     assert m.where("humidity_pct > 100 AND hour_of_day <> 3").count() > 0
     issues = [r["issue"] for r in QUERIES["feature_validation"](spark, str(tmp_path)).collect()]
     assert issues[0] == f"humidity_pct: 0 below, {m.where('hour_of_day = 3').count()} above" and len(issues) == 3
+
+
+def test_stored_matrix_is_in_order_and_only_the_narrow_panel_was_dealt(spark, matrix, tmp_path):
+    panel_rows = domain.demand_panel(spark, DATA)
+    feed = domain.stations(spark, DATA).select(F.col("station_id").alias("start_station_id"), "capacity")
+    plan = features.feature_matrix(panel_rows, domain.weather(spark, DATA), feed, features.holiday_calendar(spark), ordered=True)._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("Window")]
+    assert not any(x in above for x in ("Exchange hash", "Exchange range", "Sort "))
+    pipelines.feature_matrix(panel_rows, domain.weather(spark, DATA), feed, features.holiday_calendar(spark), str(tmp_path / "m"))
+    stored = spark.read.parquet(str(tmp_path / "m"))
+    assert stored.select(sorted(matrix.columns)).exceptAll(matrix.select(sorted(matrix.columns))).count() == 0 and stored.count() == matrix.count()
+    parts = [[(r["start_station_id"], r["hour"]) for r in spark.read.parquet(f"file://{p}").select(*KEY).collect()] for p in sorted((tmp_path / "m").glob("part-*.parquet"))]
+    keys = [k for part in parts for k in part]
+    assert keys == sorted(keys)

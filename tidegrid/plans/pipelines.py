@@ -17,8 +17,8 @@ def clean_year(spark: SparkSession, raw: str, out: str, month: int | None = None
 
 
 def hourly_demand(spark: SparkSession, cleaned: str, out: str) -> None:
-    """Cleaned trips to the dense panel."""
-    store.write_sorted(panel.hourly_demand(store.read_trip_columns(spark, cleaned)), out)
+    """Cleaned trips to the dense panel, which is filled in its order."""
+    panel.hourly_demand(store.read_trip_columns(spark, cleaned), ordered=True).write.mode("overwrite").parquet(out)
 
 
 def station_lookup(frame: DataFrame, feed: DataFrame, out: str) -> None:
@@ -27,8 +27,8 @@ def station_lookup(frame: DataFrame, feed: DataFrame, out: str) -> None:
 
 
 def feature_matrix(demand: DataFrame, weather: DataFrame, feed: DataFrame, calendar: DataFrame, out: str) -> None:
-    """C04."""
-    store.write_sorted(features.feature_matrix(demand, weather, feed, calendar), out)
+    """In the order of station and hour."""
+    features.feature_matrix(demand, weather, feed, calendar, ordered=True).write.mode("overwrite").parquet(out)
 
 
 def validate(matrix: DataFrame, least: int = quality.MIN_ROWS) -> None:
