@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import re
 import zipfile
 
 import pytest
@@ -132,6 +133,20 @@ def test_readers_never_see_a_forecast_half_written(spark, tmp_path, monkeypatch)
     assert sorted(p.name for p in (tmp_path / "p").iterdir() if not p.name.startswith(".")) == ["data", "day-2024-06-01", "latest"]
 
 
+def test_a_forecast_that_is_the_latest_moves_no_rows(spark, tmp_path):
+    root = f"file://{tmp_path}/p"
+    rows = lambda day, k: spark.range(4).select(F.concat(F.lit("S"), F.col("id").cast("string")).alias("station_id"), F.expr(f"timestamp_ntz'2024-06-0{day} 00:00:00' + make_interval(0, 0, 0, 0, id)").alias("forecast_hour"), (F.col("id") + k).cast("double").alias("predicted_demand"))
+    seen = lambda df: sorted((r["station_id"], r["predicted_demand"], r["latest"]) for r in df.collect())
+    store.write_predictions(rows(1, 0), root)
+    alone = store.with_latest(spark, root, "2024-06-01")
+    assert seen(alone) == [(f"S{k}", k, k) for k in range(4)]
+    assert not re.search("Exchange|Join", alone._jdf.queryExecution().executedPlan().toString())
+    # the latest forecast shares one hour with the first, whose day is pointed back to it
+    store.write_predictions(rows(2, 10).unionByName(rows(1, 20).where("station_id = 'S3'")), root)
+    store.point(spark, f"{root}/day-2024-06-01", [f for f in (f"{root}/data/{p.name}" for p in (tmp_path / "p" / "data").iterdir()) if spark.read.parquet(f).count() == 4][0])
+    assert seen(store.with_latest(spark, root, "2024-06-01")) == [("S3", 3, 23)]
+
+
 def test_views_follow_changes(spark, tmp_path):
     root = str(tmp_path / "views")
     hours = [dt.datetime(2024, 6, 1) + dt.timedelta(hours=i) for i in range(48)]

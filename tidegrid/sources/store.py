@@ -80,6 +80,16 @@ def read_predictions(spark: SparkSession, root: str, day: str | None = None) ->
     return spark.read.parquet(folder) if folder else spark.createDataFrame([], PREDICTIONS)
 
 
+def with_latest(spark: SparkSession, root: str, day: str) -> DataFrame:
+    """The forecast whose first day is ``day``, and beside it what the latest forecast says of the same station and hour (latest). A forecast has a
+    row a station and hour, so where both pointers name one folder its rows are their own latest, and nothing is shuffled to find that out."""
+    own = read_predictions(spark, root, day)
+    if pointed(spark, f"{root}/day-{day}") == pointed(spark, f"{root}/latest"):
+        return own.withColumn("latest", F.col("predicted_demand"))
+    latest = read_predictions(spark, root).select("station_id", "forecast_hour", F.col("predicted_demand").alias("latest"))
+    return own.join(latest, ["station_id", "forecast_hour"])
+
+
 def drop_unnamed(spark: SparkSession, root: str) -> int:
     """Deletes the folders that no pointer names, and says how many; for a time when nobody writes or reads an older forecast."""
     place = spark._jvm.org.apache.hadoop.fs.Path(root)
