@@ -94,6 +94,15 @@ def test_trees_stop_where_validation_rises_and_the_prefix_is_the_model(spark):
     assert sum(cut.featureImportances.toArray()) == pytest.approx(1)
 
 
+def test_no_more_trees_are_grown_than_patience_needs(spark, monkeypatch):
+    ready = rows_of(spark, 2400, 10, F.col("id") % 24)
+    checked = rows_of(spark, 1200, 10, 24 - F.col("id") % 24)  # what the trees learn is wrong here from the first on
+    real, grown = ml._booster, []
+    monkeypatch.setattr(ml, "_booster", lambda params, *a: grown.append(params["maxIter"]) or real(params, *a))
+    params = {"maxIter": 60, "maxDepth": 3, "stepSize": 0.3, "subsamplingRate": 1.0, "featureSubsetStrategy": "all"}
+    assert ml.fit_trees(ready, checked, params, patience=5).getNumTrees == 1 and grown == [6]
+
+
 def test_more_stations_than_bins(spark, halves):
     """5,000 stations, in training and, some of them unseen, in scoring."""
     days = F.explode(F.sequence(F.lit(0), F.lit(3)))
