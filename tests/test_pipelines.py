@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tidegrid.operators import features, ml, quality, serving
 from tidegrid.plans import domain, pipelines
 from tidegrid.plans.queries import QUERIES, SPLIT
-from tidegrid.sources import store, trips
+from tidegrid.sources import scratch, store, trips
 
 DATA = "/root/testdata/sf0.001"
 FEW = {"maxIter": 8, "maxDepth": 4, "stepSize": 0.3, "featureSubsetStrategy": "all"}
@@ -103,6 +103,15 @@ def test_no_more_trees_are_grown_than_patience_needs(spark, monkeypatch):
     assert ml.fit_trees(ready, checked, params, patience=5).getNumTrees == 1 and grown == [6]
 
 
+def test_training_has_no_more_tasks_than_cores_while_their_rows_are_few(spark, monkeypatch):
+    assert [ml.tasks_for(n, 12) for n in (0, 1, 50_001, 540_000, 3_240_000, 12_000_000, 12_000_001, 32_400_000)] == [1, 1, 2, 11, 12, 12, 24, 36]
+    monkeypatch.setattr(ml, "TASK_ROWS", 100)
+    ready = rows_of(spark, 10_000, 10, F.col("id") % 24)
+    with scratch.run(spark):
+        stored = ml._stored(ready)
+        assert stored.rdd.getNumPartitions() == min(100, spark.sparkContext.defaultParallelism) and stored.count() == 10_000
+
+
 def test_more_stations_than_bins(spark, halves):
     """5,000 stations, in training and, some of them unseen, in scoring."""
     days = F.explode(F.sequence(F.lit(0), F.lit(3)))
