@@ -133,6 +133,17 @@ def test_all_inputs_are_dealt_in_one_shuffle_and_scored_once(spark, halves):
     assert plan.count("Join") == 0 and plan.count("collect_list") == 1
 
 
+def test_inputs_that_no_tree_reads_are_not_scored_again(spark, halves, monkeypatch):
+    train, rest = (h.withColumn("demand_count", (F.col("hour_of_day") * 2).cast("long")) for h in halves)
+    model = ml.Boosted({"maxIter": 2, "maxDepth": 2, "featureSubsetStrategy": "all"}).train(train).model
+    read = len(model.stages[-1].featureImportances.indices)
+    real, scored = type(model.stages[-1]).transform, []
+    monkeypatch.setattr(type(model.stages[-1]), "transform", lambda self, df: scored.append(df.count()) or real(self, df))
+    found = {r["feature"]: r["importance"] for r in ml.permutation_importance(model, rest, KEY).collect()}
+    assert set(found) == set(quality.FEATURES) and sum(v != 0 for v in found.values()) <= read < 29
+    assert scored == [(1 + read) * rest.count()]
+
+
 def test_trials_are_kept_in_a_journal(spark, halves, tmp_path, monkeypatch):
     trials = [{"maxIter": 2, "maxDepth": d} for d in (1, 2, 3)]
     journal = f"file://{tmp_path}/journal"
