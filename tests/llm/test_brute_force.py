@@ -561,3 +561,13 @@ def test_pipeline_against_plain_python(spark):
 def test_digests_follow_the_contract(spark):
     out = QUERIES["op2_substring_dedup"](spark, DATA).where("n_words = 0").collect()
     assert all(r["kept_sha256"] == hashlib.sha256(b"").hexdigest() for r in out)
+
+
+def test_sets_are_ranked_in_pieces(monkeypatch):
+    monkeypatch.setattr(jaccard_join, "RANKED", 10)
+    sizes = [4, 6, 1, 25, 3, 0, 7, 9]
+    batch = pa.RecordBatch.from_arrays([pa.array(sizes, pa.int64()), pa.array([list(range(n)) for n in sizes], pa.list_(pa.int64()))], names=["n", "features"])
+    found = list(jaccard_join._pieces(batch))
+    assert [p.column("n").to_pylist() for p in found] == [[4, 6], [1], [25], [3, 0, 7], [9]]
+    assert [x for p in found for x in p.column("features").to_pylist()] == batch.column("features").to_pylist()
+    assert [len(p.column("features").flatten()) for p in found] == [10, 1, 25, 10, 9] and not list(jaccard_join._pieces(batch.slice(0, 0)))

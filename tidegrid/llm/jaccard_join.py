@@ -52,6 +52,9 @@ TIERS, COMMON = 5, 1_000_000
 #: Sets that a task remembers, so as not to sign equal ones again.
 REMEMBERED = 500_000
 
+#: Features that are ranked at a time; a set of more is ranked alone. Each takes some 100 bytes while it is.
+RANKED = 1 << 16
+
 #: Stands for a null id while rows are dealt.
 NO_ID = (1 << 63) - 1
 
@@ -283,6 +286,15 @@ def _labelled(sets: DataFrame, labels: DataFrame) -> DataFrame:
     return sets.select("rep", "d1").join(labels.withColumnRenamed("v", "rep"), "rep", "left").select("d1", F.coalesce("label", "rep").alias("label"))
 
 
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch of sets (n, features) in runs of rows with about RANKED features."""
+    ends, row = np.cumsum(batch.column("n").to_numpy()), 0
+    while row < len(ends):
+        last = max(row + 1, int(np.searchsorted(ends, (ends[row - 1] if row else 0) + RANKED, "right")))
+        yield batch.slice(row, last - row)
+        row = last
+
+
 def _prefixes(own: DataFrame, counted: DataFrame, threshold: int) -> DataFrame:
     """Of own (rep, d1, label, n, features) the prefixes: a class's n - ceil(t n) + 1 rarest features with their places; linked classes share
     one. Any order that all classes keep to will do, so rarity is read from tables of bounded size, and features stay in
@@ -296,7 +308,7 @@ def _prefixes(own: DataFrame, counted: DataFrame, threshold: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketches, common, counts = shared.value
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in _pieces(whole)):
             t, n = batch.column("features").flatten().to_numpy(), batch.column("n").to_numpy()
             rank = np.zeros(len(t), np.int64)
             for sketch in sketches:
