@@ -172,6 +172,15 @@ def test_sweep_and_search(halves):
     assert all(r["improvement"] == pytest.approx(r["base_rmse"] - r["rmse"], abs=1e-5) for r in found)
 
 
+def test_sweeps_and_searches_train_on_all_rows(halves, monkeypatch):
+    trained = []
+    monkeypatch.setattr(ml, "run_trials", lambda train, rest, trials, *a: trained.append((train.count(), rest.count())) or [(1.0, 1.0, 1)] * len(trials))
+    ml.sweep(*halves)
+    ml.random_search(*halves, ml.WIDE)
+    ml.random_search(*halves, ml.JOINT)
+    assert trained == [tuple(h.count() for h in halves)] * 3
+
+
 @pytest.mark.parametrize("space", [ml.JOINT, ml.WIDE])
 def test_draws_stay_within_their_ranges(space):
     drawn = ml.draw_parameters(space, 300)
