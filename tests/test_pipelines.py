@@ -1,9 +1,10 @@
 """Composed pipelines and models on small tables: what SQL cannot give, by its properties."""
 
 import pytest
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
-from tidegrid.operators import features, ml, quality, serving
+from tidegrid.operators import boosting, features, ml, quality, serving
 from tidegrid.plans import domain, pipelines
 from tidegrid.plans.queries import QUERIES, SPLIT
 from tidegrid.sources import scratch, store, trips
@@ -94,6 +95,61 @@ def test_trees_stop_where_validation_rises_and_the_prefix_is_the_model(spark):
     assert sum(cut.featureImportances.toArray()) == pytest.approx(1)
 
 
+def three_inputs(spark, n=60_000):
+    from pyspark.ml.feature import VectorAssembler
+
+    rows = spark.range(n).withColumns({"a": (F.col("id") % 97).cast("double"), "b": (F.col("id") % 24).cast("double"), "c": ((F.col("id") * 7919) % 1009).cast("double")})
+    rows = rows.withColumns({"demand_count": (F.col("a") * F.col("b") % 31 + F.sqrt("c")).cast("double"), "w": F.col("id") % 3 + 0.5})
+    return VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(rows).select("features", "demand_count", "w")
+
+
+@pytest.mark.parametrize("weights", [None, "w"])
+def test_trees_that_draw_nothing_are_those_of_sparks_own_trainer(spark, weights):
+    """In several tasks; with more values than bins in one input."""
+    ready = three_inputs(spark)
+    params = {"maxIter": 4, "maxDepth": 4, "stepSize": 0.3, "subsamplingRate": 1.0, "featureSubsetStrategy": "all", "minInstancesPerNode": 5}
+    own = ml.fit_trees(ready, None, params, weights)
+    theirs = GBTRegressor(featuresCol="features", labelCol="demand_count", maxBins=ml.BINS, seed=42, **params)
+    theirs = (theirs.setWeightCol(weights) if weights else theirs).fit(ready)
+    assert own.evaluateEachIteration(ready, "squared") == pytest.approx(theirs.evaluateEachIteration(ready, "squared"), rel=1e-6)
+    assert own.featureImportances.toArray() == pytest.approx(theirs.featureImportances.toArray(), rel=1e-4)
+    assert [t.numNodes for t in own.trees] == [t.numNodes for t in theirs.trees]
+
+
+def test_all_trees_grow_in_one_job_and_are_the_same_in_any_number_of_tasks(spark):
+    """Draws are a block's, and sums are whole numbers."""
+    ready = three_inputs(spark).repartition(6)
+    params = {"maxIter": 15, "maxDepth": 5, "stepSize": 0.3, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"}
+    with scratch.run(spark):
+        rows = boosting.binned(ready, ready, "demand_count", None, ml.BINS)
+        assert rows.count == 60_000 and [len(c) + 1 for c in rows.cuts] == [97, 24, 256]
+        spark.sparkContext.setJobGroup("trees", "trees")
+        try:
+            grown = [boosting.grow(rows, params, 20, 42, tasks) for tasks in (1, 4)]
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("trees")) <= 4  # two trainings, and the shuffles before them
+        assert len(grown[0].trees) == 15 and grown[0].trees == grown[1].trees and grown[0].errors == pytest.approx(grown[1].errors)
+        model = ml.fit_trees(rows, None, params)
+        assert grown[0].errors == pytest.approx(model.evaluateEachIteration(ready, "squared"), rel=1e-6)
+
+
+def test_rows_beyond_memory_are_in_a_file_and_messages_in_pieces(spark, monkeypatch):
+    rows = boosting.binned(three_inputs(spark, 5000), three_inputs(spark, 1000), "demand_count", "w", ml.BINS)
+    batches = rows.table.toArrow().to_batches()
+    bins, own = [len(c) + 1 for c in rows.cuts], boosting.settled({"maxIter": 3, "maxDepth": 6, "minInstancesPerNode": 3})
+    whole = boosting._Task(iter(batches), bins, True, lambda m: [m]).grown(own, 20, 1)
+    for name, value in {"HELD_ROWS": 100, "PASS_ROWS": 300, "MESSAGE": 1000, "TOGETHER": 50}.items():
+        monkeypatch.setattr(boosting, name, value)
+    pieces = boosting._Task(iter(batches), bins, True, None).grown(own, 20, 1)
+    assert pieces.trees == whole.trees and pieces.errors == pytest.approx(whole.errors)
+
+
+def test_an_input_without_a_value_is_an_error(halves):
+    with pytest.raises(Exception, match="no value"):
+        ml.train(halves[0].withColumn("temperature_c", F.when(F.col("hour_of_day") != 3, F.col("temperature_c"))), {"maxIter": 1})
+
+
 def test_no_more_trees_are_grown_than_patience_needs(spark, monkeypatch):
     ready = rows_of(spark, 2400, 10, F.col("id") % 24)
     checked = rows_of(spark, 1200, 10, 24 - F.col("id") % 24)  # what the trees learn is wrong here from the first on
