@@ -137,11 +137,11 @@ def test_all_trees_grow_in_one_job_and_are_the_same_in_any_number_of_tasks(spark
 def test_rows_beyond_memory_are_in_a_file_and_messages_in_pieces(spark, monkeypatch):
     rows = boosting.binned(three_inputs(spark, 5000), three_inputs(spark, 1000), "demand_count", "w", ml.BINS)
     batches = rows.table.toArrow().to_batches()
-    bins, own = [len(c) + 1 for c in rows.cuts], boosting.settled({"maxIter": 3, "maxDepth": 6, "minInstancesPerNode": 3})
-    whole = boosting._Task(iter(batches), bins, True, lambda m: [m]).grown(own, 20, 1)
+    own = boosting.settled({"maxIter": 3, "maxDepth": 6, "minInstancesPerNode": 3})
+    whole = boosting._Task(iter(batches), rows.cuts, True, lambda m: [m]).grown(own, 20, 1)
     for name, value in {"HELD_ROWS": 100, "PASS_ROWS": 300, "MESSAGE": 1000, "TOGETHER": 50}.items():
         monkeypatch.setattr(boosting, name, value)
-    pieces = boosting._Task(iter(batches), bins, True, None).grown(own, 20, 1)
+    pieces = boosting._Task(iter(batches), rows.cuts, True, None).grown(own, 20, 1)
     assert pieces.trees == whole.trees and pieces.errors == pytest.approx(whole.errors)
 
 
