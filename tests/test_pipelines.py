@@ -1,5 +1,6 @@
 """Composed pipelines and models on small tables: what SQL cannot give, by its properties."""
 
+import numpy as np
 import pytest
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
@@ -143,6 +144,8 @@ def test_rows_beyond_memory_are_in_a_file_and_messages_in_pieces(spark, monkeypa
         monkeypatch.setattr(boosting, name, value)
     pieces = boosting._Task(iter(batches), rows.cuts, True, None).grown(own, 20, 1)
     assert pieces.trees == whole.trees and pieces.errors == pytest.approx(whole.errors)
+    none = boosting._Task(iter(()), rows.cuts, True, None)  # a task without rows tells as many sums
+    assert none.part.sums(np.zeros(1, np.int64), 1, 1.0, 1.0, none.starts).tolist() == np.zeros((3, 1, none.starts[-1] + 1)).tolist()
 
 
 def test_an_input_without_a_value_is_an_error(halves):
